@@ -184,3 +184,180 @@ QUERIES = {
     "station_hour_table": station_hour_table_q,
     "test_like_targets": test_like_targets_q,
 }
+
+
+# --- batch 2: joins, checks, pooling, splits --------------------------------------
+from ..operators import joins as J          # noqa: E402
+from ..operators import pooling as U        # noqa: E402
+from ..operators import quality as V        # noqa: E402
+from ..operators import splits as P         # noqa: E402
+
+
+def _grid(spark, sf):
+    rollup, st = _rollup(spark, sf)
+    g = G.grid_active_window(G.station_windows(rollup, HOUR), HOUR, 0, 0, 72, keep_hours=range(6, 23))
+    return g, rollup, st
+
+
+def join_station_meta(spark, sf):
+    g, rollup, st = _grid(spark, sf)
+    return as_text(J.join_station_meta(g, A.station_meta(rollup, st)))
+
+
+def join_city_hour(spark, sf):
+    g, rollup, _ = _grid(spark, sf)
+    return as_text(J.join_city_hour(g, A.city_hour_meta(rollup, HOUR, WEATHER_COLS), HOUR))
+
+
+def join_station_features(spark, sf):
+    raw = TD.start_side_rides(spark, sf).drop("start_lat", "start_lng")
+    return J.join_station_features(raw, TD.station_features(spark, sf))
+
+
+def join_weather_hour(spark, sf):
+    r = as_text(_rides(spark, sf).select("ride_id", "city", "hour_ts"))
+    return J.join_weather_hour(r, TD.weather_table(spark, sf), "hour_ts")
+
+
+def validated_join(spark, sf):
+    g, rollup, _ = _grid(spark, sf)
+    return as_text(J.validated_join(g, A.demand_counts(rollup, HOUR),
+                                    ["city_key", "station_key", HOUR], "left", "one_to_one"))
+
+
+def inner_grid_meta(spark, sf):
+    rollup, st = _rollup(spark, sf)
+    return as_text(J.inner_grid_meta(G.station_windows(rollup, HOUR), A.station_meta(rollup, ["city"])))
+
+
+def ids_match(spark, sf):
+    capped = _targets(spark, sf).private_labels
+    full, _, _ = _grid(spark, sf)
+    return J.ids_match(capped, G.dense_row_id(full, HOUR))
+
+
+def _tables(spark, sf):
+    off = station_hour_table(TD.rides(spark, sf), ORDER)
+    sup = station_hour_table(TD.supplemental_rides(spark, sf), ORDER)
+    return off, sup
+
+
+def unique_ids(spark, sf):
+    both = U.concat_extracts([TD.rides(spark, sf).select("ride_id"),
+                              TD.supplemental_rides(spark, sf).select("ride_id")])
+    return V.duplicate_ids(both, "ride_id")
+
+
+def prediction_checks(spark, sf):
+    t = _targets(spark, sf)
+    preds = TD.predictions(t.private_labels)
+    n = t.private_labels.select(F.count(F.lit(1))).scalar()
+    return V.prediction_checks(preds, n)
+
+
+def _pool(spark, sf):
+    off, sup = _tables(spark, sf)
+    return U.pool_sources(off.select("city_key", "station_key", "ts", "demand"),
+                          [sup.select("city_key", "station_key", "ts", "demand")])
+
+
+def pool_sources(spark, sf):
+    return as_text(_pool(spark, sf))
+
+
+def dedup_prefer_official(spark, sf):
+    return as_text(U.dedup_prefer_official(_pool(spark, sf)))
+
+
+def distinct_grid_rows(spark, sf):
+    off, sup = _tables(spark, sf)
+    keys = ["city_key", "station_key", "ts"]
+    return as_text(G.distinct_grid_rows(off.select(*keys).unionByName(sup.select(*keys)), "ts"))
+
+
+def concat_months(spark, sf):
+    a = TD.start_side_rides(spark, sf)
+    b = TD.rides_from_events(TD.table(spark, sf, "events"), shift_hours=1).select(
+        F.col("ride_id").alias("rental_id"), F.date_format("started_at", MICROS).alias("started_at"),
+        "start_station_id", "city")
+    return U.concat_extracts([a, b])
+
+
+def temporal_split_rides(spark, sf):
+    out, _ = P.temporal_split_rides(_rides(spark, sf))
+    return out.select("ride_id", "city", "split")
+
+
+def split_cutoffs(spark, sf):
+    _, cuts = P.temporal_split_rides(_rides(spark, sf))
+    return as_text(cuts, micros=("cutoff",))
+
+
+def _splits(spark, sf):
+    pooled = U.dedup_prefer_official(_pool(spark, sf))
+    return P.split_table(pooled, TD.TESTDATA_HOLDOUT_CITY)
+
+
+def load_splits(spark, sf):
+    out, _ = _splits(spark, sf)
+    return as_text(out.drop("source_rank"))
+
+
+def load_splits_cutoffs(spark, sf):
+    _, cuts = _splits(spark, sf)
+    return as_text(cuts, micros=("cutoff",))
+
+
+def kfold_assign(spark, sf):
+    t = station_hour_table(_rides(spark, sf), ORDER).select("city_key", "station_key", "ts", "demand")
+    return as_text(P.kfold_assign(t, ["city_key", "station_key", "ts"], 5))
+
+
+def fraction_sample(spark, sf):
+    t = station_hour_table(_rides(spark, sf), ORDER).select("city_key", "station_key", "ts", "demand")
+    return as_text(P.fraction_sample(t, ["city_key", "station_key", "ts"], 0.35))
+
+
+def shuffle_rows(spark, sf):
+    t = station_hour_table(_rides(spark, sf), ORDER).select("city_key", "station_key", "ts", "demand")
+    return as_text(P.shuffle_rows(t, ["city_key", "station_key", "ts"]))
+
+
+def city_balanced_weights(spark, sf):
+    out, _ = _splits(spark, sf)
+    train = out.filter(F.col("split") == "train").select("city_key", "station_key", "ts")
+    w = P.city_balanced_weights(train)
+    return as_text(w.withColumn("weight", F.round("weight", 6)))
+
+
+def split_stats(spark, sf):
+    out, _ = _splits(spark, sf)
+    s = P.split_stats(out)
+    return s.withColumns({c: F.round(c, 6) for c in ("mean_demand", "zero_rate")})
+
+
+QUERIES.update({
+    "join_station_meta": join_station_meta,
+    "join_city_hour": join_city_hour,
+    "join_station_features": join_station_features,
+    "join_weather_hour": join_weather_hour,
+    "validated_join": validated_join,
+    "cross_station_hours": grid_full,
+    "inner_grid_meta": inner_grid_meta,
+    "ids_match": ids_match,
+    "unique_ids": unique_ids,
+    "prediction_checks": prediction_checks,
+    "pool_sources": pool_sources,
+    "dedup_prefer_official": dedup_prefer_official,
+    "distinct_grid_rows": distinct_grid_rows,
+    "concat_months": concat_months,
+    "temporal_split_rides": temporal_split_rides,
+    "split_cutoffs": split_cutoffs,
+    "load_splits": load_splits,
+    "load_splits_cutoffs": load_splits_cutoffs,
+    "kfold_assign": kfold_assign,
+    "fraction_sample": fraction_sample,
+    "shuffle_rows": shuffle_rows,
+    "city_balanced_weights": city_balanced_weights,
+    "split_stats": split_stats,
+})

@@ -209,3 +209,11 @@ def polygon_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.struct(lat0.alias("lat"), (lon0 + s).alias("lon")),
                 F.struct(lat0.alias("lat"), lon0.alias("lon"))).alias("geometry"),
     )
+
+
+def predictions(labels: DataFrame) -> DataFrame:
+    """Two prediction tables keyed by id (model m1 has negative values)."""
+    i = F.col("id")
+    m1 = labels.select(F.lit("m1").alias("model"), i, ((i % 7).cast("double") - _d(1.5)).alias("prediction"))
+    m2 = labels.select(F.lit("m2").alias("model"), i, ((i % 5).cast("double") * _d(0.5)).alias("prediction"))
+    return m1.unionByName(m2)

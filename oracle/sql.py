@@ -226,3 +226,170 @@ FROM (
   FROM (SELECT *, date_trunc('hour', hour_ts) AS target_hour_start FROM rides)
   GROUP BY city, start_station_id, target_hour_start
   ORDER BY city, start_station_id, target_hour_start LIMIT 128)""")
+
+
+# --- batch 2 ------------------------------------------------------------------------
+
+def table_ctes(p: str, src: str) -> list[str]:
+    """Keyed rides -> demand -> windows -> daytime grid -> zero-filled table for one source."""
+    return [
+        f"""{p}keyed AS (
+  SELECT r.*, coalesce(r.city, '__missing_city__') AS city_key,
+         {station_key_sql('r.start_station_id')} AS station_key,
+         date_trunc('hour', r.hour_ts) AS target_hour_start
+  FROM {src} r)""",
+        f"""{p}demand AS (
+  SELECT city_key, station_key, target_hour_start, count(*) AS demand
+  FROM {p}keyed GROUP BY city_key, station_key, target_hour_start)""",
+        f"""{p}tgrid AS (
+  SELECT city_key, station_key, h AS target_hour_start FROM (
+    SELECT city_key, station_key, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS h
+    FROM (SELECT city_key, station_key, min(target_hour_start) AS lo, max(target_hour_start) AS hi
+          FROM {p}keyed GROUP BY city_key, station_key))
+  WHERE hour(h) BETWEEN 6 AND 22)""",
+        f"""{p}table AS (
+  SELECT g.city_key, g.station_key, g.target_hour_start AS ts, coalesce(d.demand, 0) AS demand
+  FROM {p}tgrid g LEFT JOIN {p}demand d USING (city_key, station_key, target_hour_start))""",
+    ]
+
+
+POOL_CTES = [RIDES, SUPPLEMENTAL] + table_ctes("o_", "rides") + table_ctes("s_", "supp_rides") + [
+    """pool AS (
+  SELECT city_key, station_key, ts, demand, false AS is_supplementary, 0 AS source_rank FROM o_table
+  UNION ALL
+  SELECT city_key, station_key, ts, demand, true AS is_supplementary, 1 AS source_rank FROM s_table)""",
+    """dedup AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY city_key, station_key, ts ORDER BY source_rank) AS rn
+    FROM pool) WHERE rn = 1)""",
+    """cuts AS (
+  SELECT city_key, quantile_cont(ts, 0.8) AS cutoff FROM dedup WHERE city_key <> 'error'
+  GROUP BY city_key)""",
+    """splits AS (
+  SELECT d.city_key, d.station_key, d.ts, d.demand, d.is_supplementary,
+         CASE WHEN d.ts <= c.cutoff THEN 'train' ELSE 'val' END AS split
+  FROM dedup d JOIN cuts c USING (city_key)
+  UNION ALL
+  SELECT city_key, station_key, ts, demand, is_supplementary, 'test_unseen' AS split
+  FROM dedup WHERE city_key = 'error')""",
+]
+
+GRID_CTES = BASE + [DEMAND, WINDOWS, BOUNDS, active_grid()]
+
+
+def numeric_id_sql(x: str) -> str:
+    raw = f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    d = f"(CASE WHEN regexp_full_match({raw}, '{NUM}') THEN TRY_CAST({raw} AS DOUBLE) END)"
+    return f"(CASE WHEN {d} % 1 = 0 THEN TRY_CAST({d} AS BIGINT) END)"
+
+
+def hash_unit_sql(*parts: str, seed: int = 42) -> str:
+    cat = " || '|' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
+    return f"CAST(('0x' || substr(md5('{seed}|' || {cat}), 1, 8)) AS BIGINT)"
+
+
+START_SIDE = f"""start_side AS (
+  SELECT ride_id AS rental_id, strftime(started_at, {MIC}) AS started_at, start_station_id,
+         'Station ' || trim(start_station_id) AS start_station_name, start_lat, start_lng, city
+  FROM rides)"""
+
+SQL["join_station_meta"] = q(GRID_CTES + [SMETA], f"""
+SELECT g.city_key, g.station_key, strftime(g.target_hour_start, {SEC}) AS target_hour_start,
+       {', '.join('sm.' + x for x in ST_COLS)}
+FROM grid g LEFT JOIN smeta sm USING (city_key, station_key)""")
+
+SQL["join_city_hour"] = q(GRID_CTES + [f"""chw AS (
+  SELECT city_key, target_hour_start, {firsts(WEATHER_COLS)} FROM keyed
+  GROUP BY city_key, target_hour_start)"""], f"""
+SELECT g.city_key, g.station_key, strftime(g.target_hour_start, {SEC}) AS target_hour_start,
+       {', '.join('c.' + x for x in WEATHER_COLS)}
+FROM grid g LEFT JOIN chw c USING (city_key, target_hour_start)""")
+
+SQL["join_station_features"] = q([RIDES, START_SIDE, STATION_FEATURES], f"""
+SELECT r.rental_id, r.started_at, r.start_station_name, r.city,
+       {numeric_id_sql('r.start_station_id')} AS start_station_id,
+       f.lat AS start_lat, f.lng AS start_lng,
+       f.bike_lane_length_500m, f.park_area_500m, f.university_count_1000m, f.office_poi_count_1000m,
+       f.retail_poi_count_1000m, f.restaurant_cafe_count_500m, f.transit_stop_count_500m,
+       f.distance_to_nearest_rail_station, f.distance_to_city_center
+FROM start_side r LEFT JOIN station_features f
+  ON {numeric_id_sql('r.start_station_id')} = {numeric_id_sql('f.start_station_id')}""")
+
+SQL["join_weather_hour"] = q([RIDES, WEATHER], f"""
+SELECT r.ride_id, r.city, strftime(r.hour_ts, {SEC}) AS hour_ts,
+       w.* EXCLUDE (hour_ts)
+FROM rides r LEFT JOIN weather w ON strftime(r.hour_ts, {SEC}) = w.hour_ts""")
+
+SQL["validated_join"] = q(GRID_CTES, f"""
+SELECT g.city_key, g.station_key, strftime(g.target_hour_start, {SEC}) AS target_hour_start, d.demand
+FROM grid g LEFT JOIN demand d USING (city_key, station_key, target_hour_start)""")
+
+SQL["cross_station_hours"] = SQL["grid_full"]
+
+SQL["inner_grid_meta"] = q(BASE + [WINDOWS], f"""
+SELECT * REPLACE ({t('first_active_hour')}, {t('last_active_hour')}) FROM windows""")
+
+SQL["ids_match"] = q(TARGET_CTES + ["""fullids AS (
+  SELECT row_number() OVER (ORDER BY city_key, station_key, target_hour_start) - 1 AS id FROM grid)"""], """
+SELECT id, 'left' AS only_in FROM (SELECT id FROM labels EXCEPT SELECT id FROM fullids)
+UNION ALL
+SELECT id, 'right' AS only_in FROM (SELECT id FROM fullids EXCEPT SELECT id FROM labels)""")
+
+SQL["unique_ids"] = q([RIDES, SUPPLEMENTAL], """
+SELECT ride_id, count(*) AS n_rows FROM (
+  SELECT ride_id FROM rides UNION ALL SELECT ride_id FROM supp_rides)
+GROUP BY ride_id HAVING count(*) > 1""")
+
+SQL["prediction_checks"] = q(TARGET_CTES + ["""preds AS (
+  SELECT 'm1' AS model, id, CAST(id % 7 AS DOUBLE) - CAST(1.5 AS DOUBLE) AS prediction FROM labels
+  UNION ALL
+  SELECT 'm2' AS model, id, CAST(id % 5 AS DOUBLE) * CAST(0.5 AS DOUBLE) AS prediction FROM labels)"""], """
+SELECT model, n_rows, n_missing, n_nan, n_infinite, n_negative, expected_rows,
+       (n_missing + n_nan + n_infinite = 0) AND n_rows = expected_rows AS ok
+FROM (
+  SELECT model, count(*) AS n_rows, count_if(prediction IS NULL) AS n_missing,
+         count_if(isnan(prediction)) AS n_nan, count_if(isinf(prediction)) AS n_infinite,
+         count_if(prediction < 0) AS n_negative, (SELECT count(*) FROM labels) AS expected_rows
+  FROM preds GROUP BY model)""")
+
+SQL["pool_sources"] = q(POOL_CTES, f"SELECT * REPLACE ({t('ts')}) FROM pool")
+SQL["dedup_prefer_official"] = q(POOL_CTES, f"SELECT * REPLACE ({t('ts')}) FROM dedup")
+SQL["distinct_grid_rows"] = q(POOL_CTES, f"""
+SELECT DISTINCT city_key, station_key, strftime(ts, {SEC}) AS ts FROM pool""")
+
+SQL["concat_months"] = q([RIDES, START_SIDE, SUPPLEMENTAL], f"""
+SELECT rental_id, started_at, start_station_id, start_station_name, start_lat, start_lng, city FROM start_side
+UNION ALL
+SELECT ride_id, strftime(started_at, {MIC}), start_station_id, NULL, NULL, NULL, city FROM supp_rides""")
+
+_P1 = "p1cut AS (SELECT city, quantile_cont(started_at, 0.8) AS cutoff FROM rides WHERE city IS NOT NULL GROUP BY city)"
+SQL["temporal_split_rides"] = q([RIDES, _P1], """
+SELECT r.ride_id, r.city, CASE WHEN r.started_at <= c.cutoff THEN 'train' ELSE 'val' END AS split
+FROM rides r JOIN p1cut c USING (city) WHERE r.started_at IS NOT NULL""")
+SQL["split_cutoffs"] = q([RIDES, _P1], f"SELECT city, {t('cutoff', MIC)} FROM p1cut")
+
+SQL["load_splits"] = q(POOL_CTES, f"SELECT * REPLACE ({t('ts')}) FROM splits")
+SQL["load_splits_cutoffs"] = q(POOL_CTES, f"SELECT city_key, {t('cutoff', MIC)} FROM cuts")
+
+_TBL = [RIDES] + table_ctes("o_", "rides")
+_HU = hash_unit_sql("city_key", "station_key", f"strftime(ts, {SEC})")
+SQL["kfold_assign"] = q(_TBL, f"""
+SELECT city_key, station_key, strftime(ts, {SEC}) AS ts, demand, CAST({_HU} % 5 AS INTEGER) AS fold
+FROM o_table""")
+SQL["fraction_sample"] = q(_TBL, f"""
+SELECT city_key, station_key, strftime(ts, {SEC}) AS ts, demand FROM o_table
+WHERE {_HU} / CAST(4294967296 AS DOUBLE) < CAST(0.35 AS DOUBLE)""")
+SQL["shuffle_rows"] = q(_TBL, f"SELECT city_key, station_key, strftime(ts, {SEC}) AS ts, demand FROM o_table")
+
+SQL["city_balanced_weights"] = q(POOL_CTES, f"""
+SELECT s.city_key, s.station_key, strftime(s.ts, {SEC}) AS ts, w.weight
+FROM splits s JOIN (
+  SELECT city_key, round(sum(nc) OVER () / (count(*) OVER () * nc), 6) AS weight
+  FROM (SELECT city_key, count(*) AS nc FROM splits WHERE split = 'train' GROUP BY city_key)) w
+USING (city_key) WHERE s.split = 'train'""")
+
+SQL["split_stats"] = q(POOL_CTES, """
+SELECT split, city_key, count(*) AS rows, round(avg(CAST(demand AS DOUBLE)), 6) AS mean_demand,
+       round(avg(CAST(demand = 0 AS DOUBLE)), 6) AS zero_rate, max(demand) AS max_demand,
+       count_if(is_supplementary) AS supplementary_rows
+FROM splits GROUP BY split, city_key""")
