@@ -73,8 +73,8 @@ def resolve_hour(df: DataFrame, precedence=("hour_ts", "started_at")) -> Column:
 def numeric_coerce(c) -> Column:
     """Text -> double, failures -> NULL (never NaN)."""
     v = _col(c)
-    return nan_to_null(F.when(v.cast("string").rlike(NUMERIC_TEXT) | v.cast("string").isNull(),
-                              v.try_cast("double")))
+    raw = F.regexp_replace(v.cast("string"), _STRIP, "")
+    return nan_to_null(F.when(raw.rlike(NUMERIC_TEXT), raw.try_cast("double")))
 
 
 def nan_to_null(c) -> Column:

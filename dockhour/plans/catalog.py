@@ -231,7 +231,7 @@ def inner_grid_meta(spark, sf):
 
 
 def ids_match(spark, sf):
-    capped = _targets(spark, sf).private_labels
+    capped = _labels(spark, sf)
     full, _, _ = _grid(spark, sf)
     return J.ids_match(capped, G.dense_row_id(full, HOUR))
 
@@ -249,9 +249,9 @@ def unique_ids(spark, sf):
 
 
 def prediction_checks(spark, sf):
-    t = _targets(spark, sf)
-    preds = TD.predictions(t.private_labels)
-    n = t.private_labels.select(F.count(F.lit(1))).scalar()
+    labels = _labels(spark, sf)
+    preds = TD.predictions(labels)
+    n = labels.select(F.count(F.lit(1))).scalar()
     return V.prediction_checks(preds, n)
 
 
@@ -361,3 +361,254 @@ QUERIES.update({
     "city_balanced_weights": city_balanced_weights,
     "split_stats": split_stats,
 })
+
+
+# --- batch 3: scalar functions, features, encodings, scoring -----------------------
+from ..functions import geo as GEO            # noqa: E402
+from ..functions.time import calendar_fields as _cal, cyclical_time as _cyc, time_parts as _tp  # noqa: E402
+from ..operators import encoding as TE       # noqa: E402
+from ..operators import features as FE       # noqa: E402
+from ..operators import scoring as SC        # noqa: E402
+from ..schemas import POI_COLS, RIDE_COLS    # noqa: E402
+
+TKEYS = ["city_key", "station_key", "ts"]
+
+
+def _table(spark, sf):
+    return station_hour_table(_rides(spark, sf), ORDER)
+
+
+def _r6(df, cols):
+    # + 0.0 turns a rounded -0.0 into 0.0 (engines differ on the sign of a rounded zero)
+    return df.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in cols})
+
+
+def time_parts(spark, sf):
+    t = _table(spark, sf)
+    tp = _tp("ts")
+    return as_text(t.select(*TKEYS, *[tp[k].alias(k) for k in ("hour", "weekday", "is_weekend", "how")]))
+
+
+def cyclical_time(spark, sf):
+    t = _table(spark, sf)
+    c = _cyc("ts")
+    return _r6(as_text(t.select(*TKEYS, *[v.alias(k) for k, v in c.items()])),
+               ["hour_sin", "hour_cos", "dow_sin", "dow_cos"])
+
+
+def numeric_coerce(spark, sf):
+    r = _rides(spark, sf)
+    return r.select("ride_id", "start_station_id",
+                    K.numeric_coerce("start_station_id").alias("station_num"))
+
+
+def conform_schema(spark, sf):
+    raw = TD.start_side_rides(spark, sf)
+    return K.conform_schema(raw, RIDE_COLS, {"started_at": "string", "start_station_id": "string",
+                                             "city": "string", "end_station_id": "string",
+                                             "user_type": "string", "ended_at": "string",
+                                             "date": "string", "holiday_name": "string",
+                                             "hour_ts": "string", "weekday": "int", "weekend": "int",
+                                             "holiday": "int", "working_day": "int"})
+
+
+def calendar_fields_q(spark, sf):
+    r = _rides(spark, sf)
+    c = _cal("started_at")
+    return as_text(r.select("ride_id", *[v.alias(k) for k, v in c.items()]))
+
+
+def format_timestamps(spark, sf):
+    r = _rides(spark, sf)
+    return r.select("ride_id", format_ts("started_at").alias("started_at"),
+                    format_ts("hour_ts").alias("hour_ts"))
+
+
+def clip_non_negative(spark, sf):
+    p = TD.predictions(_labels(spark, sf))
+    return p.withColumn("prediction_clipped", F.greatest(F.lit(0.0), F.col("prediction")))
+
+
+def season_filter(spark, sf, months=(6, 7, 8)):
+    r = TD.start_side_rides(spark, sf)
+    m = F.month(F.to_timestamp("started_at"))
+    return r.filter(m.isin(list(months)))
+
+
+def head_sample(spark, sf):
+    return as_text(_rides(spark, sf).orderBy("ride_id").limit(1000), micros=("started_at",))
+
+
+def coord_box_filter(spark, sf):
+    r = _rides(spark, sf).select("ride_id", "start_lat", "start_lng")
+    return r.filter(GEO.in_box("start_lat", "start_lng", 38.80, 38.82, -77.10, -77.08))
+
+
+def haversine(spark, sf):
+    s = TD.station_features(spark, sf)
+    d = GEO.haversine_m("lat", "lng", 38.82, -77.08)
+    return s.select("start_station_id", F.round(d, 6).alias("distance_m"))
+
+
+def local_projection(spark, sf):
+    s = TD.station_features(spark, sf)
+    x, y = GEO.aeqd_xy("lat", "lng", 38.82, -77.08)
+    return s.select("start_station_id", F.round(x, 6).alias("x_m"), F.round(y, 6).alias("y_m"))
+
+
+def apply_missingness(spark, sf):
+    t = FE.apply_missingness(_table(spark, sf))
+    return as_text(t.select(*TKEYS, *POI_COLS))
+
+
+def category_missingness(spark, sf):
+    t = FE.apply_missingness(_table(spark, sf))
+    m = FE.category_missingness(t)
+    return as_text(t.select(*TKEYS, *[v.alias(k) for k, v in m.items()]))
+
+
+def build_feature_groups(spark, sf):
+    t = _table(spark, sf)
+    X = FE.build_features(t, "no_identity", keep=TKEYS)
+    return _r6(as_text(X), ["hour_sin", "hour_cos", "dow_sin", "dow_cos"])
+
+
+def _train_val(spark, sf):
+    out, _ = _splits(spark, sf)
+    return out.filter(F.col("split") == "train"), out.filter(F.col("split") != "train")
+
+
+def te_fit(spark, sf):
+    train, _ = _train_val(spark, sf)
+    train = train.withColumn("how", _tp("ts")["how"])
+    enc = TE.te_fit(train)
+    parts = []
+    for name, keys in TE.LEVELS.items():
+        cols = {k: (F.col(k).cast("string") if k in keys else F.lit(None).cast("string"))
+                for k in ("city_key", "station_key", "how")}
+        parts.append(enc[name].select(F.lit(name).alias("level"), *[v.alias(k) for k, v in cols.items()],
+                                      F.col(f"_te_{name}").alias("te")))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return _r6(out, ["te"])
+
+
+def te_transform(spark, sf):
+    train, val = _train_val(spark, sf)
+    how = _tp("ts")["how"]
+    enc = TE.te_fit(train.withColumn("how", how))
+    out = TE.te_transform(val.withColumn("how", how), enc)
+    return _r6(as_text(out.select(*TKEYS, "split", *TE_COLS_)), TE_COLS_)
+
+
+def te_oof(spark, sf):
+    train, _ = _train_val(spark, sf)
+    t = P.kfold_assign(train.withColumn("how", _tp("ts")["how"]), TKEYS, 5)
+    out = TE.te_oof(t)
+    return _r6(as_text(out.select(*TKEYS, "fold", *TE_COLS_)), TE_COLS_)
+
+
+def features_with_te(spark, sf):
+    """T4 on train rows: no-identity features + out-of-fold encodings."""
+    off, _ = _tables(spark, sf)
+    t = P.kfold_assign(off.withColumn("how", _tp("ts")["how"]), TKEYS, 5)
+    X = FE.build_features(t, "no_identity", keep=TKEYS + ["fold", "how", "demand"])
+    X = TE.te_oof(X)
+    return _r6(as_text(X), ["hour_sin", "hour_cos", "dow_sin", "dow_cos"] + TE_COLS_)
+
+
+def baseline_features(spark, sf):
+    """T5: 7 time + 22 raw + 4 encodings fit on the whole table."""
+    t = _table(spark, sf)
+    enc = TE.te_fit(t)
+    X = TE.te_transform(t, enc)
+    X = FE.build_features(X, "baseline", keep=TKEYS)
+    return _r6(as_text(X), ["hour_sin", "hour_cos", "dow_sin", "dow_cos"] + TE_COLS_)
+
+
+def fallback_median(spark, sf):
+    train, _ = _train_val(spark, sf)
+    by, glob = FE.fallback_median(train)
+    return by.select(F.col("_w").alias("weekday"), F.col("_h").alias("hour"), "fallback_median",
+                     glob.alias("global_median"))
+
+
+def _labels(spark, sf):
+    """Private labels as a written table: checkpointed once into the shared checkpoint folder,
+    so the predictions and every check read it instead of re-running the builder."""
+    from ..session import cut_lineage
+    return cut_lineage(_targets(spark, sf).private_labels)
+
+
+def _scored(spark, sf, with_failure=False):
+    labels = _labels(spark, sf)
+    preds = (TD.predictions_with_failure(labels) if with_failure else TD.predictions(labels))
+    return labels, preds
+
+
+def score_rows(spark, sf):
+    labels, preds = _scored(spark, sf)
+    return SC.score_rows(labels, preds)
+
+
+def score_summary(spark, sf):
+    labels, preds = _scored(spark, sf)
+    s = SC.score_summary(SC.score_rows(labels, preds))
+    return _r6(s, ["mae", "rmse", "mean_true_demand", "mean_prediction"])
+
+
+def blended_mae(spark, sf):
+    labels, preds = _scored(spark, sf)
+    s = SC.score_summary(SC.score_rows(labels, preds))
+    return _r6(SC.blended_mae(s, TD.TESTDATA_HOLDOUT_CITY), ["in_dist_mae", "holdout_mae", "blended_mae"])
+
+
+def leaderboard_sort(spark, sf):
+    labels, preds = _scored(spark, sf)
+    return SC.leaderboard_sort(SC.score_summary(SC.score_rows(labels, preds)))
+
+
+def multi_model_leaderboard(spark, sf):
+    labels, preds = _scored(spark, sf, with_failure=True)
+    board, _ = SC.multi_model_leaderboard(labels, preds)
+    return board
+
+
+def leaderboard_failures(spark, sf):
+    labels, preds = _scored(spark, sf, with_failure=True)
+    _, failures = SC.multi_model_leaderboard(labels, preds)
+    return failures
+
+
+TE_COLS_ = ["te_city", "te_city_how", "te_station", "te_station_how"]
+
+QUERIES.update({
+    "time_parts": time_parts,
+    "cyclical_time": cyclical_time,
+    "numeric_coerce": numeric_coerce,
+    "conform_schema": conform_schema,
+    "calendar_fields": calendar_fields_q,
+    "format_timestamps": format_timestamps,
+    "clip_non_negative": clip_non_negative,
+    "season_filter": season_filter,
+    "head_sample": head_sample,
+    "coord_box_filter": coord_box_filter,
+    "haversine": haversine,
+    "local_projection": local_projection,
+    "apply_missingness": apply_missingness,
+    "category_missingness": category_missingness,
+    "build_feature_groups": build_feature_groups,
+    "te_fit": te_fit,
+    "te_transform": te_transform,
+    "te_oof": te_oof,
+    "features_with_te": features_with_te,
+    "baseline_features": baseline_features,
+    "fallback_median": fallback_median,
+    "score_rows": score_rows,
+    "score_summary": score_summary,
+    "blended_mae": blended_mae,
+    "leaderboard_sort": leaderboard_sort,
+    "multi_model_leaderboard": multi_model_leaderboard,
+    "leaderboard_failures": leaderboard_failures,
+})

@@ -217,3 +217,11 @@ def predictions(labels: DataFrame) -> DataFrame:
     m1 = labels.select(F.lit("m1").alias("model"), i, ((i % 7).cast("double") - _d(1.5)).alias("prediction"))
     m2 = labels.select(F.lit("m2").alias("model"), i, ((i % 5).cast("double") * _d(0.5)).alias("prediction"))
     return m1.unionByName(m2)
+
+
+def predictions_with_failure(labels: DataFrame) -> DataFrame:
+    """m1, m2 plus a model m3 whose every 100th prediction is NaN (fails validation)."""
+    i = F.col("id")
+    m3 = labels.select(F.lit("m3").alias("model"), i,
+                       F.when(i % 100 == 0, F.lit(float("nan"))).otherwise(_d(1.0)).alias("prediction"))
+    return predictions(labels).unionByName(m3)

@@ -393,3 +393,283 @@ SELECT split, city_key, count(*) AS rows, round(avg(CAST(demand AS DOUBLE)), 6)
        round(avg(CAST(demand = 0 AS DOUBLE)), 6) AS zero_rate, max(demand) AS max_demand,
        count_if(is_supplementary) AS supplementary_rows
 FROM splits GROUP BY split, city_key""")
+
+
+# --- batch 3 ------------------------------------------------------------------------
+import math as _math  # noqa: E402
+
+from dockhour.schemas import POI_COLS, POI_PRESENCE_COLS, RIDE_COLS  # noqa: E402
+
+TWO_PI = repr(2 * _math.pi)
+TKEYS = f"city_key, station_key, strftime(ts, {SEC}) AS ts"
+_FLAGS = ["weekend", "holiday", "working_day"]
+
+FT = """ft AS (
+  SELECT g.city_key, g.station_key, g.target_hour_start AS ts, coalesce(d.demand, 0) AS demand,
+         {ch}, {sm}, g.city_key AS city, hour(g.target_hour_start) AS hour,
+         isodow(g.target_hour_start) - 1 AS weekday,
+         CASE WHEN isodow(g.target_hour_start) - 1 >= 5 THEN 1 ELSE 0 END AS is_weekend,
+         (isodow(g.target_hour_start) - 1) * 24 + hour(g.target_hour_start) AS how
+  FROM tgrid g
+  LEFT JOIN demand d USING (city_key, station_key, target_hour_start)
+  LEFT JOIN tchmeta ch USING (city_key, target_hour_start)
+  LEFT JOIN tsmeta sm USING (city_key, station_key))""".format(
+    ch=", ".join("ch." + x for x in WEATHER_COLS + ['weekend', 'holiday', 'working_day', 'holiday_name']),
+    sm=", ".join("sm." + x for x in STATION_META_COLS))
+FT_CTES = TABLE_CTES + [FT]
+
+
+def miss_sql(src: str = "ft") -> str:
+    """B9 over a table CTE: projection with the missingness rules applied."""
+    all_zero = " AND ".join(f"coalesce({c}, 0) = 0" for c in POI_PRESENCE_COLS)
+    repl = [f"CASE WHEN NOT ({all_zero}) THEN {c} END AS {c}" for c in POI_PRESENCE_COLS]
+    repl.append("CASE WHEN distance_to_nearest_rail_station <> -1 THEN distance_to_nearest_rail_station END "
+                "AS distance_to_nearest_rail_station")
+    return f"ftm AS (SELECT * REPLACE ({', '.join(repl)}) FROM {src})"
+
+
+def cyc_sql(ts: str = "ts") -> dict[str, str]:
+    h, w = f"CAST(hour({ts}) AS DOUBLE)", f"CAST(isodow({ts}) - 1 AS DOUBLE)"
+    return {
+        "hour_sin": f"round(sin(CAST({TWO_PI} AS DOUBLE) * {h} / 24), 6) + CAST(0.0 AS DOUBLE)",
+        "hour_cos": f"round(cos(CAST({TWO_PI} AS DOUBLE) * {h} / 24), 6) + CAST(0.0 AS DOUBLE)",
+        "dow_sin": f"round(sin(CAST({TWO_PI} AS DOUBLE) * {w} / 7), 6) + CAST(0.0 AS DOUBLE)",
+        "dow_cos": f"round(cos(CAST({TWO_PI} AS DOUBLE) * {w} / 7), 6) + CAST(0.0 AS DOUBLE)",
+    }
+
+
+def tf_sql(ts: str = "ts") -> list[str]:
+    c = cyc_sql(ts)
+    return [f"{v} AS {k}" for k, v in c.items()] + [
+        f"CAST(hour({ts}) AS DOUBLE) AS hour", f"CAST(isodow({ts}) - 1 AS DOUBLE) AS weekday",
+        f"CAST(CASE WHEN isodow({ts}) - 1 >= 5 THEN 1 ELSE 0 END AS DOUBLE) AS is_weekend",
+        f"CAST(month({ts}) AS DOUBLE) AS month", f"CAST(dayofyear({ts}) AS DOUBLE) AS day_of_year"]
+
+
+SQL["time_parts"] = q(FT_CTES, f"""
+SELECT {TKEYS}, hour(ts) AS hour, isodow(ts) - 1 AS weekday,
+       CASE WHEN isodow(ts) - 1 >= 5 THEN 1 ELSE 0 END AS is_weekend,
+       (isodow(ts) - 1) * 24 + hour(ts) AS how FROM ft""")
+
+SQL["cyclical_time"] = q(FT_CTES, f"""
+SELECT {TKEYS}, {', '.join(f'{v} AS {k}' for k, v in cyc_sql().items())},
+       month(ts) AS month, dayofyear(ts) AS day_of_year FROM ft""")
+
+_RAW = "regexp_replace(start_station_id, '^\\s+|\\s+$', '', 'g')"
+SQL["numeric_coerce"] = q([RIDES], f"""
+SELECT ride_id, start_station_id,
+       CASE WHEN regexp_full_match({_RAW}, '{NUM}') THEN TRY_CAST({_RAW} AS DOUBLE) END AS station_num
+FROM rides""")
+
+_STR = {"started_at", "start_station_id", "city", "end_station_id", "user_type", "ended_at", "date",
+        "holiday_name", "hour_ts"}
+_INT = {"weekday", "weekend", "holiday", "working_day"}
+_have = {"started_at", "start_station_id", "start_lat", "start_lng", "city"}
+
+
+def _conf(c):
+    if c in _have:
+        return c
+    typ = "VARCHAR" if c in _STR else ("INTEGER" if c in _INT else "DOUBLE")
+    return f"CAST(NULL AS {typ}) AS {c}"
+
+
+SQL["conform_schema"] = q([RIDES, START_SIDE], f"SELECT {', '.join(_conf(c) for c in RIDE_COLS)} FROM start_side")
+
+SQL["calendar_fields"] = q([RIDES], f"""
+SELECT ride_id, date, weekday, weekend, holiday, holiday_name, working_day, {t('hour_ts')} FROM rides""")
+
+SQL["format_timestamps"] = q([RIDES], f"SELECT ride_id, {t('started_at')}, {t('hour_ts')} FROM rides")
+
+PREDS = """preds AS (
+  SELECT 'm1' AS model, id, CAST(id % 7 AS DOUBLE) - CAST(1.5 AS DOUBLE) AS prediction FROM labels
+  UNION ALL
+  SELECT 'm2' AS model, id, CAST(id % 5 AS DOUBLE) * CAST(0.5 AS DOUBLE) AS prediction FROM labels)"""
+PREDS3 = """preds AS (
+  SELECT 'm1' AS model, id, CAST(id % 7 AS DOUBLE) - CAST(1.5 AS DOUBLE) AS prediction FROM labels
+  UNION ALL
+  SELECT 'm2' AS model, id, CAST(id % 5 AS DOUBLE) * CAST(0.5 AS DOUBLE) AS prediction FROM labels
+  UNION ALL
+  SELECT 'm3' AS model, id, CASE WHEN id % 100 = 0 THEN CAST('NaN' AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END
+  FROM labels)"""
+
+SQL["clip_non_negative"] = q(TARGET_CTES + [PREDS], """
+SELECT model, id, prediction, greatest(CAST(0.0 AS DOUBLE), prediction) AS prediction_clipped FROM preds""")
+
+SQL["season_filter"] = q([RIDES, START_SIDE], """
+SELECT * FROM start_side WHERE month(CAST(started_at AS TIMESTAMP)) IN (6, 7, 8)""")
+
+SQL["head_sample"] = q([RIDES], f"""
+SELECT * REPLACE ({t('started_at', MIC)}, {t('hour_ts')}) FROM rides ORDER BY ride_id LIMIT 1000""")
+
+SQL["coord_box_filter"] = q([RIDES], """
+SELECT ride_id, start_lat, start_lng FROM rides
+WHERE start_lat BETWEEN CAST(38.80 AS DOUBLE) AND CAST(38.82 AS DOUBLE)
+  AND start_lng BETWEEN CAST(-77.10 AS DOUBLE) AND CAST(-77.08 AS DOUBLE)""")
+
+
+def haversine_sql(lat1, lng1, lat2, lng2):
+    return (f"CAST(12742000.0 AS DOUBLE) * asin(sqrt(pow(sin(radians({lat2} - {lat1}) / 2), 2) + "
+            f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lng2} - {lng1}) / 2), 2)))")
+
+
+SQL["haversine"] = q([STATION_FEATURES], f"""
+SELECT start_station_id, round({haversine_sql('lat', 'lng', 'CAST(38.82 AS DOUBLE)', 'CAST(-77.08 AS DOUBLE)')}, 6) AS distance_m
+FROM station_features""")
+
+
+def aeqd_sql(lat, lng, lat0, lng0):
+    phi, lam, phi0, lam0 = f"radians({lat})", f"radians({lng})", f"radians({lat0})", f"radians({lng0})"
+    dl = f"({lam} - {lam0})"
+    cosc = f"(sin({phi0}) * sin({phi}) + cos({phi0}) * cos({phi}) * cos({dl}))"
+    c = f"acos(least(CAST(1.0 AS DOUBLE), greatest(CAST(-1.0 AS DOUBLE), {cosc})))"
+    k = f"(CASE WHEN {c} = 0 THEN CAST(1.0 AS DOUBLE) ELSE {c} / sin({c}) END)"
+    x = f"CAST(6371000.0 AS DOUBLE) * {k} * cos({phi}) * sin({dl})"
+    y = f"CAST(6371000.0 AS DOUBLE) * {k} * (cos({phi0}) * sin({phi}) - sin({phi0}) * cos({phi}) * cos({dl}))"
+    return x, y
+
+
+_x, _y = aeqd_sql("lat", "lng", "CAST(38.82 AS DOUBLE)", "CAST(-77.08 AS DOUBLE)")
+SQL["local_projection"] = q([STATION_FEATURES], f"""
+SELECT start_station_id, round({_x}, 6) AS x_m, round({_y}, 6) AS y_m FROM station_features""")
+
+SQL["apply_missingness"] = q(FT_CTES + [miss_sql()], f"SELECT {TKEYS}, {', '.join(POI_COLS)} FROM ftm")
+
+_MISS = (
+    "CAST(" + " AND ".join(f"{c} IS NULL" for c in WEATHER_COLS) + " AS INTEGER) AS miss_weather, "
+    "CAST(" + " OR ".join(f"{c} IS NULL" for c in _FLAGS) + " AS INTEGER) AS miss_calendar, "
+    "CAST(" + " AND ".join(f"{c} IS NULL" for c in POI_PRESENCE_COLS) + " AS INTEGER) AS miss_station")
+SQL["category_missingness"] = q(FT_CTES + [miss_sql()], f"SELECT {TKEYS}, {_MISS} FROM ftm")
+
+_NOID = ", ".join(tf_sql() + [f"CAST({c} AS DOUBLE) AS {c}" for c in _FLAGS + WEATHER_COLS + POI_COLS])
+SQL["build_feature_groups"] = q(FT_CTES + [miss_sql()], f"SELECT {TKEYS}, {_NOID} FROM ftm")
+
+# --- target encodings over the pooled splits ---
+_HOW = "(isodow(ts) - 1) * 24 + hour(ts)"
+TRAIN = f"tr AS (SELECT *, {_HOW} AS how FROM splits WHERE split = 'train')"
+EVAL = f"ev AS (SELECT *, {_HOW} AS how FROM splits WHERE split <> 'train')"
+LEVEL_KEYS = {"station_how": ["station_key", "how"], "station": ["station_key"],
+              "city_how": ["city_key", "how"], "city": ["city_key"]}
+
+
+def enc_ctes(src: str, p: str = "e_") -> list[str]:
+    out = [f"{p}{n} AS (SELECT {', '.join(k)}, avg(demand) AS v FROM {src} GROUP BY {', '.join(k)})"
+           for n, k in LEVEL_KEYS.items()]
+    out.append(f"{p}global AS (SELECT avg(demand) AS v FROM {src})")
+    return out
+
+
+def te_cols_sql(p="e_"):
+    c, ch, s, sh, g = (f"{p}city.v", f"{p}city_how.v", f"{p}station.v", f"{p}station_how.v", f"{p}global.v")
+    return {"te_city": f"coalesce({c}, {g})", "te_city_how": f"coalesce({ch}, {c}, {g})",
+            "te_station": f"coalesce({s}, {c}, {g})", "te_station_how": f"coalesce({sh}, {s}, {c}, {g})"}
+
+
+def te_joins(src_alias: str, p="e_"):
+    return " ".join(f"LEFT JOIN {p}{n} USING ({', '.join(k)})" for n, k in LEVEL_KEYS.items()) + f" CROSS JOIN {p}global"
+
+
+SQL["te_fit"] = q(POOL_CTES + [TRAIN], " UNION ALL ".join(
+    f"""SELECT '{n}' AS level, {'city_key' if 'city_key' in k else 'CAST(NULL AS VARCHAR)'} AS city_key,
+       {'station_key' if 'station_key' in k else 'CAST(NULL AS VARCHAR)'} AS station_key,
+       {'CAST(how AS VARCHAR)' if 'how' in k else 'CAST(NULL AS VARCHAR)'} AS how,
+       round(avg(demand), 6) AS te FROM tr GROUP BY {', '.join(k)}""" for n, k in LEVEL_KEYS.items()))
+
+_TEV = te_cols_sql()
+SQL["te_transform"] = q(POOL_CTES + [TRAIN, EVAL] + enc_ctes("tr"), f"""
+SELECT ev.city_key, ev.station_key, strftime(ev.ts, {SEC}) AS ts, ev.split,
+       {', '.join(f'round({v}, 6) AS {k}' for k, v in _TEV.items())}
+FROM ev {te_joins('ev')}""")
+
+
+def oof_ctes(src: str, p: str = "o_") -> list[str]:
+    out = []
+    for n, k in LEVEL_KEYS.items():
+        ks = ", ".join(k)
+        out.append(f"""{p}{n} AS (
+  SELECT {ks}, fold, (sum(s) OVER (PARTITION BY {ks}) - s) / nullif(sum(c) OVER (PARTITION BY {ks}) - c, 0) AS v
+  FROM (SELECT {ks}, fold, sum(demand) AS s, count(demand) AS c FROM {src} GROUP BY {ks}, fold))""")
+    out.append(f"""{p}global AS (
+  SELECT fold, (sum(s) OVER () - s) / nullif(sum(c) OVER () - c, 0) AS v
+  FROM (SELECT fold, sum(demand) AS s, count(demand) AS c FROM {src} GROUP BY fold))""")
+    return out
+
+
+def oof_joins(p="o_"):
+    return (" ".join(f"LEFT JOIN {p}{n} USING ({', '.join(k)}, fold)" for n, k in LEVEL_KEYS.items())
+            + f" LEFT JOIN {p}global USING (fold)")
+
+
+_TEO = te_cols_sql("o_")
+_FOLD = hash_unit_sql("city_key", "station_key", f"strftime(ts, {SEC})")
+SQL["te_oof"] = q(POOL_CTES + [TRAIN, f"trf AS (SELECT *, CAST({_FOLD} % 5 AS INTEGER) AS fold FROM tr)"]
+                  + oof_ctes("trf"), f"""
+SELECT trf.city_key, trf.station_key, strftime(trf.ts, {SEC}) AS ts, trf.fold,
+       {', '.join(f'round({v}, 6) AS {k}' for k, v in _TEO.items())}
+FROM trf {oof_joins()}""")
+
+_NOID_F = ", ".join(tf_sql() + [f"CAST({c} AS DOUBLE) AS {c}" for c in _FLAGS + WEATHER_COLS + POI_COLS])
+SQL["features_with_te"] = q(FT_CTES + [miss_sql(), f"""ftf AS (
+  SELECT *, CAST({_FOLD} % 5 AS INTEGER) AS fold FROM ftm)"""] + oof_ctes("ftf"), f"""
+SELECT ftf.city_key, ftf.station_key, strftime(ftf.ts, {SEC}) AS ts, ftf.fold, ftf.how, ftf.demand,
+       {_NOID_F.replace('ts)', 'ftf.ts)')},
+       {', '.join(f'round({v}, 6) AS {k}' for k, v in _TEO.items())}
+FROM ftf {oof_joins()}""")
+
+_BASE7 = tf_sql("ft.ts")[:7]
+SQL["baseline_features"] = q(FT_CTES + enc_ctes("ft"), f"""
+SELECT ft.city_key, ft.station_key, strftime(ft.ts, {SEC}) AS ts,
+       {', '.join(_BASE7)},
+       {', '.join(f'CAST(ft.{c} AS DOUBLE) AS {c}' for c in WEATHER_COLS + _FLAGS + STATION_META_COLS)},
+       {', '.join(f'round({v}, 6) AS {k}' for k, v in _TEV.items())}
+FROM ft {te_joins('ft')}""")
+
+SQL["fallback_median"] = q(POOL_CTES + [TRAIN], """
+SELECT isodow(ts) - 1 AS weekday, hour(ts) AS hour, median(demand) AS fallback_median,
+       (SELECT median(demand) FROM tr) AS global_median
+FROM tr GROUP BY isodow(ts) - 1, hour(ts)""")
+
+SCORED = """scored AS (
+  SELECT l.id, l.city, l.start_station_id, strftime(l.target_hour_start, '%Y-%m-%d %H:%M:%S') AS target_hour_start,
+         l.demand, p.model, p.prediction,
+         greatest(CAST(0.0 AS DOUBLE), p.prediction) AS prediction_clipped,
+         abs(CAST(l.demand AS DOUBLE) - greatest(CAST(0.0 AS DOUBLE), p.prediction)) AS abs_error,
+         (CAST(l.demand AS DOUBLE) - greatest(CAST(0.0 AS DOUBLE), p.prediction))
+       * (CAST(l.demand AS DOUBLE) - greatest(CAST(0.0 AS DOUBLE), p.prediction)) AS squared_error
+  FROM labels l LEFT JOIN preds p USING (id))"""
+
+
+def summary_cte(src="scored", rnd=True):
+    r = (lambda x: f"round({x}, 6)") if rnd else (lambda x: x)
+    return f"""summary AS (
+  SELECT model, CASE WHEN grouping(city) = 1 THEN 'OVERALL' ELSE city END AS city, count(*) AS n_rows,
+         {r('avg(abs_error)')} AS mae, {r('sqrt(avg(squared_error))')} AS rmse,
+         {r('avg(CAST(demand AS DOUBLE))')} AS mean_true_demand, {r('avg(prediction_clipped)')} AS mean_prediction,
+         CASE WHEN grouping(city) = 1 THEN count_if(prediction < 0) END AS negative_predictions_before_clipping
+  FROM {src} GROUP BY GROUPING SETS ((model, city), (model)))"""
+
+
+SQL["score_rows"] = q(TARGET_CTES + [PREDS, SCORED], "SELECT * FROM scored")
+SQL["score_summary"] = q(TARGET_CTES + [PREDS, SCORED, summary_cte()], "SELECT * FROM summary")
+SQL["blended_mae"] = q(TARGET_CTES + [PREDS, SCORED, summary_cte(rnd=False)], """
+SELECT model, round(in_dist_mae, 6) AS in_dist_mae, round(holdout_mae, 6) AS holdout_mae,
+       round(2.0 / 3.0 * in_dist_mae + 1.0 / 3.0 * holdout_mae, 6) AS blended_mae
+FROM (SELECT model, avg(CASE WHEN city <> 'error' THEN mae END) AS in_dist_mae,
+             max(CASE WHEN city = 'error' THEN mae END) AS holdout_mae
+      FROM summary WHERE city <> 'OVERALL' GROUP BY model)""")
+
+_LB = """SELECT model, city, n_rows, CAST(round_even(mae, 6) AS DOUBLE) AS mae,
+       CAST(round_even(rmse, 6) AS DOUBLE) AS rmse,
+       CAST(round_even(mean_true_demand, 6) AS DOUBLE) AS mean_true_demand,
+       CAST(round_even(mean_prediction, 6) AS DOUBLE) AS mean_prediction,
+       negative_predictions_before_clipping FROM summary"""
+SQL["leaderboard_sort"] = q(TARGET_CTES + [PREDS, SCORED, summary_cte(rnd=False)], _LB)
+SQL["multi_model_leaderboard"] = q(TARGET_CTES + [PREDS, SCORED, summary_cte(rnd=False)], _LB)
+SQL["leaderboard_failures"] = q(TARGET_CTES + [PREDS3], """
+SELECT model, n_rows, n_missing, n_nan, n_infinite, n_negative, expected_rows, false AS ok
+FROM (
+  SELECT model, count(*) AS n_rows, count_if(prediction IS NULL) AS n_missing,
+         count_if(isnan(prediction)) AS n_nan, count_if(isinf(prediction)) AS n_infinite,
+         count_if(prediction < 0) AS n_negative, (SELECT count(*) FROM labels) AS expected_rows
+  FROM preds GROUP BY model)
+WHERE n_missing + n_nan + n_infinite > 0 OR n_rows <> expected_rows""")
