@@ -612,3 +612,78 @@ QUERIES.update({
     "multi_model_leaderboard": multi_model_leaderboard,
     "leaderboard_failures": leaderboard_failures,
 })
+
+
+# --- batch 4: exploratory report --------------------------------------------------
+from ..operators import eda as EDA          # noqa: E402
+
+
+def _eda(fn, rcols=(), micros=()):
+    def run(spark, sf):
+        out = fn(_rides(spark, sf))
+        return _r6(as_text(out, micros=micros), list(rcols)) if rcols else as_text(out, micros=micros)
+    run.__name__ = fn.__name__
+    return run
+
+
+def reconcile_sources(spark, sf):
+    a = key_rides(TD.rides(spark, sf), HOUR)
+    b = key_rides(TD.supplemental_rides(spark, sf), HOUR)
+    return EDA.reconcile_sources(a, b, ("city", "station_key"))
+
+
+def agreement_corr_weather(spark, sf):
+    """Per city, r between ride-level first temperature per hour and the weather lookup."""
+    rollup, _ = _rollup(spark, sf)
+    ch = as_text(A.city_hour_meta(rollup, HOUR, ["temperature_2m"]))
+    w = TD.weather_table(spark, sf).select(F.col("hour_ts").alias(HOUR),
+                                           F.col("temperature_2m").alias("lookup_temperature"))
+    j = ch.join(w, HOUR)
+    return _r6(j.groupBy("city_key").agg(EDA.pearson("temperature_2m", "lookup_temperature").alias("r")), ["r"])
+
+
+def agreement_corr_poi(spark, sf):
+    """Per city, rank correlation of a POI column from two sources (average-tie ranks)."""
+    rollup, _ = _rollup(spark, sf)
+    sm = A.station_meta(rollup, ["bike_lane_length_500m"])
+    ft = TD.station_features(spark, sf).select(F.col("start_station_id").alias("station_key"),
+                                               F.col("bike_lane_length_500m").alias("lookup_bike_lane"))
+    j = sm.join(ft, "station_key")
+    j = j.withColumns({"_ra": EDA.average_rank("bike_lane_length_500m", ["city_key"]),
+                       "_rb": EDA.average_rank("lookup_bike_lane", ["city_key"])})
+    return _r6(j.groupBy("city_key").agg(EDA.pearson("_ra", "_rb").alias("rank_corr")), ["rank_corr"])
+
+
+QUERIES.update({
+    "city_overview": _eda(EDA.city_overview, ["share"]),
+    "missing_share": _eda(EDA.missing_share, ["missing_pct"]),
+    "missing_rank": _eda(EDA.missing_rank, ["missing_pct"]),
+    "constant_columns": _eda(EDA.constant_columns),
+    "demand_distribution": _eda(EDA.demand_distribution, ["mean", "median", "std", "p95", "p99"]),
+    "demand_histogram": _eda(EDA.demand_histogram),
+    "hourly_pattern": _eda(EDA.hourly_pattern, ["share_of_max"]),
+    "share_of_max": _eda(EDA.hourly_pattern, ["share_of_max"]),
+    "hourly_peaks": _eda(EDA.hourly_peaks),
+    "hourly_by_daytype": _eda(EDA.hourly_by_daytype),
+    "rides_by_weekday": _eda(EDA.rides_by_weekday),
+    "weekday_weekend_ratio": _eda(EDA.weekday_weekend_ratio, ["ratio"]),
+    "hour_weekday_pivot": _eda(EDA.hour_weekday_pivot),
+    "daily_demand": _eda(EDA.daily_demand),
+    "daily_summary": _eda(EDA.daily_summary, ["mean_daily"]),
+    "weather_summary": _eda(EDA.weather_summary, ["mean"]),
+    "density_histogram": _eda(EDA.density_histogram, ["bin_lo", "bin_hi", "density"]),
+    "demand_by_weather": _eda(EDA.demand_by_weather),
+    "binned_box_stats": _eda(EDA.binned_box_stats, ["bin_lo", "bin_hi", "q1", "median", "q3"]),
+    "correlation_matrix": _eda(EDA.correlation_matrix, ["r"]),
+    "metadata_summary": _eda(EDA.metadata_summary, ["mean", "missing_pct"]),
+    "user_type_share": _eda(EDA.user_type_share, ["pct"]),
+    "station_variability": _eda(EDA.station_variability, ["mean", "std"]),
+    "station_variability_summary": _eda(EDA.station_variability_summary),
+    "holiday_days": _eda(EDA.holiday_days),
+    "reconcile_sources": reconcile_sources,
+    "agreement_corr_weather": agreement_corr_weather,
+    "agreement_corr_poi": agreement_corr_poi,
+    "acf_hourly": _eda(EDA.acf_hourly, ["acf"]),
+    "top_stations": _eda(EDA.top_stations),
+    "top_station_hours": _eda(EDA.top_station_hours),
+})

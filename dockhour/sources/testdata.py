@@ -225,3 +225,16 @@ def predictions_with_failure(labels: DataFrame) -> DataFrame:
     m3 = labels.select(F.lit("m3").alias("model"), i,
                        F.when(i % 100 == 0, F.lit(float("nan"))).otherwise(_d(1.0)).alias("prediction"))
     return predictions(labels).unionByName(m3)
+
+
+# Column order of ``rides`` (used by the oracle to unpivot the same columns).
+RIDES_VIEW_COLS = [
+    "ride_id", "started_at", "start_station_id", "end_station_id", "usage_time_minutes",
+    "distance_meters", "user_type", "start_lat", "start_lng", "temperature_2m",
+    "relative_humidity_2m", "apparent_temperature", "precipitation", "rain", "snowfall",
+    "cloud_cover", "wind_speed_10m", "city", "bike_lane_length_500m", "park_area_500m",
+    "university_count_1000m", "office_poi_count_1000m", "retail_poi_count_1000m",
+    "restaurant_cafe_count_500m", "transit_stop_count_500m", "distance_to_nearest_rail_station",
+    "distance_to_city_center", "date", "weekday", "weekend", "holiday", "holiday_name",
+    "working_day", "hour_ts",
+]

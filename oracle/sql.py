@@ -673,3 +673,205 @@ FROM (
          count_if(prediction < 0) AS n_negative, (SELECT count(*) FROM labels) AS expected_rows
   FROM preds GROUP BY model)
 WHERE n_missing + n_nan + n_infinite > 0 OR n_rows <> expected_rows""")
+
+
+# --- batch 4: exploratory report ------------------------------------------------------
+from dockhour.sources.testdata import RIDES_VIEW_COLS  # noqa: E402
+
+Z = " + CAST(0.0 AS DOUBLE)"
+
+
+def pearson_sql(a, b):
+    return (f"CASE WHEN stddev_pop({a}) * stddev_pop({b}) <> 0 "
+            f"THEN covar_pop({a}, {b}) / (stddev_pop({a}) * stddev_pop({b})) END")
+
+
+def r6(x):
+    return f"round({x}, 6){Z}"
+
+
+_NUMERIC_RIDE_COLS = ["ride_id", "usage_time_minutes", "distance_meters", "start_lat", "start_lng",
+                      *WEATHER_COLS, *POI_COLS, "weekday", "weekend", "holiday", "working_day"]
+_MS_COLS = [c for c in RIDES_VIEW_COLS if c != "city"]
+SHD = """shd AS (SELECT city, start_station_id, hour_ts, count(*) AS demand FROM rides
+  WHERE city IS NOT NULL AND start_station_id IS NOT NULL AND hour_ts IS NOT NULL
+  GROUP BY city, start_station_id, hour_ts)"""
+DBW = """dbw AS (SELECT city, start_station_id, hour_ts, temperature_2m, precipitation, wind_speed_10m,
+         count(*) AS demand FROM rides
+  WHERE city IS NOT NULL AND start_station_id IS NOT NULL AND hour_ts IS NOT NULL
+    AND temperature_2m IS NOT NULL AND precipitation IS NOT NULL AND wind_speed_10m IS NOT NULL
+  GROUP BY ALL)"""
+HP = """hp AS (SELECT city, hour(hour_ts) AS hour, count(*) AS rides FROM rides
+  WHERE city IS NOT NULL AND hour_ts IS NOT NULL GROUP BY city, hour(hour_ts))"""
+
+SQL["city_overview"] = q([RIDES], f"""
+SELECT city, rows, {r6('rows / sum(rows) OVER ()')} AS share, stations,
+       CAST(lo AS DATE) AS first_date, CAST(hi AS DATE) AS last_date,
+       CAST(floor(date_diff('second', lo, hi) / 86400) AS BIGINT) AS days
+FROM (SELECT city, count(*) AS rows, count(DISTINCT start_station_id) AS stations,
+             min(started_at) AS lo, max(started_at) AS hi
+      FROM rides WHERE city IS NOT NULL GROUP BY city)""")
+
+_MS = f"""ms AS (
+  SELECT scope, "column", missing_pct FROM (
+    UNPIVOT (
+      SELECT CASE WHEN grouping(city) = 1 THEN '__all__' ELSE city END AS scope,
+             {', '.join(f'avg(CAST({c} IS NULL AS DOUBLE)) * 100 AS {c}' for c in _MS_COLS)}
+      FROM rides GROUP BY GROUPING SETS ((city), ()))
+    ON {', '.join(_MS_COLS)} INTO NAME "column" VALUE missing_pct)
+  WHERE missing_pct > 0)"""
+SQL["missing_share"] = q([RIDES, _MS], f'''SELECT scope, "column", {r6('missing_pct')} AS missing_pct FROM ms''')
+SQL["missing_rank"] = q([RIDES, _MS], f"""
+SELECT "column", {r6('missing_pct')} AS missing_pct,
+       row_number() OVER (ORDER BY missing_pct DESC, "column") AS rank
+FROM ms WHERE scope = '__all__'""")
+
+SQL["constant_columns"] = q([RIDES], f"""
+SELECT city, "column" FROM (
+  UNPIVOT (SELECT city, {', '.join(f'(min({c}) = max({c}) OR count({c}) = 0) AS {c}' for c in _NUMERIC_RIDE_COLS)}
+           FROM rides WHERE city IS NOT NULL GROUP BY city)
+  ON {', '.join(_NUMERIC_RIDE_COLS)} INTO NAME "column" VALUE is_constant)
+WHERE coalesce(is_constant, true)""")
+
+SQL["demand_distribution"] = q([RIDES, SHD], f"""
+SELECT city, {r6('avg(demand)')} AS mean, {r6('median(demand)')} AS median,
+       {r6('stddev_samp(demand)')} AS std, {r6('quantile_cont(demand, 0.95)')} AS p95,
+       {r6('quantile_cont(demand, 0.99)')} AS p99, max(demand) AS max
+FROM shd GROUP BY city""")
+SQL["demand_histogram"] = q([RIDES, SHD], "SELECT city, demand, count(*) AS n FROM shd GROUP BY city, demand")
+
+_HPQ = f"SELECT city, hour, rides, {r6('rides / max(rides) OVER (PARTITION BY city)')} AS share_of_max FROM hp"
+SQL["hourly_pattern"] = q([RIDES, HP], _HPQ)
+SQL["share_of_max"] = q([RIDES, HP], _HPQ)
+SQL["hourly_peaks"] = q([RIDES, HP], """
+SELECT city, arg_min(hour, (-rides, hour)) AS peak_hour, max(rides) AS peak_rides,
+       arg_min(hour, (rides, hour)) AS quiet_hour, min(rides) AS quiet_rides
+FROM hp GROUP BY city""")
+SQL["hourly_by_daytype"] = q([RIDES], """
+SELECT city, weekend, hour(hour_ts) AS hour, count(*) AS rides FROM rides
+WHERE city IS NOT NULL AND weekend IS NOT NULL AND hour_ts IS NOT NULL GROUP BY ALL""")
+SQL["rides_by_weekday"] = q([RIDES], """
+SELECT d.city, d.weekday, coalesce(c.rides, 0) AS rides
+FROM (SELECT city, unnest(range(0, 7)) AS weekday FROM (SELECT DISTINCT city FROM rides WHERE city IS NOT NULL)) d
+LEFT JOIN (SELECT city, weekday, count(*) AS rides FROM rides
+           WHERE city IS NOT NULL AND weekday IS NOT NULL GROUP BY ALL) c USING (city, weekday)""")
+SQL["weekday_weekend_ratio"] = q([RIDES], f"""
+SELECT city, weekday_rides, weekend_rides,
+       CASE WHEN weekend_rides <> 0 THEN {r6('CAST(weekday_rides AS DOUBLE) / weekend_rides')} END AS ratio
+FROM (SELECT city, count_if(weekend = 0) AS weekday_rides, count_if(weekend = 1) AS weekend_rides
+      FROM rides WHERE city IS NOT NULL GROUP BY city)""")
+SQL["hour_weekday_pivot"] = q([RIDES], f"""
+SELECT city, hour(hour_ts) AS hour, {', '.join(f'count_if(weekday = {i}) AS wd_{i}' for i in range(7))}
+FROM rides WHERE city IS NOT NULL AND weekday IS NOT NULL AND hour_ts IS NOT NULL GROUP BY ALL""")
+_DD = "dd AS (SELECT city, date, count(*) AS rides FROM rides WHERE city IS NOT NULL AND date IS NOT NULL GROUP BY ALL)"
+SQL["daily_demand"] = q([RIDES, _DD], "SELECT * FROM dd")
+SQL["daily_summary"] = q([RIDES, _DD], f"""
+SELECT city, min(rides) AS min_daily, max(rides) AS max_daily, {r6('avg(rides)')} AS mean_daily FROM dd GROUP BY city""")
+
+_WL = f"""wl AS (SELECT city, "column", value FROM (
+  UNPIVOT (SELECT city, {', '.join(WEATHER_COLS)} FROM rides WHERE city IS NOT NULL)
+  ON {', '.join(WEATHER_COLS)} INTO NAME "column" VALUE value))"""
+SQL["weather_summary"] = q([RIDES, _WL], f"""
+SELECT city, "column", min(value) AS min, max(value) AS max, {r6('avg(value)')} AS mean FROM wl GROUP BY city, "column"
+""")
+SQL["density_histogram"] = q([RIDES, _WL], f"""
+SELECT city, "column", bin, {r6('lo + bin * ((hi - lo) / 30)')} AS bin_lo,
+       {r6('lo + (bin + 1) * ((hi - lo) / 30)')} AS bin_hi, count,
+       {r6('count / (n * ((hi - lo) / 30))')} AS density
+FROM (
+  SELECT w.city, w."column", CAST(least(floor((w.value - r.lo) / ((r.hi - r.lo) / 30)), 29) AS INTEGER) AS bin,
+         r.lo, r.hi, r.n, count(*) AS count
+  FROM wl w JOIN (
+    SELECT city, "column", CASE WHEN min(value) = max(value) THEN min(value) - 0.5 ELSE min(value) END AS lo,
+           CASE WHEN min(value) = max(value) THEN max(value) + 0.5 ELSE max(value) END AS hi, count(*) AS n
+    FROM wl WHERE value IS NOT NULL GROUP BY city, "column") r USING (city, "column")
+  WHERE w.value IS NOT NULL GROUP BY ALL)""")
+SQL["demand_by_weather"] = q([RIDES, DBW], f"SELECT * REPLACE ({t('hour_ts')}) FROM dbw")
+SQL["binned_box_stats"] = q([RIDES, DBW, """bx AS (
+  SELECT d.*, r.mn, r.mx,
+         CASE WHEN (r.mx - r.mn) / 6 > 0
+              THEN CAST(least(greatest(1, ceil((d.temperature_2m - r.mn) / ((r.mx - r.mn) / 6))), 6) AS INTEGER)
+              ELSE 1 END AS bin
+  FROM dbw d JOIN (SELECT city, min(temperature_2m) AS mn, max(temperature_2m) AS mx FROM dbw GROUP BY city) r
+  USING (city))""", """bq AS (
+  SELECT city, bin, count(*) AS n, quantile_cont(demand, 0.25) AS q1, median(demand) AS median,
+         quantile_cont(demand, 0.75) AS q3, first(mn) AS mn, first(mx) AS mx
+  FROM bx GROUP BY city, bin)"""], f"""
+SELECT q.city, q.bin, q.n, {r6('q.q1')} AS q1, {r6('q.median')} AS median, {r6('q.q3')} AS q3,
+       {r6('CASE WHEN q.bin = 1 THEN q.mn - (q.mx - q.mn) * 0.001 ELSE q.mn + (q.bin - 1) * (q.mx - q.mn) / 6 END')} AS bin_lo,
+       {r6('q.mn + q.bin * (q.mx - q.mn) / 6')} AS bin_hi,
+       w.whisker_lo, w.whisker_hi
+FROM bq q JOIN (
+  SELECT b.city, b.bin,
+         min(CASE WHEN b.demand >= q.q1 - 1.5 * (q.q3 - q.q1) THEN CAST(b.demand AS DOUBLE) END) AS whisker_lo,
+         max(CASE WHEN b.demand <= q.q3 + 1.5 * (q.q3 - q.q1) THEN CAST(b.demand AS DOUBLE) END) AS whisker_hi
+  FROM bx b JOIN bq q USING (city, bin) GROUP BY b.city, b.bin) w USING (city, bin)""")
+
+_CC = ["demand", "temperature_2m", "precipitation", "wind_speed_10m"]
+_PAIRS = [(a, b) for i, a in enumerate(_CC) for b in _CC[i + 1:]]
+SQL["correlation_matrix"] = q([RIDES, DBW], " UNION ALL ".join(
+    f"SELECT city, '{a}' AS col_a, '{b}' AS col_b, {r6(pearson_sql(f'CAST({a} AS DOUBLE)', f'CAST({b} AS DOUBLE)'))} AS r "
+    f"FROM dbw GROUP BY city" for a, b in _PAIRS))
+
+_ML = f"""ml AS (SELECT city, "column", value FROM (
+  UNPIVOT INCLUDE NULLS (SELECT city, {', '.join(POI_COLS)} FROM rides WHERE city IS NOT NULL)
+  ON {', '.join(POI_COLS)} INTO NAME "column" VALUE value))"""
+SQL["metadata_summary"] = q([RIDES, _ML], f"""
+SELECT city, column, (min(value) = max(value) OR count(value) = 0) AS is_constant, min(value) AS min,
+       max(value) AS max, {r6('avg(value)')} AS mean, {r6('avg(CAST(value IS NULL AS DOUBLE)) * 100')} AS missing_pct
+FROM ml GROUP BY city, "column"
+""")
+SQL["user_type_share"] = q([RIDES], f"""
+SELECT city, user_type, rides, {r6('rides * 100.0 / sum(rides) OVER (PARTITION BY city)')} AS pct
+FROM (SELECT city, coalesce(user_type, 'missing') AS user_type, count(*) AS rides FROM rides
+      WHERE city IS NOT NULL GROUP BY ALL)""")
+_SV = "sv AS (SELECT city, start_station_id, avg(demand) AS mean, stddev_samp(demand) AS std, max(demand) AS max FROM shd GROUP BY ALL)"
+SQL["station_variability"] = q([RIDES, SHD, _SV], f"""
+SELECT city, start_station_id, {r6('mean')} AS mean, {r6('std')} AS std, max FROM sv""")
+SQL["station_variability_summary"] = q([RIDES, SHD, _SV], """
+SELECT city, count(*) AS stations, count_if(mean > 5) AS stations_mean_gt_5, count_if(mean < 1) AS stations_mean_lt_1
+FROM sv GROUP BY city""")
+SQL["holiday_days"] = q([RIDES], """
+SELECT city, count(DISTINCT CASE WHEN holiday = 1 THEN date END) AS holiday_dates, count(DISTINCT date) AS dates,
+       array_to_string(list_sort(list_distinct(list(holiday_name))), '; ') AS holiday_names
+FROM rides WHERE city IS NOT NULL GROUP BY city""")
+SQL["reconcile_sources"] = q([RIDES, SUPPLEMENTAL] + table_ctes("o_", "rides")[:1] + table_ctes("s_", "supp_rides")[:1], """
+SELECT city, station_key, coalesce(a.n, 0) AS rides_a, coalesce(b.n, 0) AS rides_b,
+       a.n IS NOT NULL AND b.n IS NOT NULL AS in_both, abs(coalesce(a.n, 0) - coalesce(b.n, 0)) AS abs_diff
+FROM (SELECT city, station_key, count(*) AS n FROM o_keyed GROUP BY ALL) a
+FULL OUTER JOIN (SELECT city, station_key, count(*) AS n FROM s_keyed GROUP BY ALL) b USING (city, station_key)""")
+SQL["agreement_corr_weather"] = q(BASE + [WEATHER, f"""cht AS (
+  SELECT city_key, strftime(target_hour_start, {SEC}) AS target_hour_start,
+         arg_min(temperature_2m, ride_id) FILTER (WHERE temperature_2m IS NOT NULL) AS temperature_2m
+  FROM keyed GROUP BY ALL)"""], f"""
+SELECT c.city_key, {r6(pearson_sql('c.temperature_2m', 'w.temperature_2m'))} AS r
+FROM cht c JOIN weather w ON c.target_hour_start = w.hour_ts GROUP BY c.city_key""")
+SQL["agreement_corr_poi"] = q(BASE + [STATION_FEATURES, """smb AS (
+  SELECT city_key, station_key,
+         arg_min(bike_lane_length_500m, ride_id) FILTER (WHERE bike_lane_length_500m IS NOT NULL) AS a
+  FROM keyed GROUP BY ALL)"""], f"""
+SELECT city_key, {r6(pearson_sql('ra', 'rb'))} AS rank_corr FROM (
+  SELECT city_key,
+         rank() OVER (PARTITION BY city_key ORDER BY a) + (count(*) OVER (PARTITION BY city_key, a) - 1) / 2.0 AS ra,
+         rank() OVER (PARTITION BY city_key ORDER BY b) + (count(*) OVER (PARTITION BY city_key, b) - 1) / 2.0 AS rb
+  FROM (SELECT s.city_key, s.a, f.bike_lane_length_500m AS b
+        FROM smb s JOIN station_features f ON s.station_key = f.start_station_id))
+GROUP BY city_key""")
+SQL["acf_hourly"] = q([RIDES, """ch AS (
+  SELECT city, hour_ts, n, row_number() OVER (PARTITION BY city ORDER BY hour_ts) AS pos
+  FROM (SELECT city, hour_ts, count(*) AS n FROM rides WHERE city IS NOT NULL AND hour_ts IS NOT NULL GROUP BY ALL))"""], f"""
+SELECT city, lag, {r6('acf')} AS acf, abs(acf) > 0.2 AS strong FROM (
+  SELECT a.city, l.lag, {pearson_sql('CAST(b.n AS DOUBLE)', 'CAST(a.n AS DOUBLE)')} AS acf
+  FROM ch a, (SELECT unnest(range(1, 49)) AS lag) l
+  JOIN ch b ON b.city = a.city AND b.pos = a.pos + l.lag
+  GROUP BY a.city, l.lag)""")
+SQL["top_stations"] = q([RIDES], """
+SELECT * FROM (
+  SELECT city, start_station_id, rides,
+         row_number() OVER (PARTITION BY city ORDER BY rides DESC, start_station_id) AS rank
+  FROM (SELECT city, start_station_id, count(*) AS rides FROM rides
+        WHERE city IS NOT NULL AND start_station_id IS NOT NULL GROUP BY ALL))
+WHERE rank <= 10""")
+SQL["top_station_hours"] = q([RIDES, SHD], f"""
+SELECT city, start_station_id, {t('hour_ts')}, demand FROM shd
+ORDER BY demand DESC, city, start_station_id, hour_ts LIMIT 20""")
