@@ -813,11 +813,11 @@ SQL["correlation_matrix"] = q([RIDES, DBW], " UNION ALL ".join(
     f"SELECT city, '{a}' AS col_a, '{b}' AS col_b, {r6(pearson_sql(f'CAST({a} AS DOUBLE)', f'CAST({b} AS DOUBLE)'))} AS r "
     f"FROM dbw GROUP BY city" for a, b in _PAIRS))
 
-_ML = f"""ml AS (SELECT city, "column", value FROM (
-  UNPIVOT INCLUDE NULLS (SELECT city, {', '.join(POI_COLS)} FROM rides WHERE city IS NOT NULL)
-  ON {', '.join(POI_COLS)} INTO NAME "column" VALUE value))"""
+_ML = f"""ml AS (SELECT city, col_name AS "column", value FROM
+  (SELECT city, {', '.join(POI_COLS)} FROM rides WHERE city IS NOT NULL)
+  UNPIVOT INCLUDE NULLS (value FOR col_name IN ({', '.join(POI_COLS)})))"""
 SQL["metadata_summary"] = q([RIDES, _ML], f"""
-SELECT city, column, (min(value) = max(value) OR count(value) = 0) AS is_constant, min(value) AS min,
+SELECT city, "column", (min(value) = max(value) OR count(value) = 0) AS is_constant, min(value) AS min,
        max(value) AS max, {r6('avg(value)')} AS mean, {r6('avg(CAST(value IS NULL AS DOUBLE)) * 100')} AS missing_pct
 FROM ml GROUP BY city, "column"
 """)
