@@ -29,7 +29,49 @@ FLOATING_HOLIDAYS = [
 OBSERVED_SUFFIX = " (observed)"
 
 
-def _fixed_name(d: Column) -> Column:
+def _q(name: str) -> str:
+    return "'" + name.replace("'", "\\'") + "'"
+
+
+def _fixed_sql(x: str) -> str:
+    parts = [f"WHEN month({x}) = {m} AND dayofmonth({x}) = {dd} AND year({x}) >= {since} THEN {_q(n)}"
+             for m, dd, n, since in FIXED_DATE_HOLIDAYS]
+    return "CASE " + " ".join(parts) + " END"
+
+
+def holiday_spark_sql(d: str) -> str:
+    """The rules as one Spark SQL expression over a DATE expression ``d``."""
+    wd = f"weekday({d})"
+    floats = []
+    for month, weekday, nth, name in FLOATING_HOLIDAYS:
+        if nth == -1:
+            cond = f"month({d}) = {month} AND {wd} = {weekday} AND dayofmonth({d}) + 7 > dayofmonth(last_day({d}))"
+        else:
+            cond = f"month({d}) = {month} AND {wd} = {weekday} AND div(dayofmonth({d}) - 1, 7) = {nth - 1}"
+        floats.append(f"WHEN {cond} THEN {_q(name)}")
+    floating = "CASE " + " ".join(floats) + " END"
+    observed = (f"CASE WHEN {wd} = 4 THEN concat({_fixed_sql(f'date_add({d}, 1)')}, {_q(OBSERVED_SUFFIX)}) "
+                f"WHEN {wd} = 0 THEN concat({_fixed_sql(f'date_sub({d}, 1)')}, {_q(OBSERVED_SUFFIX)}) END")
+    return f"coalesce({_fixed_sql(d)}, {floating}, {observed})"
+
+
+def us_holiday_name(d) -> Column:
+    """Holiday name for a date, NULL when it is not a holiday.
+
+    Fixed-date holidays on a Saturday are observed the Friday before, on a
+    Sunday the Monday after.  Given a column *name*, the rules are one parsed
+    SQL expression (one call instead of hundreds of expression-builder calls);
+    given a ``Column`` they are composed with the functions API.
+    """
+    if isinstance(d, str):
+        return F.expr(holiday_spark_sql(f"to_date(`{d}`)"))
+    wd = F.weekday(d)
+    return F.coalesce(_fixed(d), _floating(d),
+                      F.when(wd == 4, F.concat(_fixed(F.date_add(d, 1)), F.lit(OBSERVED_SUFFIX)))
+                      .when(wd == 0, F.concat(_fixed(F.date_sub(d, 1)), F.lit(OBSERVED_SUFFIX))))
+
+
+def _fixed(d: Column) -> Column:
     m, dd, y = F.month(d), F.dayofmonth(d), F.year(d)
     expr = None
     for month, day, name, since in FIXED_DATE_HOLIDAYS:
@@ -38,7 +80,7 @@ def _fixed_name(d: Column) -> Column:
     return expr
 
 
-def _floating_name(d: Column) -> Column:
+def _floating(d: Column) -> Column:
     m, dd, wd = F.month(d), F.dayofmonth(d), F.weekday(d)
     expr = None
     for month, weekday, nth, name in FLOATING_HOLIDAYS:
@@ -50,19 +92,6 @@ def _floating_name(d: Column) -> Column:
     return expr
 
 
-def us_holiday_name(d) -> Column:
-    """Holiday name for a date column, NULL when it is not a holiday.
-
-    Fixed-date holidays on a Saturday are observed the Friday before, on a
-    Sunday the Monday after.
-    """
-    d = F.col(d) if isinstance(d, str) else d
-    wd = F.weekday(d)
-    observed = (F.when(wd == 4, F.concat(_fixed_name(F.date_add(d, 1)), F.lit(OBSERVED_SUFFIX)))
-                .when(wd == 0, F.concat(_fixed_name(F.date_sub(d, 1)), F.lit(OBSERVED_SUFFIX))))
-    return F.coalesce(_fixed_name(d), _floating_name(d), observed)
-
-
 def holiday_name_sql(d: str) -> str:
     """The same rules as DuckDB SQL text over a DATE expression (used by the oracle)."""
     def fixed(x):

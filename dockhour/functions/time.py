@@ -69,7 +69,7 @@ def calendar_fields(ts) -> dict[str, Column]:
     """
     t = _col(ts)
     wd = F.weekday(t)
-    name = us_holiday_name(F.to_date(t))
+    name = us_holiday_name(ts if isinstance(ts, str) else F.to_date(t))
     weekend = F.coalesce((wd >= 5).cast("int"), F.lit(0))
     holiday = name.isNotNull().cast("int")
     return {

@@ -33,10 +33,11 @@ def key_rides(df: DataFrame, hour_name: str = "target_hour_start",
 
 
 def reject_bad_timestamps(df: DataFrame, hour_name: str, strict: bool) -> DataFrame:
+    """B4.  strict: a row without a usable time fails the job (``raise_error`` inside
+    the projection, so no extra pass over the rides); else such rows are dropped."""
+    h = F.col(hour_name)
     if strict:
-        bad = df.filter(F.col(hour_name).isNull()).limit(1).count()
-        if bad:
-            n = df.filter(F.col(hour_name).isNull()).count()
-            raise ValueError(f"{n} rows have invalid/missing timestamps.")
-        return df
-    return df.filter(F.col(hour_name).isNotNull())
+        msg = F.lit("rows have invalid/missing timestamps (first bad row shown): ")
+        bad = F.raise_error(F.concat(msg, F.to_json(F.struct(*[F.col(c) for c in df.columns[:6]]))))
+        return df.withColumn(hour_name, F.when(h.isNull(), bad).otherwise(h).cast("timestamp_ntz"))
+    return df.filter(h.isNotNull())

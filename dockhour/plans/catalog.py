@@ -414,7 +414,7 @@ def conform_schema(spark, sf):
 
 def calendar_fields_q(spark, sf):
     r = _rides(spark, sf)
-    c = _cal("started_at")
+    c = _cal("started_at")  # by name: the holiday rules become one SQL expression
     return as_text(r.select("ride_id", *[v.alias(k) for k, v in c.items()]))
 
 
@@ -687,3 +687,213 @@ QUERIES.update({
     "top_stations": _eda(EDA.top_stations),
     "top_station_hours": _eda(EDA.top_station_hours),
 })
+
+
+# --- batch 5: spatial layers and enrichment --------------------------------------
+from ..operators import enrich as H          # noqa: E402
+from ..operators import spatial as S         # noqa: E402
+from ..schemas import ENRICHED_OUT_COLS, POI8_COLS  # noqa: E402
+
+
+def _stations(spark, sf):
+    return TD.station_features(spark, sf).select(F.col("start_station_id").alias("station_id"), "lat", "lng")
+
+
+def _layers(spark, sf):
+    return H.PoiLayers(TD.poi_elements(spark, sf), TD.line_elements(spark, sf), TD.polygon_elements(spark, sf))
+
+
+def _st_xy(spark, sf):
+    st = _stations(spark, sf)
+    lat0, lng0 = S.projection_centre(st)
+    return S.project(st, "lat", "lng", lat0, lng0), lat0, lng0
+
+
+def _points_xy(spark, sf, lat0, lng0):
+    pts = S.poi_category_match(S.elements_to_points(TD.poi_elements(spark, sf)))
+    return S.project(pts, "lat", "lon", lat0, lng0)
+
+
+def osm_elements_to_points(spark, sf):
+    return S.elements_to_points(TD.poi_elements(spark, sf)).select("element_id", "element_type", "lat", "lon")
+
+
+def osm_line_edges(spark, sf):
+    return S.elements_to_edges(TD.line_elements(spark, sf).drop("tags"), 2)
+
+
+def osm_polygon_edges(spark, sf):
+    return S.elements_to_edges(TD.polygon_elements(spark, sf).drop("tags"), 3)
+
+
+def poi_category_match(spark, sf):
+    layers = [("point", TD.poi_elements(spark, sf)), ("line", TD.line_elements(spark, sf)),
+              ("polygon", TD.polygon_elements(spark, sf))]
+    out = None
+    for name, df in layers:
+        m = S.poi_category_match(df.select("element_id", "tags")).select(
+            F.lit(name).alias("layer"), "element_id", "category")
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+def radius_count(spark, sf):
+    st, lat0, lng0 = _st_xy(spark, sf)
+    pts = _points_xy(spark, sf, lat0, lng0)
+    out = st.select("station_id")
+    for col, cat, r in H.COUNT_SPECS:
+        out = out.join(S.radius_count(st, pts.filter(F.col("category") == cat), r, col), "station_id", "left")
+    return out
+
+
+def nearest_distance(spark, sf):
+    st, lat0, lng0 = _st_xy(spark, sf)
+    pts = _points_xy(spark, sf, lat0, lng0).filter(F.col("category") == "rail")
+    return S.nearest_distance(st, pts, "distance_to_nearest_rail_station")
+
+
+def line_length_in_radius(spark, sf):
+    st, lat0, lng0 = _st_xy(spark, sf)
+    e = S.edges_xy(S.elements_to_edges(TD.line_elements(spark, sf).drop("tags"), 2), lat0, lng0)
+    return S.line_length_in_radius(st, e, 500.0)
+
+
+def polygon_area_in_radius(spark, sf):
+    st, lat0, lng0 = _st_xy(spark, sf)
+    e = S.edges_xy(S.elements_to_edges(TD.polygon_elements(spark, sf).drop("tags"), 3), lat0, lng0)
+    return S.polygon_area_in_radius(st, e, 500.0)
+
+
+def _poi(spark, sf):
+    return H.station_poi_features(_stations(spark, sf), _layers(spark, sf))
+
+
+def poi_features(spark, sf):
+    return _poi(spark, sf)
+
+
+def _centroid(spark, sf):
+    row = A.city_centroid(_rides(spark, sf)).first()
+    return F.lit(row["lat0"]), F.lit(row["lng0"])
+
+
+def distance_to_center(spark, sf):
+    lat0, lng0 = _centroid(spark, sf)
+    return H.distance_to_center(_stations(spark, sf), lat0, lng0).select("station_id", "distance_to_city_center")
+
+
+def station_median_coords(spark, sf):
+    return _r6(A.station_median_coords(_rides(spark, sf)), ["start_lat", "start_lng"])
+
+
+def city_centroid(spark, sf):
+    return _r6(A.city_centroid(_rides(spark, sf)), ["lat0", "lng0"])
+
+
+def tile_stations(spark, sf):
+    return _r6(S.tile_stations(_stations(spark, sf)), ["south", "west", "north", "east"])
+
+
+def _paired(spark, sf):
+    """Reference-data POI (first value per station of city 'click') next to our own
+    computation, for the stations present in both."""
+    rollup, _ = _rollup(spark, sf)
+    src = (A.station_meta(rollup, POI8_COLS).filter(F.col("city_key") == "click")
+           .select(F.col("station_key").alias("station_id"), *[F.col(c).alias(c + "_src") for c in POI8_COLS]))
+    own = _poi(spark, sf)
+    from ..session import cut_lineage
+    own = cut_lineage(own)                                 # 1 row per station; reused below
+    paired = src.join(own.select("station_id", *[F.col(c).alias(c + "_own") for c in POI8_COLS]), "station_id")
+    return paired, own
+
+
+def positive_median_ratio(spark, sf):
+    paired, _ = _paired(spark, sf)
+    return _r6(H.positive_median_ratio(paired), POI8_COLS)
+
+
+def _calibrated(spark, sf):
+    paired, own = _paired(spark, sf)
+    factors = H.positive_median_ratio(paired).first().asDict()
+    return H.poi_calibrate(own, factors)
+
+
+def poi_calibrate(spark, sf):
+    return _calibrated(spark, sf)
+
+
+def replace_columns(spark, sf):
+    base = TD.station_features(spark, sf)
+    comp = _calibrated(spark, sf).withColumnRenamed("station_id", "start_station_id")
+    order = ["start_station_id", "lat", "lng"] + POI8_COLS + ["distance_to_city_center"]
+    return H.replace_columns(base, comp, POI8_COLS, "start_station_id", order)
+
+
+def poi_sanity(spark, sf):
+    rollup, _ = _rollup(spark, sf)
+    src = A.station_meta(rollup, POI8_COLS).withColumnRenamed("city_key", "city")
+    own = _poi(spark, sf).drop("station_id")
+    return _r6(H.poi_sanity(own, src.drop("station_key")), ["median_positive"])
+
+
+def enrich_rides(spark, sf):
+    raw = TD.start_side_rides(spark, sf).drop("start_lat", "start_lng", "city")
+    out = H.enrich_rides(raw, TD.station_features(spark, sf), TD.weather_table(spark, sf), "city 1")
+    return as_text(out, micros=("started_at",))
+
+
+def enrich_fullyear(spark, sf):
+    raw = TD.start_side_rides(spark, sf).drop("start_lat", "start_lng")
+    out = H.enrich_fullyear(raw, TD.city_station_features(spark, sf), TD.city_weather(spark, sf),
+                            ENRICHED_OUT_COLS)
+    return as_text(out, micros=("started_at",))
+
+
+def enrich_city(spark, sf):
+    raw = TD.start_side_rides(spark, sf).drop("city")
+    out = H.enrich_city(raw, TD.weather_table(spark, sf), None, city="city 4")
+    return as_text(out, micros=("started_at",))
+
+
+def enrich_city_poi(spark, sf):
+    raw = TD.start_side_rides(spark, sf).drop("city")
+    out = H.enrich_city(raw, None, _layers(spark, sf), city="city 4")
+    return as_text(out, micros=("started_at",))
+
+
+def us_holiday_dim(spark, sf):
+    return H.us_holiday_dim(_rides(spark, sf))
+
+
+def coverage_pct(spark, sf):
+    raw = TD.start_side_rides(spark, sf).drop("start_lat", "start_lng", "city")
+    e = H.enrich_rides(raw, TD.station_features(spark, sf), TD.weather_table(spark, sf), "city 1")
+    return _r6(A.coverage_pct(e, ["office_poi_count_1000m", "temperature_2m"]),
+               ["office_poi_count_1000m_coverage_pct", "temperature_2m_coverage_pct"])
+
+
+QUERIES.update({
+    "osm_elements_to_points": osm_elements_to_points,
+    "osm_elements_to_segments": osm_line_edges,
+    "osm_polygon_edges": osm_polygon_edges,
+    "poi_category_match": poi_category_match,
+    "radius_count": radius_count,
+    "nearest_distance": nearest_distance,
+    "line_length_in_radius": line_length_in_radius,
+    "polygon_area_in_radius": polygon_area_in_radius,
+    "poi_features": poi_features,
+    "distance_to_center": distance_to_center,
+    "station_median_coords": station_median_coords,
+    "city_centroid": city_centroid,
+    "tile_stations": tile_stations,
+    "positive_median_ratio": positive_median_ratio,
+    "poi_calibrate": poi_calibrate,
+    "replace_columns": replace_columns,
+    "poi_sanity": poi_sanity,
+    "enrich_rides": enrich_rides,
+    "enrich_fullyear": enrich_fullyear,
+    "enrich_city": enrich_city,
+    "enrich_city_poi": enrich_city_poi,
+    "us_holiday_dim": us_holiday_dim,
+    "coverage_pct": coverage_pct,
+})

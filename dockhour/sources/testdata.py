@@ -52,7 +52,7 @@ def rides_from_events(events: DataFrame, shift_hours: int = 0) -> DataFrame:
     def poi(expr):
         return F.when(view, _d(0.0)).otherwise(expr)
 
-    cal = calendar_fields(F.col("ts"))
+    cal = calendar_fields("ts")
     return e.select(
         F.col("event_id").alias("ride_id"),
         F.col("ts").alias("started_at"),
@@ -238,3 +238,22 @@ RIDES_VIEW_COLS = [
     "distance_to_city_center", "date", "weekday", "weekend", "holiday", "holiday_name",
     "working_day", "hour_ts",
 ]
+
+
+def city_station_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-city station lookups (one per distinct city and station seen in events)."""
+    cs = (table(spark, sf_dir, "events")
+          .select(F.col("event_type").alias("city"), (F.col("user_id") % N_STATIONS).alias("n")).distinct())
+    feats = station_features(spark, sf_dir).withColumn("n", F.col("start_station_id").cast("bigint"))
+    return cs.join(feats, "n").drop("n")
+
+
+def city_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-city hourly weather (one row per city and hour seen in events), hour_ts as text."""
+    from ..functions.keys import floor_hour
+    ch = (table(spark, sf_dir, "events")
+          .select(F.col("event_type").alias("city"), floor_hour("ts").alias("h")).distinct())
+    w = weather_table(spark, sf_dir)
+    ch = ch.withColumn("hour_ts", F.date_format("h", "yyyy-MM-dd HH:mm:ss")).drop("h")
+    off = F.length("city").cast("double")
+    return ch.join(w, "hour_ts").withColumn("temperature_2m", F.col("temperature_2m") + off)

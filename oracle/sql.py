@@ -875,3 +875,299 @@ WHERE rank <= 10""")
 SQL["top_station_hours"] = q([RIDES, SHD], f"""
 SELECT city, start_station_id, {t('hour_ts')}, demand FROM shd
 ORDER BY demand DESC, city, start_station_id, hour_ts LIMIT 20""")
+
+
+# --- batch 5: spatial layers and enrichment ---------------------------------------------
+from dockhour.operators.enrich import COUNT_SPECS  # noqa: E402
+from dockhour.operators.spatial import POI_RULES  # noqa: E402
+from dockhour.schemas import ENRICHED_OUT_COLS, POI8_COLS, POI_COUNT_COLS  # noqa: E402
+
+D = lambda x: f"CAST({x} AS DOUBLE)"
+
+POI_EL = f"""poi_el AS (
+  SELECT c_custkey AS element_id,
+    CASE WHEN c_custkey % 4 = 3 THEN 'way' ELSE 'node' END AS element_type,
+    CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'highway' WHEN 'BUILDING' THEN 'office'
+         WHEN 'FURNITURE' THEN 'shop' WHEN 'HOUSEHOLD' THEN 'amenity'
+         ELSE CASE WHEN c_custkey % 5 = 0 THEN 'railway' ELSE 'amenity' END END AS tag_key,
+    CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'bus_stop' WHEN 'BUILDING' THEN 'company'
+         WHEN 'FURNITURE' THEN 'furniture'
+         WHEN 'HOUSEHOLD' THEN CASE WHEN c_custkey % 2 = 0 THEN 'restaurant' ELSE 'cafe' END
+         ELSE CASE WHEN c_custkey % 5 = 0 THEN 'station' ELSE 'university' END END AS tag_value,
+    {D(38.78)} + CAST(c_custkey % 97 AS DOUBLE) * {D(0.0007)} AS lat,
+    {D(-77.12)} + CAST((c_custkey * 7) % 89 AS DOUBLE) * {D(0.0009)} AS lon
+  FROM customer)"""
+
+LINE_EL = f"""line_el AS (
+  SELECT p_partkey AS element_id, 'highway' AS tag_key, 'cycleway' AS tag_value, 1 AS seq,
+    {D(38.79)} + CAST(p_partkey % 53 AS DOUBLE) * {D(0.001)} AS lat0,
+    {D(-77.11)} + CAST(p_partkey % 59 AS DOUBLE) * {D(0.001)} AS lon0,
+    {D(38.79)} + CAST(p_partkey % 53 AS DOUBLE) * {D(0.001)} + CAST(p_size AS DOUBLE) * {D(0.0001)} AS lat1,
+    {D(-77.11)} + CAST(p_partkey % 59 AS DOUBLE) * {D(0.001)} + CAST((p_size % 7) - 3 AS DOUBLE) * {D(0.0002)} AS lon1
+  FROM part WHERE p_type IN ('ECONOMY', 'STANDARD', 'SMALL'))"""
+
+POLY_EL = f"""poly_v AS (
+  SELECT p_partkey AS element_id,
+    {D(38.79)} + CAST(p_partkey % 47 AS DOUBLE) * {D(0.001)} AS a,
+    {D(-77.11)} + CAST(p_partkey % 61 AS DOUBLE) * {D(0.001)} AS b,
+    CAST(p_size AS DOUBLE) * {D(0.0002)} AS s
+  FROM part WHERE p_type IN ('MEDIUM', 'PROMO', 'LARGE')),
+poly_edges AS (
+  SELECT element_id, 1 AS seq, a AS lat0, b AS lon0, a + s AS lat1, b AS lon1 FROM poly_v
+  UNION ALL SELECT element_id, 2, a + s, b, a, b + s FROM poly_v
+  UNION ALL SELECT element_id, 3, a, b + s, a, b FROM poly_v)"""
+
+
+def _rule_sql(rules=POI_RULES):
+    parts = []
+    for cat, tag_rules in rules.items():
+        conds = []
+        for key, rule in tag_rules.items():
+            if rule is True:
+                conds.append(f"tag_key = '{key}'")
+            elif isinstance(rule, str):
+                conds.append(f"(tag_key = '{key}' AND regexp_matches(tag_value, '{rule}'))")
+            else:
+                conds.append(f"(tag_key = '{key}' AND tag_value IN ({', '.join(repr(v) for v in rule)}))")
+        parts.append((cat, " OR ".join(conds)))
+    return parts
+
+
+def categories_sql(src: str) -> str:
+    return " UNION ALL ".join(f"SELECT element_id, '{cat}' AS category FROM {src} WHERE {cond}"
+                              for cat, cond in _rule_sql())
+
+
+def poi_ctes(stations: str) -> list[str]:
+    """Projected stations (st), categorised points (pts), line and polygon edges in metres."""
+    x, y = aeqd_sql("lat", "lng", "c.lat0", "c.lng0")
+    px, py = aeqd_sql("p.lat", "p.lon", "c.lat0", "c.lng0")
+    ex0, ey0 = aeqd_sql("e.lat0", "e.lon0", "c.lat0", "c.lng0")
+    ex1, ey1 = aeqd_sql("e.lat1", "e.lon1", "c.lat0", "c.lng0")
+    return [
+        POI_EL, LINE_EL, POLY_EL,
+        f"ctr AS (SELECT avg(lat) AS lat0, avg(lng) AS lng0 FROM {stations})",
+        f"st AS (SELECT s.station_id, s.lat, s.lng, {x} AS x, {y} AS y FROM {stations} s, ctr c)",
+        f"pcat AS ({categories_sql('poi_el')})",
+        f"pts AS (SELECT k.category, {px} AS px, {py} AS py FROM poi_el p JOIN pcat k USING (element_id), ctr c)",
+        f"""ledges AS (SELECT e.element_id, {ex0} AS x0, {ey0} AS y0, {ex1} AS x1, {ey1} AS y1
+             FROM line_el e JOIN ({categories_sql('line_el')}) k USING (element_id), ctr c WHERE k.category = 'cycle')""",
+        f"""pedges AS (SELECT e.element_id, {ex0} AS x0, {ey0} AS y0, {ex1} AS x1, {ey1} AS y1
+             FROM poly_edges e, ctr c)""",
+    ]
+
+
+def _counts_sql():
+    cols = ", ".join(
+        f"count_if(p.category = '{cat}' AND (p.px - s.x) * (p.px - s.x) + (p.py - s.y) * (p.py - s.y) "
+        f"<= CAST({r * r} AS DOUBLE)) AS {col}" for col, cat, r in COUNT_SPECS)
+    return f"cnt AS (SELECT s.station_id, {cols} FROM st s, pts p GROUP BY s.station_id)"
+
+
+NEAR = """near AS (
+  SELECT s.station_id, CASE WHEN s.x IS NULL THEN NULL
+                            WHEN min(sqrt((p.px - s.x) * (p.px - s.x) + (p.py - s.y) * (p.py - s.y))) IS NULL THEN -1.0
+                            ELSE round_even(min(sqrt((p.px - s.x) * (p.px - s.x) + (p.py - s.y) * (p.py - s.y))), 1) END
+         AS distance_to_nearest_rail_station
+  FROM st s LEFT JOIN pts p ON p.category = 'rail' GROUP BY s.station_id, s.x)"""
+
+
+def _chord(r):
+    ax, ay, bx, by = "(e.x0 - s.x)", "(e.y0 - s.y)", "(e.x1 - s.x)", "(e.y1 - s.y)"
+    dx, dy = f"({bx} - {ax})", f"({by} - {ay})"
+    a = f"({dx} * {dx} + {dy} * {dy})"
+    b = f"(2 * ({ax} * {dx} + {ay} * {dy}))"
+    c = f"({ax} * {ax} + {ay} * {ay} - CAST({r * r} AS DOUBLE))"
+    disc = f"({b} * {b} - 4 * {a} * {c})"
+    sq = f"sqrt(greatest({disc}, 0.0))"
+    t1 = f"((-{b} - {sq}) / (2 * {a}))"
+    t2 = f"((-{b} + {sq}) / (2 * {a}))"
+    return ax, ay, bx, by, dx, dy, a, disc, t1, t2
+
+
+def _len_sql(r=500.0):
+    *_, a, disc, t1, t2 = _chord(r)
+    seg = (f"CASE WHEN {a} > 0 AND {disc} > 0 THEN greatest(least({t2}, 1.0) - greatest({t1}, 0.0), 0.0) "
+           f"* sqrt({a}) ELSE 0.0 END")
+    return f"""len AS (
+  SELECT s.station_id, CASE WHEN s.x IS NULL THEN NULL ELSE round_even(coalesce(sum({seg}), 0.0), 1) END
+         AS bike_lane_length_500m
+  FROM st s LEFT JOIN ledges e ON true GROUP BY s.station_id, s.x)"""
+
+
+def _area_sql(r=500.0):
+    ax, ay, bx, by, dx, dy, a, disc, t1, t2 = _chord(r)
+    hit = f"({a} > 0 AND {disc} > 0)"
+    tlo = f"(CASE WHEN {hit} THEN least(greatest({t1}, 0.0), 1.0) ELSE 0.0 END)"
+    thi = f"(CASE WHEN {hit} THEN least(greatest({t2}, 0.0), 1.0) ELSE 0.0 END)"
+    plx, ply = f"({ax} + {tlo} * {dx})", f"({ay} + {tlo} * {dy})"
+    phx, phy = f"({ax} + {thi} * {dx})", f"({ay} + {thi} * {dy})"
+
+    def sector(ux, uy, vx, vy):
+        return f"(CAST({0.5 * r * r} AS DOUBLE) * atan2({ux} * {vy} - {uy} * {vx}, {ux} * {vx} + {uy} * {vy}))"
+    signed = (f"{sector(ax, ay, plx, ply)} + 0.5 * ({plx} * {phy} - {ply} * {phx}) + "
+              f"{sector(phx, phy, bx, by)}")
+    return f"""area AS (
+  SELECT s.station_id, CASE WHEN s.x IS NULL THEN NULL ELSE round_even(coalesce(sum(pa), 0.0), 1) END AS park_area_500m
+  FROM st s LEFT JOIN (
+    SELECT s.station_id, e.element_id, abs(sum({signed})) AS pa
+    FROM st s, pedges e WHERE s.x IS NOT NULL GROUP BY s.station_id, e.element_id) q USING (station_id)
+  GROUP BY s.station_id, s.x)"""
+
+
+STATIONS = """stations AS (SELECT start_station_id AS station_id, lat, lng FROM station_features)"""
+POI_FEATS = [_counts_sql(), NEAR, _len_sql(), _area_sql(), """poi AS (
+  SELECT station_id, len.bike_lane_length_500m, area.park_area_500m, cnt.university_count_1000m,
+         cnt.office_poi_count_1000m, cnt.retail_poi_count_1000m, cnt.restaurant_cafe_count_500m,
+         cnt.transit_stop_count_500m, near.distance_to_nearest_rail_station
+  FROM cnt JOIN near USING (station_id) JOIN len USING (station_id) JOIN area USING (station_id))"""]
+POI_ALL = [STATION_FEATURES, STATIONS] + poi_ctes("stations") + POI_FEATS
+
+SQL["osm_elements_to_points"] = q([POI_EL], "SELECT element_id, element_type, lat, lon FROM poi_el")
+SQL["osm_elements_to_segments"] = q([LINE_EL], "SELECT element_id, seq, lat0, lon0, lat1, lon1 FROM line_el")
+SQL["osm_polygon_edges"] = q([POLY_EL], "SELECT element_id, seq, lat0, lon0, lat1, lon1 FROM poly_edges")
+SQL["poi_category_match"] = q([POI_EL, LINE_EL, POLY_EL, """poly_el AS (
+  SELECT element_id, 'leisure' AS tag_key, 'park' AS tag_value FROM poly_v)"""], f"""
+SELECT 'point' AS layer, * FROM ({categories_sql('poi_el')})
+UNION ALL SELECT 'line' AS layer, * FROM ({categories_sql('line_el')})
+UNION ALL SELECT 'polygon' AS layer, * FROM ({categories_sql('poly_el')})""")
+SQL["radius_count"] = q(POI_ALL, "SELECT * FROM cnt")
+SQL["nearest_distance"] = q(POI_ALL, "SELECT * FROM near")
+SQL["line_length_in_radius"] = q(POI_ALL, "SELECT * FROM len")
+SQL["polygon_area_in_radius"] = q(POI_ALL, "SELECT * FROM area")
+SQL["poi_features"] = q(POI_ALL, "SELECT * FROM poi")
+
+CENTROID = "cen AS (SELECT median(start_lat) AS lat0, median(start_lng) AS lng0 FROM rides)"
+SQL["distance_to_center"] = q([RIDES, STATION_FEATURES, CENTROID], f"""
+SELECT start_station_id AS station_id, round_even({haversine_sql('lat', 'lng', 'c.lat0', 'c.lng0')}, 1) AS distance_to_city_center
+FROM station_features, cen c""")
+SQL["station_median_coords"] = q([RIDES], f"""
+SELECT start_station_id, {r6('median(start_lat)')} AS start_lat, {r6('median(start_lng)')} AS start_lng
+FROM rides GROUP BY start_station_id""")
+SQL["city_centroid"] = q([RIDES, CENTROID], f"SELECT {r6('lat0')} AS lat0, {r6('lng0')} AS lng0 FROM cen")
+SQL["tile_stations"] = q([STATION_FEATURES], f"""
+SELECT CAST(round_even(lat / {D(0.035)}, 0) AS INTEGER) AS gx, CAST(round_even(lng / {D(0.035)}, 0) AS INTEGER) AS gy,
+       count(*) AS stations, {r6(f'min(lat) - {D(0.013)}')} AS south, {r6(f'min(lng) - {D(0.013)}')} AS west,
+       {r6(f'max(lat) + {D(0.013)}')} AS north, {r6(f'max(lng) + {D(0.013)}')} AS east
+FROM station_features WHERE lat IS NOT NULL AND lng IS NOT NULL GROUP BY ALL""")
+
+SRC = f"""src AS (
+  SELECT station_key AS station_id, {firsts(POI8_COLS)} FROM keyed WHERE city_key = 'click' GROUP BY station_key)"""
+PAIRED = ["srcp AS (SELECT * FROM src WHERE station_id IN (SELECT station_id FROM poi))",
+          "ownp AS (SELECT * FROM poi WHERE station_id IN (SELECT station_id FROM src))"]
+
+
+def _factor(c):
+    if c == "distance_to_nearest_rail_station":
+        return f"CAST(1.0 AS DOUBLE) AS {c}"
+    mt = f"(SELECT median({c}) FILTER (WHERE {c} > 0) FROM srcp)"
+    mk = f"(SELECT median({c}) FILTER (WHERE {c} > 0) FROM ownp)"
+    return f"CASE WHEN {mk} > 0 THEN {mt} / {mk} ELSE 1.0 END AS {c}"
+
+
+FACTORS = f"factors AS (SELECT {', '.join(_factor(c) for c in POI8_COLS)})"
+CAL_CTES = BASE + POI_ALL + [SRC] + PAIRED + [FACTORS]
+
+
+def _cal(c):
+    v = f"CASE WHEN f.{c} <> 1.0 THEN round_even(p.{c} * f.{c}, 1) ELSE p.{c} END"
+    if c in POI_COUNT_COLS:
+        return f"CAST(round_even({v}, 0) AS BIGINT) AS {c}"
+    return f"{v} AS {c}"
+
+
+CALIB = f"calib AS (SELECT p.station_id, {', '.join(_cal(c) for c in POI8_COLS)} FROM poi p, factors f)"
+SQL["positive_median_ratio"] = q(CAL_CTES, f"SELECT {', '.join(f'{r6(c)} AS {c}' for c in POI8_COLS)} FROM factors")
+SQL["poi_calibrate"] = q(CAL_CTES + [CALIB], "SELECT * FROM calib")
+SQL["replace_columns"] = q(CAL_CTES + [CALIB], f"""
+SELECT b.start_station_id, b.lat, b.lng, {', '.join('c.' + x for x in POI8_COLS)}, b.distance_to_city_center
+FROM station_features b LEFT JOIN calib c ON b.start_station_id = c.station_id""")
+SQL["poi_sanity"] = q(BASE + POI_ALL + [f"""smeta8 AS (
+  SELECT city_key AS city, station_key, {firsts(POI8_COLS)} FROM keyed GROUP BY city_key, station_key)"""],
+    " UNION ALL ".join(
+        [f"SELECT 'own' AS city, '{c}' AS \"column\", {r6(f'median(CAST({c} AS DOUBLE)) FILTER (WHERE {c} > 0)')} AS median_positive FROM poi" for c in POI8_COLS]
+        + [f"SELECT city, '{c}' AS \"column\", {r6(f'median(CAST({c} AS DOUBLE)) FILTER (WHERE {c} > 0)')} AS median_positive FROM smeta8 GROUP BY city" for c in POI8_COLS]))
+
+CAL_SELECT = f"""strftime(t, '%Y-%m-%d') AS date, CAST(isodow(t) - 1 AS INTEGER) AS weekday,
+    CAST(isodow(t) - 1 >= 5 AS INTEGER) AS weekend, CAST(({{hol}}) IS NOT NULL AS INTEGER) AS holiday,
+    {{hol}} AS holiday_name, CAST(NOT (isodow(t) - 1 >= 5) AND ({{hol}}) IS NULL AS INTEGER) AS working_day"""
+_HOL = holiday_name_sql_ = None
+from dockhour.functions.holidays import holiday_name_sql as _hns  # noqa: E402
+CAL_T = CAL_SELECT.format(hol=_hns("CAST(t AS DATE)"))
+
+ENR = f"""enr AS (
+  SELECT r.rental_id, strftime(r.t, {MIC}) AS started_at, r.start_station_name,
+         {numeric_id_sql('r.start_station_id')} AS start_station_id,
+         f.lat AS start_lat, f.lng AS start_lng, {', '.join('f.' + x for x in POI_COLS)},
+         {CAL_T.replace('(t', '(r.t').replace(' t)', ' r.t)')},
+         strftime(date_trunc('hour', r.t), {SEC}) AS hour_ts,
+         {', '.join('w.' + x for x in WEATHER_COLS)}, 'city 1' AS city
+  FROM (SELECT *, CAST(started_at AS TIMESTAMP) AS t FROM start_side) r
+  LEFT JOIN station_features f ON {numeric_id_sql('r.start_station_id')} = {numeric_id_sql('f.start_station_id')}
+  LEFT JOIN weather w ON w.hour_ts = strftime(date_trunc('hour', r.t), {SEC}))"""
+SQL["enrich_rides"] = q([RIDES, START_SIDE, STATION_FEATURES, WEATHER, ENR], "SELECT * FROM enr")
+SQL["coverage_pct"] = q([RIDES, START_SIDE, STATION_FEATURES, WEATHER, ENR], f"""
+SELECT {r6('avg(CAST(office_poi_count_1000m IS NOT NULL AS DOUBLE)) * 100')} AS office_poi_count_1000m_coverage_pct,
+       {r6('avg(CAST(temperature_2m IS NOT NULL AS DOUBLE)) * 100')} AS temperature_2m_coverage_pct FROM enr""")
+
+CITY_FEATS = """city_feats AS (
+  SELECT cs.city, f.* FROM (SELECT DISTINCT event_type AS city, CAST(user_id % 25 AS VARCHAR) AS sid FROM events) cs
+  JOIN station_features f ON f.start_station_id = cs.sid)"""
+CITY_WEATHER = f"""city_weather AS (
+  SELECT ch.city, w.* REPLACE (w.temperature_2m + CAST(length(ch.city) AS DOUBLE) AS temperature_2m)
+  FROM (SELECT DISTINCT event_type AS city, strftime(date_trunc('hour', ts), {SEC}) AS hour_ts FROM events) ch
+  JOIN weather w USING (hour_ts))"""
+_EOUT = {"started_at": f"strftime(r.t, {MIC})", "hour_ts": f"strftime(date_trunc('hour', r.t), {SEC})",
+         "city": "r.city", "start_station_id": numeric_id_sql("r.start_station_id"),
+         "start_station_name": "r.start_station_name", "start_lat": "f.lat", "start_lng": "f.lng"}
+_CAL_R = CAL_T.replace("(t", "(r.t").replace(" t)", " r.t)")
+SQL["enrich_fullyear"] = q([RIDES, START_SIDE, STATION_FEATURES, WEATHER, CITY_FEATS, CITY_WEATHER], f"""
+SELECT {', '.join(f'{_EOUT[c]} AS {c}' for c in ENRICHED_OUT_COLS[:7])},
+       {', '.join('w.' + x for x in WEATHER_COLS)}, {', '.join('f.' + x for x in POI_COLS)},
+       {_CAL_R}
+FROM (SELECT *, CAST(started_at AS TIMESTAMP) AS t FROM start_side) r
+LEFT JOIN city_feats f ON f.city = r.city AND {numeric_id_sql('f.start_station_id')} = {numeric_id_sql('r.start_station_id')}
+LEFT JOIN city_weather w ON w.city = r.city AND w.hour_ts = strftime(date_trunc('hour', r.t), {SEC})""")
+
+
+def _city_cols(have: dict) -> str:
+    out = []
+    for c in RIDE_COLS:
+        if c in have:
+            out.append(f"{have[c]} AS {c}")
+        else:
+            typ = "VARCHAR" if c in _STR else ("INTEGER" if c in _INT else "DOUBLE")
+            out.append(f"CAST(NULL AS {typ}) AS {c}")
+    return ", ".join(out)
+
+
+_CITY_HAVE = {"started_at": f"strftime(r.t, {MIC})", "start_station_id": "r.start_station_id",
+              "city": "'city 4'", "date": "strftime(r.t, '%Y-%m-%d')",
+              "weekday": "CAST(isodow(r.t) - 1 AS INTEGER)", "weekend": "CAST(isodow(r.t) - 1 >= 5 AS INTEGER)",
+              "holiday": f"CAST(({_hns('CAST(r.t AS DATE)')}) IS NOT NULL AS INTEGER)",
+              "holiday_name": _hns("CAST(r.t AS DATE)"),
+              "working_day": f"CAST(NOT (isodow(r.t) - 1 >= 5) AND ({_hns('CAST(r.t AS DATE)')}) IS NULL AS INTEGER)",
+              "hour_ts": f"strftime(date_trunc('hour', r.t), {SEC})"}
+SQL["enrich_city"] = q([RIDES, START_SIDE, WEATHER], f"""
+SELECT {_city_cols({**_CITY_HAVE, 'start_lat': 'r.start_lat', 'start_lng': 'r.start_lng',
+                   **{c: 'w.' + c for c in WEATHER_COLS}})}
+FROM (SELECT *, CAST(started_at AS TIMESTAMP) AS t FROM start_side) r
+LEFT JOIN weather w ON w.hour_ts = strftime(date_trunc('hour', r.t), {SEC})""")
+
+RAW_STATIONS = """raw_stations AS (
+  SELECT start_station_id AS station_id, median(start_lat) AS lat, median(start_lng) AS lng
+  FROM start_side GROUP BY start_station_id)"""
+SQL["enrich_city_poi"] = q([RIDES, START_SIDE, RAW_STATIONS] + poi_ctes("raw_stations") + POI_FEATS + [
+    "cen AS (SELECT median(start_lat) AS lat0, median(start_lng) AS lng0 FROM start_side)"], f"""
+SELECT {_city_cols({**_CITY_HAVE, 'start_lat': 's.lat', 'start_lng': 's.lng',
+                   **{c: 'p.' + c for c in POI8_COLS},
+                   'distance_to_city_center': f"round_even({haversine_sql('s.lat', 's.lng', 'c.lat0', 'c.lng0')}, 1)"})}
+FROM (SELECT *, CAST(started_at AS TIMESTAMP) AS t FROM start_side) r
+LEFT JOIN raw_stations s ON s.station_id = r.start_station_id
+LEFT JOIN poi p ON p.station_id = r.start_station_id
+CROSS JOIN cen c""")
+
+SQL["us_holiday_dim"] = q([RIDES], f"""
+SELECT day, {_hns('day')} AS holiday_name, CAST(({_hns('day')}) IS NOT NULL AS INTEGER) AS holiday
+FROM (SELECT CAST(unnest(generate_series(min(started_at)::DATE, max(started_at)::DATE, INTERVAL 1 DAY)) AS DATE) AS day
+      FROM rides)""")
