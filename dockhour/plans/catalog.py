@@ -897,3 +897,144 @@ QUERIES.update({
     "us_holiday_dim": us_holiday_dim,
     "coverage_pct": coverage_pct,
 })
+
+
+# --- batch 6: file sources and sinks (round trips through real files) ---------------
+from ..sources import files as SRC          # noqa: E402
+from ..sources import sinks as SNK          # noqa: E402
+from ..schemas import rides_csv_schema       # noqa: E402
+
+
+def _scratch(spark, sf, name):
+    """A folder for derived files under the shared checkpoint folder (never machine-local)."""
+    from ..session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/dockhour-files/{sf.rstrip('/').split('/')[-1]}/{name}"
+
+
+def _rides_csv_frame(r):
+    return K.conform_schema(as_text(r, micros=("started_at",)), RIDE_COLS, {"ended_at": "string"})
+
+
+def scan_rides_csv(spark, sf):
+    path = _scratch(spark, sf, "rides_csv")
+    SNK.write_csv(_rides_csv_frame(_rides(spark, sf)), path)
+    return as_text(SRC.scan_rides(spark, path), micros=("started_at",))
+
+
+ALIASES = {"rental_id": ["Number", "Rental Id"], "started_at": ["Start date", "Start Date"],
+           "start_station_id": ["Start station number", "StartStation Id"],
+           "start_station_name": ["Start station", "StartStation Name"]}
+
+
+def ingest_alias_headers(spark, sf):
+    a = TD.start_side_rides(spark, sf).select(
+        F.col("rental_id").alias("Number"), F.col("started_at").alias("Start date"),
+        F.col("start_station_id").alias("Start station number"), F.col("start_station_name").alias("Start station"))
+    s = TD.rides_from_events(TD.table(spark, sf, "events"), shift_hours=1)
+    b = s.select(F.concat(F.lit("Station "), F.trim("start_station_id")).alias("StartStation Name"),
+                 F.col("ride_id").alias("Rental Id"), F.col("start_station_id").alias("StartStation Id"),
+                 F.date_format("started_at", MICROS).alias("Start Date"), F.col("city").alias("Extra"))
+    pa, pb = _scratch(spark, sf, "alias_a"), _scratch(spark, sf, "alias_b")
+    SNK.write_csv(a, pa)
+    SNK.write_csv(b, pb)
+    return SRC.ingest_alias_headers(spark, [pa, pb], ALIASES)
+
+
+def scan_gzip_chunks(spark, sf):
+    path = _scratch(spark, sf, "rides_gz")
+    raw = TD.start_side_rides(spark, sf).select("rental_id", "started_at", "start_station_id",
+                                                "start_station_name", "city")
+    SNK.write_csv(raw, path, compression="gzip")
+    return SRC.scan_gzip_text(spark, f"{path}/*.csv.gz")
+
+
+def scan_station_features(spark, sf):
+    path = _scratch(spark, sf, "station_features_csv")
+    SNK.write_csv(TD.station_features(spark, sf), path)
+    return SRC.scan_station_features(spark, path)
+
+
+def scan_weather_csv(spark, sf):
+    path = _scratch(spark, sf, "weather_csv")
+    SNK.write_csv(TD.weather_table(spark, sf), path)
+    return as_text(SRC.scan_weather(spark, path))
+
+
+def _field(name):
+    return lambda x: x.getField(name)
+
+
+def weather_json_unnest(spark, sf):
+    """Parallel-array JSON documents (one per day, <= 24 hours each) written and unnested."""
+    path = _scratch(spark, sf, "weather_json")
+    w = TD.weather_table(spark, sf)
+    day = w.groupBy(F.substring("hour_ts", 1, 10).alias("day")).agg(
+        F.sort_array(F.collect_list(F.struct("hour_ts", *WEATHER_COLS))).alias("h"))
+    doc = day.select(F.struct(
+        F.transform("h", lambda x: F.regexp_replace(x["hour_ts"], " ", "T")).alias("time"),
+        *[F.transform("h", _field(c)).alias(c) for c in WEATHER_COLS]).alias("hourly"))
+    doc.write.mode("overwrite").json(path)
+    return SRC.weather_json_unnest(spark, path)
+
+
+def discover_sources(spark, sf):
+    d = _scratch(spark, sf, "supplemental_dir")
+    SNK.write_csv(_rides_csv_frame(TD.rides(spark, sf)), f"{d}/a_official.csv")
+    SNK.write_csv(_rides_csv_frame(TD.supplemental_rides(spark, sf)), f"{d}/b_supplemental.csv")
+    paths = SRC.discover_sources(spark, d)
+    df = SRC.read_sources(spark, paths, rides_csv_schema())
+    return df.select("source", "started_at", "start_station_id", "city")
+
+
+def materialise_table(spark, sf):
+    path = _scratch(spark, sf, "station_hour_table_parquet")
+    return as_text(SRC.materialise_table(_table(spark, sf), path))
+
+
+def write_targets_labels(spark, sf):
+    t = _targets(spark, sf)
+    from ..session import cut_lineage
+    labels = cut_lineage(t.labels)             # written twice below: materialise once
+    pub = labels.drop("demand", "city_key", "station_key").withColumns(
+        {"target_hour_start": format_ts("target_hour_start"), "hour_ts": format_ts("hour_ts")})
+    priv = labels.select("id", "city", "start_station_id", format_ts("target_hour_start").alias("target_hour_start"),
+                         "demand")
+    pp, lp = _scratch(spark, sf, "public_targets_csv"), _scratch(spark, sf, "private_labels_csv")
+    SNK.write_targets_labels(pub, priv, pp, lp)
+    schema = "id BIGINT, city STRING, start_station_id STRING, target_hour_start STRING, demand BIGINT"
+    return spark.read.schema(schema).option("header", True).csv(lp)
+
+
+def write_split_files(spark, sf):
+    out, _ = _splits(spark, sf)
+    path = _scratch(spark, sf, "splits_csv")
+    SNK.write_split_files(as_text(out.drop("source_rank")), path)
+    schema = "city_key STRING, station_key STRING, ts STRING, demand BIGINT, is_supplementary BOOLEAN"
+    return SNK.read_split_files(spark, path, schema + ", split STRING")
+
+
+def ingest_report_months(spark, sf):
+    months, _ = SRC.ingest_report(TD.start_side_rides(spark, sf))
+    return months
+
+
+def ingest_report_totals(spark, sf):
+    _, totals = SRC.ingest_report(TD.start_side_rides(spark, sf))
+    return totals
+
+
+QUERIES.update({
+    "scan_rides_csv": scan_rides_csv,
+    "ingest_alias_headers": ingest_alias_headers,
+    "scan_gzip_chunks": scan_gzip_chunks,
+    "scan_station_features": scan_station_features,
+    "scan_weather_csv": scan_weather_csv,
+    "weather_json_unnest": weather_json_unnest,
+    "discover_sources": discover_sources,
+    "materialise_table": materialise_table,
+    "write_targets_labels": write_targets_labels,
+    "write_split_files": write_split_files,
+    "ingest_report_months": ingest_report_months,
+    "ingest_report_totals": ingest_report_totals,
+})

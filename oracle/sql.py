@@ -1171,3 +1171,46 @@ SQL["us_holiday_dim"] = q([RIDES], f"""
 SELECT day, {_hns('day')} AS holiday_name, CAST(({_hns('day')}) IS NOT NULL AS INTEGER) AS holiday
 FROM (SELECT CAST(unnest(generate_series(min(started_at)::DATE, max(started_at)::DATE, INTERVAL 1 DAY)) AS DATE) AS day
       FROM rides)""")
+
+
+# --- batch 6: file sources and sinks ------------------------------------------------------
+_RC = {c for c in RIDE_COLS}
+
+
+def _rides_as_csv(src):
+    out = []
+    for c in RIDE_COLS:
+        if c == "ended_at":
+            out.append("CAST(NULL AS VARCHAR) AS ended_at")
+        elif c == "started_at":
+            out.append(f"strftime(started_at, {MIC}) AS started_at")
+        elif c == "hour_ts":
+            out.append(f"strftime(hour_ts, {SEC}) AS hour_ts")
+        else:
+            out.append(c)
+    return f"SELECT {', '.join(out)} FROM {src}"
+
+
+SQL["scan_rides_csv"] = q([RIDES], _rides_as_csv("rides"))
+SQL["ingest_alias_headers"] = q([RIDES, START_SIDE, SUPPLEMENTAL], f"""
+SELECT CAST(rental_id AS VARCHAR) AS rental_id, started_at, start_station_id, start_station_name FROM start_side
+UNION ALL
+SELECT CAST(ride_id AS VARCHAR), strftime(started_at, {MIC}), start_station_id, 'Station ' || trim(start_station_id)
+FROM supp_rides""")
+SQL["scan_gzip_chunks"] = q([RIDES, START_SIDE], """
+SELECT CAST(rental_id AS VARCHAR) AS rental_id, started_at, start_station_id, start_station_name, city FROM start_side""")
+SQL["scan_station_features"] = q([STATION_FEATURES], """
+SELECT * RENAME (lat AS start_lat, lng AS start_lng) FROM station_features""")
+SQL["scan_weather_csv"] = q([WEATHER], "SELECT * FROM weather")
+SQL["weather_json_unnest"] = q([WEATHER], "SELECT * FROM weather")
+SQL["discover_sources"] = q([RIDES, SUPPLEMENTAL], f"""
+SELECT 'a_official.csv' AS source, strftime(started_at, {MIC}) AS started_at, start_station_id, city FROM rides
+UNION ALL
+SELECT 'b_supplemental.csv', strftime(started_at, {MIC}), start_station_id, city FROM supp_rides""")
+SQL["materialise_table"] = SQL["station_hour_table"]
+SQL["write_targets_labels"] = SQL["public_private_split"]
+SQL["write_split_files"] = SQL["load_splits"]
+SQL["ingest_report_months"] = q([RIDES, START_SIDE], """
+SELECT substr(started_at, 1, 7) AS month, count(*) AS rides FROM start_side GROUP BY 1""")
+SQL["ingest_report_totals"] = q([RIDES, START_SIDE], """
+SELECT count(*) AS rides, count(DISTINCT start_station_id) AS stations FROM start_side""")
