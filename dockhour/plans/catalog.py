@@ -1038,3 +1038,82 @@ QUERIES.update({
     "ingest_report_months": ingest_report_months,
     "ingest_report_totals": ingest_report_totals,
 })
+
+
+# --- batch 7: models (MLlib; rows-only checks) ------------------------------------
+from ..ml import models as ML                # noqa: E402
+from . import modeling as MOD                # noqa: E402
+
+# Tree counts for the registered runs.  The library defaults follow the reference
+# (1,500 / 600 / 400 trees); MLlib fits boosting rounds one Spark job at a time,
+# so the registered smoke runs use short schedules.
+SMOKE_TREES = 15
+SMOKE_GATE_TREES = 10
+
+
+def _model_data(spark, sf):
+    out, _ = _splits(spark, sf)
+    full = station_hour_table(_rides(spark, sf), ORDER)
+    feats = full.drop("demand", "city", "hour", "weekday", "is_weekend", "how")
+    rows = out.select("city_key", "station_key", "ts", "demand", "split").join(
+        feats, ["city_key", "station_key", "ts"], "left")
+    from ..session import cut_lineage
+    rows = cut_lineage(rows)
+    return rows.filter(F.col("split") == "train"), rows.filter(F.col("split") != "train")
+
+
+def train_baseline(spark, sf):
+    train, ev = _model_data(spark, sf)
+    enc = TE.te_fit(train.withColumn("how", _tp("ts")["how"]))
+    keep = TKEYS + ["demand"]
+    tr = FE.build_features(TE.te_transform(train.withColumn("how", _tp("ts")["how"]), enc), "baseline", keep=keep)
+    te = FE.build_features(TE.te_transform(ev.withColumn("how", _tp("ts")["how"]), enc), "baseline", keep=keep)
+    model = ML.train_baseline(tr, FE.feature_groups()["baseline"], iters=SMOKE_TREES)
+    return as_text(model.transform(te).select(*TKEYS, "demand", "prediction"))
+
+
+def weighted_fit(spark, sf):
+    train, ev = _model_data(spark, sf)
+    train = P.city_balanced_weights(train)
+    keep = TKEYS + ["demand", "weight"]
+    tr = FE.build_features(train, "no_identity", keep=keep)
+    te = FE.build_features(ev, "no_identity", keep=TKEYS + ["demand"])
+    model = ML.train_baseline(tr, FE.feature_groups()["no_identity"], iters=SMOKE_TREES, weight="weight")
+    return as_text(model.transform(te).select(*TKEYS, "demand", "prediction"))
+
+
+def train_ensemble(spark, sf):
+    """M2 + M6 + M3: fit, save, load back, predict val and the unseen city."""
+    train, ev = _model_data(spark, sf)
+    model = ML.train_ensemble(train, iters=SMOKE_TREES, gate_iters=SMOKE_GATE_TREES)
+    path = _scratch(spark, sf, "ensemble_model")
+    model.save(path)
+    loaded = ML.EnsembleModel.load(spark, path)
+    return as_text(ML.predict_ensemble(loaded, ev, TKEYS + ["demand"]))
+
+
+def bakeoff(spark, sf):
+    train, ev = _model_data(spark, sf)
+    return MOD.bakeoff(train, ev, TD.TESTDATA_HOLDOUT_CITY, iters=SMOKE_TREES)
+
+
+def score_holdout(spark, sf):
+    t = _table(spark, sf)
+    return MOD.score_holdout(t, ["click", "purchase"], ["error", "view"], iters=SMOKE_TREES,
+                             gate_iters=SMOKE_GATE_TREES)
+
+
+def repeatable_predictions_q(spark, sf):
+    train, ev = _model_data(spark, sf)
+    model = ML.train_ensemble(train, iters=SMOKE_TREES, gate_iters=SMOKE_GATE_TREES)
+    return MOD.repeatable(model, ev)
+
+
+QUERIES.update({
+    "train_baseline": train_baseline,
+    "weighted_fit": weighted_fit,
+    "train_ensemble": train_ensemble,
+    "bakeoff": bakeoff,
+    "score_holdout": score_holdout,
+    "repeatable_predictions": repeatable_predictions_q,
+})
