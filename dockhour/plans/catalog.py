@@ -1117,3 +1117,51 @@ QUERIES.update({
     "score_holdout": score_holdout,
     "repeatable_predictions": repeatable_predictions_q,
 })
+
+
+# --- batch 8: remaining keys of the inventory ------------------------------------------
+
+def score_by_city(spark, sf):
+    """K2: per (model, city) rows of the summary."""
+    labels, preds = _scored(spark, sf)
+    s = SC.score_summary(SC.score_rows(labels, preds)).filter(F.col("city") != "OVERALL")
+    return _r6(s.drop("negative_predictions_before_clipping"), ["mae", "rmse", "mean_true_demand", "mean_prediction"])
+
+
+def negatives_before_clip(spark, sf):
+    """K3: raw predictions below 0, reported on the OVERALL row of each model."""
+    labels, preds = _scored(spark, sf)
+    s = SC.score_summary(SC.score_rows(labels, preds))
+    return s.filter(F.col("city") == "OVERALL").select("model", "negative_predictions_before_clipping")
+
+
+def write_summary_scored(spark, sf):
+    """Leaderboard (one file) and scored rows written, leaderboard read back."""
+    labels, preds = _scored(spark, sf)
+    scored = SC.score_rows(labels, preds)
+    board = SC.leaderboard_sort(SC.score_summary(scored))
+    p, sp = _scratch(spark, sf, "summary_csv"), _scratch(spark, sf, "scored_csv")
+    SNK.write_summary_scored(board, p, scored, sp)
+    schema = ("model STRING, city STRING, n_rows BIGINT, mae DOUBLE, rmse DOUBLE, mean_true_demand DOUBLE, "
+              "mean_prediction DOUBLE, negative_predictions_before_clipping BIGINT")
+    return spark.read.schema(schema).option("header", True).csv(p)
+
+
+def write_enriched(spark, sf):
+    """Fixed column order, gzip CSV; read back with the declared output schema."""
+    raw = TD.start_side_rides(spark, sf).drop("start_lat", "start_lng")
+    out = H.enrich_fullyear(raw, TD.city_station_features(spark, sf), TD.city_weather(spark, sf),
+                            ENRICHED_OUT_COLS)
+    path = _scratch(spark, sf, "enriched_csv_gz")
+    SNK.write_enriched(as_text(out, micros=("started_at",)), path, ENRICHED_OUT_COLS)
+    types = {f.name: f.dataType.simpleString() for f in as_text(out, micros=("started_at",)).schema.fields}
+    schema = ", ".join(f"`{c}` {types[c]}" for c in ENRICHED_OUT_COLS)
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+QUERIES.update({
+    "score_by_city": score_by_city,
+    "negatives_before_clip": negatives_before_clip,
+    "write_summary_scored": write_summary_scored,
+    "write_enriched": write_enriched,
+})

@@ -1214,3 +1214,12 @@ SQL["ingest_report_months"] = q([RIDES, START_SIDE], """
 SELECT substr(started_at, 1, 7) AS month, count(*) AS rides FROM start_side GROUP BY 1""")
 SQL["ingest_report_totals"] = q([RIDES, START_SIDE], """
 SELECT count(*) AS rides, count(DISTINCT start_station_id) AS stations FROM start_side""")
+
+
+# --- batch 8 --------------------------------------------------------------------------------
+SQL["score_by_city"] = q(TARGET_CTES + [PREDS, SCORED, summary_cte()], """
+SELECT * EXCLUDE (negative_predictions_before_clipping) FROM summary WHERE city <> 'OVERALL'""")
+SQL["negatives_before_clip"] = q(TARGET_CTES + [PREDS, SCORED, summary_cte()], """
+SELECT model, negative_predictions_before_clipping FROM summary WHERE city = 'OVERALL'""")
+SQL["write_summary_scored"] = SQL["leaderboard_sort"]
+SQL["write_enriched"] = SQL["enrich_fullyear"]
