@@ -1165,3 +1165,13 @@ QUERIES.update({
     "write_summary_scored": write_summary_scored,
     "write_enriched": write_enriched,
 })
+
+
+def leak_guard(spark, sf):
+    """The guard runs (raises on a leak); the result lists each city's splits."""
+    out, _ = _splits(spark, sf)
+    P.leak_guard(out, TD.TESTDATA_HOLDOUT_CITY)
+    return out.groupBy("city_key").agg(F.array_join(F.array_sort(F.collect_set("split")), ",").alias("splits"))
+
+
+QUERIES["leak_guard"] = leak_guard

@@ -1223,3 +1223,5 @@ SQL["negatives_before_clip"] = q(TARGET_CTES + [PREDS, SCORED, summary_cte()], "
 SELECT model, negative_predictions_before_clipping FROM summary WHERE city = 'OVERALL'""")
 SQL["write_summary_scored"] = SQL["leaderboard_sort"]
 SQL["write_enriched"] = SQL["enrich_fullyear"]
+SQL["leak_guard"] = q(POOL_CTES, """
+SELECT city_key, array_to_string(list_sort(list_distinct(list(split))), ',') AS splits FROM splits GROUP BY city_key""")
