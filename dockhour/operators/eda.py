@@ -209,11 +209,9 @@ def binned_box_stats(rides: DataFrame, col: str = "temperature_2m", bins: int =
     q = q.withColumns({"bin_lo": F.when(F.col("bin") == 1, F.col("_mn") - (F.col("_mx") - F.col("_mn")) * 0.001)
                        .otherwise(F.col("_mn") + (F.col("bin") - 1) * (F.col("_mx") - F.col("_mn")) / bins),
                        "bin_hi": F.col("_mn") + F.col("bin") * (F.col("_mx") - F.col("_mn")) / bins})
-    iqr = F.col("q3") - F.col("q1")
     wk = j.join(q.select("city", "bin", "q1", "q3"), ["city", "bin"]).groupBy("city", "bin").agg(
         F.min(F.when(x >= F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")), x)).alias("whisker_lo"),
         F.max(F.when(x <= F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")), x)).alias("whisker_hi"))
-    del iqr
     return q.drop("_mn", "_mx").join(wk, ["city", "bin"])
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.geo import haversine_m
 from ..functions.keys import conform_schema, floor_hour
 from ..functions.time import calendar_fields, format_ts
-from ..schemas import POI8_COLS, POI_COUNT_COLS, RIDE_COLS, STUB_LEAKAGE_COLS, WEATHER_COLS
+from ..schemas import POI8_COLS, POI_COUNT_COLS, RIDE_COLS, WEATHER_COLS
 from . import spatial as S
 from .joins import join_station_features, numeric_station_id
 

@@ -6,7 +6,7 @@ the end (the reference's sink format), so results compare engine-neutrally.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import keys as K
 from ..functions.time import format_ts

@@ -1,9 +1,7 @@
 """Sources, sinks and the streaming demand count."""
-import io
 import os
 import zipfile
 
-from pyspark.sql import functions as F
 
 from dockhour.operators import aggregates as A
 from dockhour.operators.keys import key_rides
