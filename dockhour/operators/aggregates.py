@@ -80,10 +80,24 @@ def first_non_null_by(df: DataFrame, keys, cols, order_cols) -> DataFrame:
     return df.groupBy(*keys).agg(*[first_non_null(c, order_cols).alias(c) for c in cols])
 
 
+def _coord_medians(df: DataFrame, keys, lat: str, lng: str) -> DataFrame:
+    """Exact medians of both coordinates per key in one grouped quantile (unpivoted)."""
+    from .splits import exact_median
+    long = df.select(*keys, lat, lng).unpivot(list(keys), [lat, lng], "_coord", "_value")
+    q = exact_median(long, list(keys) + ["_coord"], "_value", "_q")
+    return q.groupBy(*keys).agg(F.max(F.when(F.col("_coord") == lat, F.col("_q"))).alias(lat),
+                                F.max(F.when(F.col("_coord") == lng, F.col("_q"))).alias(lng))
+
+
 def station_median_coords(df: DataFrame, station_col: str = "start_station_id",
                           lat: str = "start_lat", lng: str = "start_lng") -> DataFrame:
-    """Exact median lat/lng per station (pandas groupby keeps a NULL id group here)."""
-    return df.groupBy(station_col).agg(F.median(lat).alias(lat), F.median(lng).alias(lng))
+    """Exact median lat/lng per station (a station without coordinates keeps NULLs).
+
+    Coordinates are continuous, so a value->count map per station (Spark's exact
+    ``median``) would grow with a busy station's rides; ``exact_median`` keeps the
+    state bounded by bucket refinement."""
+    ids = df.select(station_col).distinct()
+    return ids.join(_coord_medians(df, [station_col], lat, lng), station_col, "left")
 
 
 def city_centroid(df: DataFrame, lat: str = "start_lat", lng: str = "start_lng",
@@ -92,7 +106,8 @@ def city_centroid(df: DataFrame, lat: str = "start_lat", lng: str = "start_lng",
     if override is not None:
         return df.sparkSession.range(1).select(F.lit(float(override[0])).alias("lat0"),
                                                F.lit(float(override[1])).alias("lng0"))
-    return df.agg(F.median(lat).alias("lat0"), F.median(lng).alias("lng0"))
+    m = _coord_medians(df.withColumn("_all", F.lit(0)), ["_all"], lat, lng)
+    return m.select(F.col(lat).alias("lat0"), F.col(lng).alias("lng0"))
 
 
 def coverage_pct(df: DataFrame, cols) -> DataFrame:

@@ -94,9 +94,11 @@ def station_poi_features(stations: DataFrame, layers: PoiLayers, lat0: Column |
     """H5: the eight POI columns per station (``station_id, lat, lng``); stations without
     coordinates get NULLs.  Projection centre defaults to the mean station position."""
     rules = layers.rules or S.POI_RULES
-    if lat0 is None:
+    from ..session import cut_lineage
+    stations = cut_lineage(stations.select("station_id", "lat", "lng"))   # one row per station,
+    if lat0 is None:                                                      # read by ~10 joins below
         lat0, lng0 = S.projection_centre(stations)
-    st = S.project(stations.select("station_id", "lat", "lng"), "lat", "lng", lat0, lng0)
+    st = S.project(stations, "lat", "lng", lat0, lng0)
     pts = S.poi_category_match(S.elements_to_points(layers.points), rules)
     pts = S.project(pts, "lat", "lon", lat0, lng0)
     out = st.select("station_id")
@@ -189,12 +191,14 @@ def enrich_city(rides: DataFrame, weather: DataFrame | None = None, layers: PoiL
         df = df.join(weather.select("hour_ts", *WEATHER_COLS), "hour_ts", "left")
     if layers is not None:
         if centroid is None:
-            row = df.agg(F.median("start_lat").alias("a"), F.median("start_lng").alias("b")).first()
-            lat0, lng0 = F.lit(row["a"]), F.lit(row["b"])
+            from .aggregates import city_centroid
+            row = city_centroid(df).first()
+            lat0, lng0 = F.lit(row["lat0"]), F.lit(row["lng0"])
         else:
             lat0, lng0 = F.lit(float(centroid[0])), F.lit(float(centroid[1]))
-        st = df.groupBy("start_station_id").agg(F.median("start_lat").alias("lat"),
-                                                F.median("start_lng").alias("lng"))
+        from ..session import cut_lineage
+        from .aggregates import station_median_coords
+        st = cut_lineage(station_median_coords(df).withColumnsRenamed({"start_lat": "lat", "start_lng": "lng"}))
         st = st.withColumn("station_id", F.col("start_station_id"))
         poi = station_poi_features(st, layers)
         poi = poi.join(distance_to_center(st.select("station_id", "lat", "lng"), lat0, lng0), "station_id")

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..schemas import HOLDOUT_CITY, VAL_FRACTION
+from ..session import cut_lineage
 
 HOUR_US = 3_600_000_000
 SECOND_US = 1_000_000
@@ -33,51 +34,74 @@ def from_micros(us) -> Column:
 
 
 def exact_quantile(df: DataFrame, groups, value_col: str, p: float, levels=LEVELS,
-                   out: str = "q") -> DataFrame:
-    """Linear-interpolation quantile of an integer column per group, exact."""
+                   out: str = "q", integer: bool = True) -> DataFrame:
+    """Linear-interpolation quantile per group, exact, with bounded per-task state.
+
+    ``integer``: values are longs and the last level width must be 1 (result rounded
+    to an integer).  Otherwise values are doubles, ``levels`` are bucket widths in
+    value units, and a final level groups the exact values inside the selected
+    finest bucket (a handful of distinct values).  An empty ``groups`` list means
+    one global group."""
     groups = list(groups)
-    v = df.select(*groups, F.col(value_col).cast("bigint").alias("_v")).filter(F.col("_v").isNotNull())
+    src = df
+    if not groups:
+        src, groups = df.withColumn("_g", F.lit(0)), ["_g"]
+    vcol = F.col(value_col).cast("bigint" if integer else "double")
+    v = src.select(*groups, vcol.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     n = v.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
     pos = F.lit(float(p)) * (F.col("_n") - 1)
-    base = n.select(*groups, F.floor(pos).alias("_lo"), (pos - F.floor(pos)).alias("_frac"),
-                    F.col("_n"))
+    base = n.select(*groups, F.floor(pos).alias("_lo"), (pos - F.floor(pos)).alias("_frac"), F.col("_n"))
     targets = base.select(*groups, F.col("_frac"), F.explode(F.array(
         F.struct(F.lit("lo").alias("which"), F.col("_lo").alias("rank")),
         F.struct(F.lit("hi").alias("which"),
                  F.least(F.col("_lo") + 1, F.col("_n") - 1).alias("rank")))).alias("t"))
     targets = targets.select(*groups, "_frac", "t.which", "t.rank",
-                             F.lit(None).cast("bigint").alias("parent"),
+                             F.lit(None).cast("double").alias("parent"),
                              F.lit(0).cast("bigint").alias("start"))
+    steps = [(float(w), False) for w in levels] + ([] if integer else [(None, True)])
     prev_width = None
-    for width in levels:
-        rows = v.withColumn("bucket", F.floor(F.col("_v") / F.lit(width)).cast("bigint"))
+    for width, exact in steps:
+        bucket = F.col("_v").cast("double") if exact else F.floor(F.col("_v") / F.lit(width)).cast("double")
+        rows = v.withColumn("bucket", bucket)
         if prev_width is None:
-            rows = rows.withColumn("parent", F.lit(None).cast("bigint"))
             pkeys = groups
         else:
-            rows = rows.withColumn("parent", F.floor(F.col("_v") / F.lit(prev_width)).cast("bigint"))
+            rows = rows.withColumn("parent", F.floor(F.col("_v") / F.lit(prev_width)).cast("double"))
             sel = targets.select(*groups, "parent").distinct()      # <= 2 rows per group
             rows = rows.join(sel, groups + ["parent"], "left_semi")
             pkeys = groups + ["parent"]
         counts = rows.groupBy(*pkeys, "bucket").agg(F.count(F.lit(1)).alias("_c"))
         w = Window.partitionBy(*pkeys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
         counts = counts.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-        jkeys = groups if prev_width is None else groups + ["parent"]
-        if prev_width is None:
-            counts = counts.drop("parent") if "parent" in counts.columns else counts
-        hit = targets.join(counts, jkeys, "inner").filter(
+        hit = targets.join(counts, pkeys, "inner").filter(
             (F.col("rank") >= F.col("start") + F.col("_before"))
             & (F.col("rank") < F.col("start") + F.col("_before") + F.col("_c")))
-        targets = hit.select(*groups, "_frac", "which", "rank",
-                             F.col("bucket").alias("parent"),
+        targets = hit.select(*groups, "_frac", "which", "rank", F.col("bucket").alias("parent"),
                              (F.col("start") + F.col("_before")).alias("start"))
+        # <= 2 rows per group, read twice by the next level: cut the lineage so the
+        # levels do not re-derive each other
+        targets = cut_lineage(targets)
         prev_width = width
+    scale = F.lit(1.0) if not integer else F.lit(float(prev_width))
+    val = F.col("parent") * scale
     vals = targets.groupBy(*groups).agg(
         F.first("_frac").alias("_frac"),
-        F.max(F.when(F.col("which") == "lo", F.col("parent") * F.lit(prev_width))).alias("_a"),
-        F.max(F.when(F.col("which") == "hi", F.col("parent") * F.lit(prev_width))).alias("_b"))
-    q = F.col("_a").cast("double") + (F.col("_b") - F.col("_a")).cast("double") * F.col("_frac")
-    return vals.select(*groups, F.round(q).cast("bigint").alias(out))
+        F.max(F.when(F.col("which") == "lo", val)).alias("_a"),
+        F.max(F.when(F.col("which") == "hi", val)).alias("_b"))
+    q = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_frac")
+    res = F.round(q).cast("bigint") if integer else q
+    keep = [g for g in groups if g != "_g"]
+    return vals.select(*keep, res.alias(out))
+
+
+COORD_LEVELS = (1.0, 1e-3, 1e-6)
+
+
+def exact_median(df: DataFrame, groups, value_col: str, out: str | None = None) -> DataFrame:
+    """Exact median of a double column per group (``groups`` may be empty) without a
+    per-group value map: degree -> 1e-3 -> 1e-6 buckets, then the exact values."""
+    return exact_quantile(df, groups, value_col, 0.5, levels=COORD_LEVELS, out=out or value_col,
+                          integer=False)
 
 
 def temporal_split_rides(rides: DataFrame, time_col: str = "started_at", city_col: str = "city",
@@ -119,7 +143,6 @@ def split_table(pool: DataFrame, holdout_city: str = HOLDOUT_CITY,
     shared checkpoint folder (the Spark form of the reference's table cache).
     """
     if materialize:
-        from ..session import cut_lineage
         pool = cut_lineage(pool)
     if not pool.filter(F.col("city_key") == holdout_city).limit(1).count():
         raise ValueError(f"holdout_city {holdout_city!r} not found.")
