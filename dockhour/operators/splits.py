@@ -60,7 +60,7 @@ def exact_quantile(df: DataFrame, groups, value_col: str, p: float, levels=LEVEL
                              F.lit(0).cast("bigint").alias("start"))
     steps = [(float(w), False) for w in levels] + ([] if integer else [(None, True)])
     prev_width = None
-    for width, exact in steps:
+    for i, (width, exact) in enumerate(steps):
         bucket = F.col("_v").cast("double") if exact else F.floor(F.col("_v") / F.lit(width)).cast("double")
         rows = v.withColumn("bucket", bucket)
         if prev_width is None:
@@ -80,7 +80,8 @@ def exact_quantile(df: DataFrame, groups, value_col: str, p: float, levels=LEVEL
                              (F.col("start") + F.col("_before")).alias("start"))
         # <= 2 rows per group, read twice by the next level: cut the lineage so the
         # levels do not re-derive each other
-        targets = cut_lineage(targets)
+        if i < len(steps) - 1:
+            targets = cut_lineage(targets)
         prev_width = width
     scale = F.lit(1.0) if not integer else F.lit(float(prev_width))
     val = F.col("parent") * scale
