@@ -24,11 +24,14 @@ MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def as_text(df: DataFrame, fmt: str = "yyyy-MM-dd HH:mm:ss", micros=()) -> DataFrame:
-    """Render every timestamp column as text (``micros`` columns keep microseconds)."""
+    """Render every timestamp column as text (``micros`` columns keep microseconds)
+    and every date column as ``yyyy-MM-dd``."""
     repl = {}
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             repl[f.name] = F.date_format(f.name, MICROS if f.name in micros else fmt)
+        elif isinstance(f.dataType, T.DateType):
+            repl[f.name] = F.date_format(f.name, "yyyy-MM-dd")
     return df.withColumns(repl) if repl else df
 
 
@@ -862,7 +865,7 @@ def enrich_city_poi(spark, sf):
 
 
 def us_holiday_dim(spark, sf):
-    return H.us_holiday_dim(_rides(spark, sf))
+    return as_text(H.us_holiday_dim(_rides(spark, sf)))
 
 
 def coverage_pct(spark, sf):

@@ -706,7 +706,7 @@ HP = """hp AS (SELECT city, hour(hour_ts) AS hour, count(*) AS rides FROM rides
 
 SQL["city_overview"] = q([RIDES], f"""
 SELECT city, rows, {r6('rows / sum(rows) OVER ()')} AS share, stations,
-       CAST(lo AS DATE) AS first_date, CAST(hi AS DATE) AS last_date,
+       strftime(CAST(lo AS DATE), '%Y-%m-%d') AS first_date, strftime(CAST(hi AS DATE), '%Y-%m-%d') AS last_date,
        CAST(floor(date_diff('second', lo, hi) / 86400) AS BIGINT) AS days
 FROM (SELECT city, count(*) AS rows, count(DISTINCT start_station_id) AS stations,
              min(started_at) AS lo, max(started_at) AS hi
@@ -1168,7 +1168,7 @@ LEFT JOIN poi p ON p.station_id = r.start_station_id
 CROSS JOIN cen c""")
 
 SQL["us_holiday_dim"] = q([RIDES], f"""
-SELECT day, {_hns('day')} AS holiday_name, CAST(({_hns('day')}) IS NOT NULL AS INTEGER) AS holiday
+SELECT strftime(day, '%Y-%m-%d') AS day, {_hns('day')} AS holiday_name, CAST(({_hns('day')}) IS NOT NULL AS INTEGER) AS holiday
 FROM (SELECT CAST(unnest(generate_series(min(started_at)::DATE, max(started_at)::DATE, INTERVAL 1 DAY)) AS DATE) AS day
       FROM rides)""")
 
