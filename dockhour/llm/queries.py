@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .mixing import mix
 from .naming import exact_groups
+from .rules import line_rules
 from .sharding import byte_shards
 
 
@@ -26,6 +27,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return line_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                   "n_repeat_words", "base_failed", "kept", "n_words_left")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -38,11 +45,45 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_line_rules": op2_line_rules,
     "op5_exact_dedup": op5_exact_dedup,
     "op9_source_mix": op9_source_mix,
 }
 
 SQL: dict[str, str] = {
+    "op2_line_rules": r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+           FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS p, w FROM d WHERE len(w) >= 3),
+r AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, w[p], w[p + 1], w[p + 2]) AS n FROM g),
+rep AS (SELECT doc_id, count(DISTINCT p + o) AS n_repeat_words
+        FROM r, (VALUES (0), (1), (2)) AS t(o) WHERE n >= 2 GROUP BY doc_id),
+l AS (SELECT doc_id, source, line,
+             trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm,
+             len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+      FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM d)
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM l GROUP BY doc_id),
+h AS (SELECT source, count(*) AS host_docs FROM d GROUP BY source),
+f AS (SELECT l.source, norm FROM l JOIN h ON l.source IS NOT DISTINCT FROM h.source
+      GROUP BY l.source, norm, host_docs
+      HAVING count(DISTINCT doc_id) >= 20 AND count(DISTINCT doc_id) >= host_docs * 0.02),
+rem AS (SELECT doc_id, sum(n) AS removed FROM l JOIN f
+        ON l.source IS NOT DISTINCT FROM f.source AND l.norm = f.norm GROUP BY doc_id),
+s AS (SELECT d.doc_id, len(w)::BIGINT AS n_words,
+             length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+             (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+             coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+             coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+             (len(w) - coalesce(removed, 0))::BIGINT AS n_words_left
+      FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN rem USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+       AND n_words_left >= 0.3 * n_words AS kept
+FROM s
+""",
     "op5_exact_dedup": r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
            FROM documents)
