@@ -1,7 +1,10 @@
 """Helpers the operators of this subpackage share: scratch tables, let-binding, word rules."""
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +18,26 @@ WS_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package's source to the Python workers, once for each application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    target = os.path.join(tempfile.mkdtemp(prefix="dockhour-src-"), "dockhour.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "dockhour")):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n),
+                            os.path.relpath(os.path.join(folder, n), root))
+    spark.sparkContext.addPyFile(target)
+    _shipped.add(app)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder below the shared checkpoint folder of the cluster."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"

@@ -12,14 +12,22 @@ from pyspark.sql import functions as F
 
 from .mixing import mix
 from .naming import exact_groups
+from .packing import pack
 from .rules import line_rules
 from .sharding import byte_shards
+from .tokenfile import token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public vocabulary file; another one can be passed to the operators."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return byte_shards(docs, 16).select(
@@ -38,16 +46,26 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), vocabulary(), end_id=1, capacity=4096)
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(_table(spark, sf_dir, "documents"), vocabulary(), end_id=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_line_rules": op2_line_rules,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_packing": op7_packing,
     "op9_source_mix": op9_source_mix,
+    "op10_token_files": op10_token_files,
 }
 
 SQL: dict[str, str] = {
