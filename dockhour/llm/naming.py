@@ -77,7 +77,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     a, b = listed.select(*KEY).alias("a"), alone.alias("b")
     open_keys = written(a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (
         F.col("a.variant") == F.col("b.variant")), "left_anti"), "exact-open")
-    o = open_keys.alias("o")
+    # A merge join at every size: the list of open documents grows with the input, so it is not
+    # broadcast where it happens to be small.
+    o = open_keys.hint("merge").alias("o")
     open_docs = base.alias("t").join(
         o, F.col("t.doc_id").eqNullSafe(F.col("o.doc_id")) & (
             F.col("t.variant") == F.col("o.variant")), "left_semi")
