@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .jaccard import jaccard_components
 from .mixing import mix
 from .naming import exact_groups
 from .packing import pack
@@ -41,6 +42,10 @@ def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    "n_repeat_words", "base_failed", "kept", "n_words_left")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -62,6 +67,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_line_rules": op2_line_rules,
+    "op3_jaccard_join": op3_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_packing": op7_packing,
     "op9_source_mix": op9_source_mix,
