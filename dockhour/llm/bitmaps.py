@@ -41,7 +41,7 @@ def members(values: DataFrame, log2_cells: int) -> np.ndarray:
             cells = np.unique(cells_of(b["value"].to_numpy(zero_copy_only=False)
                                        .astype(np.int64).view(np.uint64), log2_cells))
             part, at = np.unique(cells >> np.uint64(SLICE_BITS), return_index=True)
-            ends = np.append(at[1:], len(cells))
+            ends = np.append(at, len(cells))[1:]
             low = cells & np.uint64((1 << SLICE_BITS) - 1)
             yield pa.record_batch([pa.array(part.astype(np.int32)), pa.array(
                 [pack_cells(low[a:e]) for a, e in zip(at, ends, strict=True)], pa.binary())],

@@ -74,7 +74,7 @@ class _Packer:
         order = np.argsort(bucket, kind="stable")
         sig, node, bucket = sig[order], node[order], bucket[order]
         names, at = np.unique(bucket, return_index=True)
-        ends = np.append(at[1:], len(bucket))
+        ends = np.append(at, len(bucket))[1:]
         pick = [slice(a, e) for a, e in zip(at, ends, strict=True)]
         blobs = ([b"" for _ in pick] if extra is None
                  else [extra[order[s]].tobytes() for s in pick])

@@ -16,6 +16,7 @@ from .naming import exact_groups
 from .packing import pack
 from .rules import line_rules
 from .sharding import byte_shards
+from .substrings import remove_repeated_windows
 from .tokenfile import token_files
 
 
@@ -46,6 +47,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_windows(_table(spark, sf_dir, "documents"), k=35)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_line_rules": op2_line_rules,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_packing": op7_packing,
     "op9_source_mix": op9_source_mix,
