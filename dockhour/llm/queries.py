@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chain import document_labels, score_documents
 from .jaccard import jaccard_components
 from .mixing import mix
 from .naming import exact_groups
@@ -56,6 +57,14 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_documents(docs, document_labels(_table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.round("scores.low_quality", 6).alias("p_low_quality"),
+                         F.round("scores.toxic", 6).alias("p_toxic"),
+                         F.col("rejected").alias("toxic"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), vocabulary(), end_id=1, capacity=4096)
 
@@ -75,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_packing": op7_packing,
     "op9_source_mix": op9_source_mix,
     "op10_token_files": op10_token_files,
