@@ -18,6 +18,7 @@ from .packing import pack
 from .rules import line_rules
 from .sharding import byte_shards
 from .substrings import remove_repeated_windows
+from .template import extract_main_text
 from .tokenfile import token_files
 
 
@@ -69,6 +70,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), vocabulary(), end_id=1, capacity=4096)
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_packing": op7_packing,
+    "op8_main_text": op8_main_text,
     "op9_source_mix": op9_source_mix,
     "op10_token_files": op10_token_files,
 }
