@@ -57,8 +57,10 @@ def exponential_key(doc_id: Column, weight: Column) -> Column:
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most_epochs: int = 3,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        quality: Column | None = None) -> DataFrame:
-    """How many words the mix takes of each document.
+        quality: Column | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """How many words the mix takes of each document; ``copies`` says how often it is taken.
+
+    ``carry`` names further columns of ``docs`` to hand through.
 
     A source whose target is e whole epochs and a rest takes every document e times, then, in
     ascending order of exponential keys scaled by quality, documents until their sizes fill the
@@ -71,8 +73,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most_epochs: int
     """
     quality = letter_share(F.col(text_col)) if quality is None else quality
     sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                        word_count(F.col(text_col)).alias("size"), quality.alias("quality"))
-    keyed = sized.select("doc_id", "source", "size",
+                        word_count(F.col(text_col)).alias("size"), quality.alias("quality"), *carry)
+    keyed = sized.select("doc_id", "source", "size", *carry,
                          exponential_key(F.col("doc_id"), F.col("quality")).alias("draw"))
     drawn = running(keyed, ["source"], ["draw", "doc_id", "size"], ["size"], "mix-rows")
     drawn = written(drawn, "mix-drawn")
@@ -86,4 +88,4 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most_epochs: int
     extra = (F.col("size_before") + F.col("size") / 2 < rest).cast("long")
     return d.select("doc_id", "size", "source_size", "target",
                     ((F.col("epochs") + extra) * F.col("size")).alias("taken"), "source",
-                    (F.col("epochs") + extra).alias("copies"))
+                    (F.col("epochs") + extra).alias("copies"), *carry)

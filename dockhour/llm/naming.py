@@ -52,10 +52,17 @@ def _pair_up(level: DataFrame, depth: int) -> DataFrame:
         "name"), f"level{depth}")
 
 
+def text_variant(text: Column) -> Column:
+    """What tells the different texts of one id apart in ``exact_groups``."""
+    return F.xxhash64(_normal(text))
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  block_bytes: int = 4096) -> DataFrame:
     """One row per document with the id that stays, the group's size and the text's digest.
 
+    Besides the result: ``times`` (rows of the document) and ``variant`` (see ``text_variant``).
+
     Texts are compared after each white-space run became one space; null counts as empty, and all
     empty texts are equal.  A block whose fingerprint nobody shares differs from every other block,
     which settles its document; all others go through the naming.
@@ -122,4 +129,5 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keep = F.when(grouped, F.col("keep_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", keep.alias("keep_id"),
                       F.coalesce("group_size", "times").cast("long").alias("group_size"),
-                      F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256", "times")
+                      F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256", "times",
+                      "variant")

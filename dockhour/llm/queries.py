@@ -20,18 +20,13 @@ from .sharding import byte_shards
 from .substrings import remove_repeated_windows
 from .template import extract_main_text
 from .tokenfile import token_files
+from .tokens import vocabulary
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary(name: str = "word_bpe_49k.json") -> str:
-    """Place of a public vocabulary file; another one can be passed to the operators."""
-    import public_tokenizers
-    return str(public_tokenizers.path(name))
-
-
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return byte_shards(docs, 16).select(

@@ -82,6 +82,12 @@ class WordEncoder:
         return Encoded(out, offsets)
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public vocabulary file; another file's path can be passed to the operators."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder for a vocabulary file; its cache outlives the task."""
     if path not in _encoders:
