@@ -33,12 +33,12 @@ PACKED = "bucket int, signature binary, node binary, extra binary"
 
 def _sums(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
     """Two independent 64-bit fingerprints of each set."""
-    total = np.concatenate(([0], np.cumsum(mix(sets.shingles), dtype=np.uint64)))
-    other = np.concatenate(([0], np.cumsum(mix(sets.shingles * np.uint64(3) + np.uint64(99)),
-                                           dtype=np.uint64)))
-    f1, f2 = (mix(x.astype(np.uint64)[sets.offsets[1:]] - x.astype(np.uint64)[sets.offsets[:-1]])
-              for x in (total, other))
-    return f1.view(np.int64), f2.view(np.int64)
+    out = []
+    for values in (sets.shingles, sets.shingles * np.uint64(3) + np.uint64(99)):
+        total = np.zeros(len(values) + 1, dtype=np.uint64)
+        np.cumsum(mix(values), dtype=np.uint64, out=total[1:])
+        out.append(mix(total[sets.offsets[1:]] - total[sets.offsets[:-1]]).view(np.int64))
+    return out[0], out[1]
 
 
 def _profiles(sets: Sets) -> np.ndarray:
