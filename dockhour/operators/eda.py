@@ -158,30 +158,47 @@ def daily_summary(rides: DataFrame) -> DataFrame:
         F.avg("rides").alias("mean_daily"))
 
 
+def _per_column(rides: DataFrame, cols, **stats) -> DataFrame:
+    """Statistics of each column per city in one pass: one wide row per city, then long form."""
+    wide = _nn(rides, "city").groupBy("city").agg(*[
+        F.struct(*[f(F.col(c).cast("double")).alias(k) for k, f in stats.items()]).alias(c)
+        for c in cols])
+    return wide.unpivot(["city"], list(cols), "column", "_s").select(
+        "city", "column", *[F.col("_s")[k].alias(k) for k in stats])
+
+
 def weather_summary(rides: DataFrame, cols=WEATHER_COLS) -> DataFrame:
     """Min / max / mean of each weather column per city (long form)."""
     cols = [c for c in cols if c in rides.columns]
-    long = _nn(rides, "city").unpivot(["city"], cols, "column", "value")
-    return long.groupBy("city", "column").agg(F.min("value").alias("min"), F.max("value").alias("max"),
-                                              F.avg("value").alias("mean"))
+    return _per_column(rides, cols, min=F.min, max=F.max, mean=F.avg)
 
 
 def density_histogram(rides: DataFrame, cols=WEATHER_COLS, bins: int = 30) -> DataFrame:
     """``bins`` equal-width bins between the city's min and max (last bin closed),
-    with density = count / (n * width); a constant column uses [v - 0.5, v + 0.5]."""
+    with density = count / (n * width); a constant column uses [v - 0.5, v + 0.5].
+
+    The ranges are one wide row per city; a ride then carries its columns' bins to one partial
+    aggregate, and the few counted bins meet the ranges again."""
     cols = [c for c in cols if c in rides.columns]
-    long = (_nn(rides, "city").unpivot(["city"], cols, "column", "value")
-            .filter(F.col("value").isNotNull()))
-    rng = long.groupBy("city", "column").agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"),
-                                              F.count(F.lit(1)).alias("_n"))
+    rng = _per_column(rides, cols, _mn=F.min, _mx=F.max, _n=F.count)
     same = F.col("_mn") == F.col("_mx")
     rng = rng.select("city", "column", "_n",
                      F.when(same, F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
                      F.when(same, F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi"))
-    j = long.join(rng, ["city", "column"])
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    b = F.least(F.floor((F.col("value") - F.col("_lo")) / width), F.lit(bins - 1)).cast("int")
-    counts = j.groupBy("city", "column", b.alias("bin"), "_lo", "_hi", "_n").agg(F.count(F.lit(1)).alias("count"))
+    wide = rng.groupBy("city").agg(F.map_from_entries(F.collect_list(F.struct(
+        "column", F.struct("_lo", "_hi")))).alias("_range"))       # one entry per column
+
+    def bin_of(c):
+        r = F.col("_range")[c]
+        width = (r["_hi"] - r["_lo"]) / bins
+        b = F.least(F.floor((F.col(c).cast("double") - r["_lo"]) / width), F.lit(bins - 1))
+        return F.struct(F.lit(c).alias("column"),
+                        F.when(F.col(c).isNotNull(), b.cast("int")).alias("bin"))
+
+    hit = _nn(rides, "city").join(wide, "city").select(
+        "city", F.explode(F.array(*[bin_of(c) for c in cols])).alias("_b")).select("city", "_b.*")
+    counts = hit.filter(F.col("bin").isNotNull()).groupBy("city", "column", "bin").agg(
+        F.count(F.lit(1)).alias("count")).join(rng, ["city", "column"])
     w = (F.col("_hi") - F.col("_lo")) / bins
     return counts.select("city", "column", "bin", (F.col("_lo") + F.col("bin") * w).alias("bin_lo"),
                          (F.col("_lo") + (F.col("bin") + 1) * w).alias("bin_hi"), "count",
@@ -233,12 +250,10 @@ def correlation_matrix(rides: DataFrame) -> DataFrame:
 def metadata_summary(rides: DataFrame, cols=POI_COLS) -> DataFrame:
     """Constant flag, min, max, mean and missing percent per POI column per city."""
     cols = [c for c in cols if c in rides.columns]
-    long = _nn(rides, "city").unpivot(["city"], cols, "column", "value")
-    v = F.col("value")
-    return long.groupBy("city", "column").agg(
-        ((F.min(v) == F.max(v)) | (F.count(v) == 0)).alias("is_constant"),
-        F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"),
-        (F.avg(v.isNull().cast("double")) * 100).alias("missing_pct"))
+    return _per_column(
+        rides, cols, is_constant=lambda v: (F.min(v) == F.max(v)) | (F.count(v) == 0),
+        min=F.min, max=F.max, mean=F.avg,
+        missing_pct=lambda v: F.avg(v.isNull().cast("double")) * 100)
 
 
 def user_type_share(rides: DataFrame) -> DataFrame:

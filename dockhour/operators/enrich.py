@@ -176,12 +176,16 @@ def poi_sanity(own: DataFrame, source: DataFrame, cols=POI8_COLS, city_col: str
     return long(own, "own").unionByName(long(source, "source"))
 
 
+NO_STATION = "(no station)"
+
+
 def enrich_city(rides: DataFrame, weather: DataFrame | None = None, layers: PoiLayers | None = None,
                 centroid: tuple[float, float] | None = None, city: str = "city ?") -> DataFrame:
     """H3: a new city's start-side rides -> the full 34-column ride schema.
 
     Calendar always; weather joined on the hour text when given; POI computed once
-    per distinct station (median coordinates) when layers are given, else NULL."""
+    per distinct station (median coordinates) when layers are given, else NULL.  Rides
+    keep their own coordinates; rides without a station count as one station."""
     df = rides if "city" in rides.columns else rides.withColumn("city", F.lit(city))
     for c in ("start_lat", "start_lng"):
         if c in df.columns:
@@ -198,14 +202,15 @@ def enrich_city(rides: DataFrame, weather: DataFrame | None = None, layers: PoiL
             lat0, lng0 = F.lit(float(centroid[0])), F.lit(float(centroid[1]))
         from ..session import cut_lineage
         from .aggregates import station_median_coords
-        st = cut_lineage(station_median_coords(df).withColumnsRenamed({"start_lat": "lat", "start_lng": "lng"}))
-        st = st.withColumn("station_id", F.col("start_station_id"))
+        # Rides without a station share one: POI follow the station, coordinates stay the ride's.
+        df = df.withColumn("_station", F.coalesce(F.col("start_station_id").cast("string"),
+                                                  F.lit(NO_STATION)))
+        st = cut_lineage(station_median_coords(df, "_station").withColumnsRenamed(
+            {"_station": "station_id", "start_lat": "lat", "start_lng": "lng"}))
         poi = station_poi_features(st, layers)
         poi = poi.join(distance_to_center(st.select("station_id", "lat", "lng"), lat0, lng0), "station_id")
-        df = df.drop("start_lat", "start_lng").join(
-            poi.select(F.col("station_id").alias("start_station_id"), F.col("lat").alias("start_lat"),
-                       F.col("lng").alias("start_lng"), *POI8_COLS, "distance_to_city_center"),
-            "start_station_id", "left")
+        df = df.join(poi.select(F.col("station_id").alias("_station"), *POI8_COLS,
+                                "distance_to_city_center"), "_station", "left").drop("_station")
     return conform_schema(df, RIDE_COLS, {**_TYPES, "start_station_id": "string", "started_at": "timestamp_ntz"})
 
 

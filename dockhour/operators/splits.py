@@ -33,15 +33,23 @@ def from_micros(us) -> Column:
     return F.timestamp_add("MICROSECOND", us, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
+def _bucket(width: float, integer: bool) -> Column:
+    """Bucket number of ``_v``.  Buckets nest exactly: integers by whole division, doubles because
+    their widths are powers of two, so that dividing by one does not round."""
+    if integer:
+        w = F.lit(int(width)).cast("bigint")
+        return ((F.col("_v") - F.pmod(F.col("_v"), w)) / w).cast("double")
+    return F.floor(F.col("_v") / F.lit(width)).cast("double")
+
+
 def exact_quantile(df: DataFrame, groups, value_col: str, p: float, levels=LEVELS,
                    out: str = "q", integer: bool = True) -> DataFrame:
     """Linear-interpolation quantile per group, exact, with bounded per-task state.
 
     ``integer``: values are longs and the last level width must be 1 (result rounded
     to an integer).  Otherwise values are doubles, ``levels`` are bucket widths in
-    value units, and a final level groups the exact values inside the selected
-    finest bucket (a handful of distinct values).  An empty ``groups`` list means
-    one global group."""
+    value units, each a power of two, and a final level groups the exact values inside
+    the selected finest bucket.  An empty ``groups`` list means one global group."""
     groups = list(groups)
     src = df
     if not groups:
@@ -61,12 +69,12 @@ def exact_quantile(df: DataFrame, groups, value_col: str, p: float, levels=LEVEL
     steps = [(float(w), False) for w in levels] + ([] if integer else [(None, True)])
     prev_width = None
     for i, (width, exact) in enumerate(steps):
-        bucket = F.col("_v").cast("double") if exact else F.floor(F.col("_v") / F.lit(width)).cast("double")
+        bucket = F.col("_v").cast("double") if exact else _bucket(width, integer)
         rows = v.withColumn("bucket", bucket)
         if prev_width is None:
             pkeys = groups
         else:
-            rows = rows.withColumn("parent", F.floor(F.col("_v") / F.lit(prev_width)).cast("double"))
+            rows = rows.withColumn("parent", _bucket(prev_width, integer))
             sel = targets.select(*groups, "parent").distinct()      # <= 2 rows per group
             rows = rows.join(sel, groups + ["parent"], "left_semi")
             pkeys = groups + ["parent"]
@@ -95,12 +103,12 @@ def exact_quantile(df: DataFrame, groups, value_col: str, p: float, levels=LEVEL
     return vals.select(*keep, res.alias(out))
 
 
-COORD_LEVELS = (1.0, 1e-3, 1e-6)
+COORD_LEVELS = (1.0, 2.0 ** -10, 2.0 ** -20)
 
 
 def exact_median(df: DataFrame, groups, value_col: str, out: str | None = None) -> DataFrame:
     """Exact median of a double column per group (``groups`` may be empty) without a
-    per-group value map: degree -> 1e-3 -> 1e-6 buckets, then the exact values."""
+    per-group value map: buckets of 1, 2**-10 and 2**-20, then the exact values."""
     return exact_quantile(df, groups, value_col, 0.5, levels=COORD_LEVELS, out=out or value_col,
                           integer=False)
 

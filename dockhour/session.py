@@ -1,7 +1,6 @@
 """Session construction and the shared checkpoint folder."""
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,8 +41,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when nothing is configured (local
-    tests) do we create a scratch folder.
+    The cluster's setting always wins.  Without one, a local master gets a scratch
+    folder; on a cluster that folder would not be shared, so it is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="dockhour-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -61,9 +62,3 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
 
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -110,6 +110,15 @@ def start_side_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def start_side_scattered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start-side extract whose rides scatter around their station; some name no station."""
+    r = start_side_rides(spark, sf_dir)
+    step = (F.col("rental_id") % 7).cast("double") * _d(0.0001)
+    return r.withColumns({
+        "start_station_id": F.when(F.col("rental_id") % 53 != 0, F.col("start_station_id")),
+        "start_lat": F.col("start_lat") + step, "start_lng": F.col("start_lng") - step})
+
+
 def station_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station lookup keyed by numeric id: lat/lng + 8 POI + distance to centre."""
     n = (F.col("user_id") % N_STATIONS)

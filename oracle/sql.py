@@ -345,7 +345,8 @@ SQL["prediction_checks"] = q(TARGET_CTES + ["""preds AS (
   UNION ALL
   SELECT 'm2' AS model, id, CAST(id % 5 AS DOUBLE) * CAST(0.5 AS DOUBLE) AS prediction FROM labels)"""], """
 SELECT model, n_rows, n_missing, n_nan, n_infinite, n_negative, expected_rows,
-       (n_missing + n_nan + n_infinite = 0) AND n_rows = expected_rows AS ok
+       (n_missing + n_nan = 0) AND n_rows = expected_rows AS ok,
+       (n_missing + n_nan + n_infinite + n_negative = 0) AND n_rows = expected_rows AS ok_strict
 FROM (
   SELECT model, count(*) AS n_rows, count_if(prediction IS NULL) AS n_missing,
          count_if(isnan(prediction)) AS n_nan, count_if(isinf(prediction)) AS n_infinite,
@@ -1154,17 +1155,25 @@ SELECT {_city_cols({**_CITY_HAVE, 'start_lat': 'r.start_lat', 'start_lng': 'r.st
 FROM (SELECT *, CAST(started_at AS TIMESTAMP) AS t FROM start_side) r
 LEFT JOIN weather w ON w.hour_ts = strftime(date_trunc('hour', r.t), {SEC})""")
 
+SCATTERED = f"""start_side AS (
+  SELECT ride_id AS rental_id, strftime(started_at, {MIC}) AS started_at,
+         CASE WHEN ride_id % 53 <> 0 THEN start_station_id END AS start_station_id,
+         start_lat + CAST(ride_id % 7 AS DOUBLE) * CAST(0.0001 AS DOUBLE) AS start_lat,
+         start_lng - CAST(ride_id % 7 AS DOUBLE) * CAST(0.0001 AS DOUBLE) AS start_lng
+  FROM rides)"""
+# POI follow the station, where rides without one share one; coordinates are the ride's own.
 RAW_STATIONS = """raw_stations AS (
-  SELECT start_station_id AS station_id, median(start_lat) AS lat, median(start_lng) AS lng
-  FROM start_side GROUP BY start_station_id)"""
-SQL["enrich_city_poi"] = q([RIDES, START_SIDE, RAW_STATIONS] + poi_ctes("raw_stations") + POI_FEATS + [
+  SELECT coalesce(start_station_id, '(no station)') AS station_id, median(start_lat) AS lat,
+         median(start_lng) AS lng
+  FROM start_side GROUP BY 1)"""
+SQL["enrich_city_poi"] = q([RIDES, SCATTERED, RAW_STATIONS] + poi_ctes("raw_stations") + POI_FEATS + [
     "cen AS (SELECT median(start_lat) AS lat0, median(start_lng) AS lng0 FROM start_side)"], f"""
-SELECT {_city_cols({**_CITY_HAVE, 'start_lat': 's.lat', 'start_lng': 's.lng',
+SELECT {_city_cols({**_CITY_HAVE, 'start_lat': 'r.start_lat', 'start_lng': 'r.start_lng',
                    **{c: 'p.' + c for c in POI8_COLS},
                    'distance_to_city_center': f"round_even({haversine_sql('s.lat', 's.lng', 'c.lat0', 'c.lng0')}, 1)"})}
 FROM (SELECT *, CAST(started_at AS TIMESTAMP) AS t FROM start_side) r
-LEFT JOIN raw_stations s ON s.station_id = r.start_station_id
-LEFT JOIN poi p ON p.station_id = r.start_station_id
+LEFT JOIN raw_stations s ON s.station_id = coalesce(r.start_station_id, '(no station)')
+LEFT JOIN poi p ON p.station_id = coalesce(r.start_station_id, '(no station)')
 CROSS JOIN cen c""")
 
 SQL["us_holiday_dim"] = q([RIDES], f"""
