@@ -159,11 +159,12 @@ def split_table(pool: DataFrame, holdout_city: str = HOLDOUT_CITY,
     in_dist = pool.filter(F.col("city_key") != holdout_city)
     cuts = exact_quantile(in_dist, ["city_key"], "_us", 1.0 - val_fraction, levels=levels,
                           out="_cut")
-    tagged = (in_dist.join(cuts, "city_key", "inner")
-              .withColumn("split", F.when(F.col("_us") <= F.col("_cut"), F.lit("train"))
-                          .otherwise(F.lit("val"))).drop("_cut"))
-    test = pool.filter(F.col("city_key") == holdout_city).withColumn("split", F.lit("test_unseen"))
-    out = tagged.unionByName(test).drop("_us")
+    # One pass tags every row: cities without a cut (no rows with a time) fall in no part.
+    split = (F.when(F.col("city_key") == holdout_city, F.lit("test_unseen"))
+             .when(F.col("_us") <= F.col("_cut"), F.lit("train"))
+             .when(F.col("_us") > F.col("_cut"), F.lit("val")))
+    out = (pool.join(cuts, "city_key", "left").withColumn("split", split)
+           .filter(F.col("split").isNotNull()).drop("_us", "_cut"))
     cutoffs = cuts.select("city_key", from_micros("_cut").alias("cutoff"))
     return out, cutoffs
 

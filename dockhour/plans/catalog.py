@@ -112,6 +112,14 @@ def grid_active_window(spark, sf):
                                         keep_hours=range(6, 23)))
 
 
+def grid_padded_window(spark, sf):
+    """C2 where it matters: a station for each day it was active, buffers, padding and clipping."""
+    rollup, _ = _rollup(spark, sf)
+    day = F.concat_ws("-", "station_key", F.date_format(HOUR, "dd"))
+    windows = G.station_windows(rollup.withColumn("station_key", day), HOUR)
+    return as_text(G.grid_active_window(windows, HOUR, 5, 8, 72, keep_hours=range(6, 23)))
+
+
 def grid_observed(spark, sf):
     rollup, _ = _rollup(spark, sf)
     return as_text(G.grid_observed(rollup, HOUR))
@@ -177,6 +185,7 @@ QUERIES = {
     "grid_full": grid_full,
     "grid_active_window": grid_active_window,
     "grid_observed": grid_observed,
+    "grid_padded_window": grid_padded_window,
     "grid_train_window": grid_train_window,
     "filter_target_hours": filter_target_hours,
     "zero_fill_demand": zero_fill_demand,
@@ -261,8 +270,7 @@ def prediction_checks(spark, sf):
 
 def _pool(spark, sf):
     off, sup = _tables(spark, sf)
-    return U.pool_sources(off.select("city_key", "station_key", "ts", "demand"),
-                          [sup.select("city_key", "station_key", "ts", "demand")])
+    return U.pool_sources(off, [sup])
 
 
 def pool_sources(spark, sf):
@@ -434,7 +442,10 @@ def clip_non_negative(spark, sf):
 
 
 def season_filter(spark, sf, months=(6, 7, 8)):
+    """Rides dealt over the year (the events are all of one month) and cut to a season."""
     r = TD.start_side_rides(spark, sf)
+    later = F.to_timestamp("started_at") + F.make_dt_interval((F.col("rental_id") % 12 * 30).cast("int"))
+    r = r.withColumn("started_at", F.date_format(later, MICROS))
     m = F.month(F.to_timestamp("started_at"))
     return r.filter(m.isin(list(months)))
 
@@ -538,6 +549,16 @@ def fallback_median(spark, sf):
                      glob.alias("global_median"))
 
 
+def cold_start_predictions(spark, sf):
+    """M3 fallback on every pooled row: all three groups missing at even hours, none at odd ones."""
+    out, _ = _splits(spark, sf)
+    by, glob = FE.fallback_median(out.filter(F.col("split") == "train"))
+    cold = (F.hour("ts") % 2 == 0).cast("int")
+    rows = out.select(*TKEYS, "split", (F.col("demand").cast("double") - 0.5).alias("prediction"),
+                      *[cold.alias(m) for m in ("miss_weather", "miss_calendar", "miss_station")])
+    return as_text(FE.cold_start_fallback(rows, by, glob).select(*TKEYS, "split", "prediction"))
+
+
 def _labels(spark, sf):
     """Private labels as a written table: checkpointed once into the shared checkpoint folder,
     so the predictions and every check read it instead of re-running the builder."""
@@ -609,6 +630,7 @@ QUERIES.update({
     "features_with_te": features_with_te,
     "baseline_features": baseline_features,
     "fallback_median": fallback_median,
+    "cold_start_predictions": cold_start_predictions,
     "score_rows": score_rows,
     "score_summary": score_summary,
     "blended_mae": blended_mae,
@@ -1013,8 +1035,9 @@ def write_targets_labels(spark, sf):
 def write_split_files(spark, sf):
     out, _ = _splits(spark, sf)
     path = _scratch(spark, sf, "splits_csv")
-    SNK.write_split_files(as_text(out.drop("source_rank")), path)
-    schema = "city_key STRING, station_key STRING, ts STRING, demand BIGINT, is_supplementary BOOLEAN"
+    table = as_text(out.drop("source_rank"))
+    SNK.write_split_files(table, path)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema if f.name != "split")
     return SNK.read_split_files(spark, path, schema + ", split STRING")
 
 
@@ -1049,13 +1072,9 @@ from ..ml import models as ML                # noqa: E402
 from . import modeling as MOD                # noqa: E402
 
 def _model_data(spark, sf):
-    out, _ = _splits(spark, sf)
-    full = station_hour_table(_rides(spark, sf), ORDER)
-    feats = full.drop("demand", "city", "hour", "weekday", "is_weekend", "how")
-    rows = out.select("city_key", "station_key", "ts", "demand", "split").join(
-        feats, ["city_key", "station_key", "ts"], "left")
     from ..session import cut_lineage
-    rows = cut_lineage(rows)
+    out, _ = _splits(spark, sf)
+    rows = cut_lineage(out)
     return rows.filter(F.col("split") == "train"), rows.filter(F.col("split") != "train")
 
 

@@ -79,12 +79,21 @@ def scan_rides(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def scan_gzip_text(spark: SparkSession, pattern: str, partitions: int | None = None) -> DataFrame:
-    """A4: gzip CSV files, every column a string.  A gzip file is one split, so the
-    rows are redistributed (round robin) before any per-row work."""
+    """A4: gzip CSV files, every column a string.  A gzip file is one split, so the rows are
+    redistributed (round robin) before any per-row work, over as many partitions as the bytes need:
+    text is about GZIP_RATIO times its compressed size."""
     df = (spark.read.option("header", True).option("inferSchema", False)
           .option("nullValue", NO_NULL_TOKEN).csv(pattern))
-    n = partitions or spark.sparkContext.defaultParallelism
-    return df.repartition(n)
+    if not partitions:
+        size = (spark.read.format("binaryFile").load(pattern).agg(F.sum("length")).first()[0] or 0)
+        most = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(most.strip("bB")[-1].lower(), 1)
+        share = int("".join(c for c in most if c.isdigit())) * unit
+        partitions = max(1, -(-size * GZIP_RATIO // share))
+    return df.repartition(partitions)
+
+
+GZIP_RATIO = 5
 
 
 def scan_station_features(spark: SparkSession, path: str) -> DataFrame:
@@ -127,7 +136,7 @@ def ingest_alias_headers(spark: SparkSession, paths: list[str], aliases: dict[st
         for out, names in aliases.items():
             hit = [header.index(n) for n in names if n in header]
             if not hit:
-                raise ValueError(f"missing column {names} in header={list(header)}")
+                raise ValueError(f"none of {names} among the columns {list(header)}")
             idx[out] = hit[0]
         last = header[max(idx.values())]
         schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
@@ -213,11 +222,10 @@ def read_sources(spark: SparkSession, paths: list[str], schema: T.StructType | N
     if not paths:
         return spark.createDataFrame([], (schema or rides_csv_schema()).add("source", T.StringType()))
     df = spark.read.schema(schema or rides_csv_schema()).option("header", True).csv(paths)
-    fp = F.col("_metadata.file_path")
-    names = F.lit(None).cast("string")
-    for p in paths:                      # the matched source containing the file
-        base = p.rstrip("/")
-        names = F.when(fp.startswith(base + "/") | (fp == base), F.lit(base.split("/")[-1])).otherwise(names)
+    # A source is a file or a folder of files: the last part of the path that is a source's name.
+    bases = F.array(*[F.lit(b) for b in sorted({p.rstrip("/").split("/")[-1] for p in paths})])
+    steps = F.split(F.col("_metadata.file_path"), "/")
+    names = F.try_element_at(F.filter(steps, lambda x: F.array_contains(bases, x)), F.lit(-1))
     return df.withColumn("source", names)
 
 

@@ -165,6 +165,15 @@ SELECT city_key, station_key, strftime(h, {SEC}) AS target_hour_start FROM (
 SQL["grid_active_window"] = q(BASE + [WINDOWS, BOUNDS, active_grid()], f"""
 SELECT city_key, station_key, {t('target_hour_start')} FROM grid""")
 
+# One station for each day it was active: short windows, so that padding and clipping matter.
+_DAY_STATIONS = """keyed2 AS (SELECT city_key, station_key || '-' || strftime(target_hour_start, '%d') AS station_key,
+  target_hour_start FROM keyed)"""
+SQL["grid_padded_window"] = q(BASE + [_DAY_STATIONS, """windows AS (
+  SELECT city_key, station_key, min(target_hour_start) AS first_active_hour,
+         max(target_hour_start) AS last_active_hour FROM keyed2 GROUP BY city_key, station_key)""",
+    BOUNDS, active_grid(min_window=72, before=5, after=8)], f"""
+SELECT city_key, station_key, {t('target_hour_start')} FROM grid""")
+
 SQL["grid_observed"] = q(BASE + [DEMAND], f"""
 SELECT city_key, station_key, {t('target_hour_start')} FROM demand""")
 
@@ -230,6 +239,9 @@ FROM (
 
 # --- batch 2 ------------------------------------------------------------------------
 
+_TABLE_CH = WEATHER_COLS + ["weekend", "holiday", "working_day", "holiday_name"]
+
+
 def table_ctes(p: str, src: str) -> list[str]:
     """Keyed rides -> demand -> windows -> daytime grid -> zero-filled table for one source."""
     return [
@@ -247,17 +259,30 @@ def table_ctes(p: str, src: str) -> list[str]:
     FROM (SELECT city_key, station_key, min(target_hour_start) AS lo, max(target_hour_start) AS hi
           FROM {p}keyed GROUP BY city_key, station_key))
   WHERE hour(h) BETWEEN 6 AND 22)""",
+        f"""{p}chmeta AS (
+  SELECT city_key, target_hour_start, {firsts(_TABLE_CH)}
+  FROM {p}keyed GROUP BY city_key, target_hour_start)""",
+        f"""{p}smeta AS (
+  SELECT city_key, station_key, {firsts(STATION_META_COLS)}
+  FROM {p}keyed GROUP BY city_key, station_key)""",
         f"""{p}table AS (
-  SELECT g.city_key, g.station_key, g.target_hour_start AS ts, coalesce(d.demand, 0) AS demand
-  FROM {p}tgrid g LEFT JOIN {p}demand d USING (city_key, station_key, target_hour_start))""",
+  SELECT g.city_key, g.station_key, g.target_hour_start AS ts, coalesce(d.demand, 0) AS demand,
+         {', '.join('ch.' + x for x in _TABLE_CH)}, {', '.join('sm.' + x for x in STATION_META_COLS)},
+         g.city_key AS city, hour(g.target_hour_start) AS hour,
+         isodow(g.target_hour_start) - 1 AS weekday,
+         CASE WHEN isodow(g.target_hour_start) - 1 >= 5 THEN 1 ELSE 0 END AS is_weekend,
+         (isodow(g.target_hour_start) - 1) * 24 + hour(g.target_hour_start) AS how
+  FROM {p}tgrid g LEFT JOIN {p}demand d USING (city_key, station_key, target_hour_start)
+  LEFT JOIN {p}chmeta ch USING (city_key, target_hour_start)
+  LEFT JOIN {p}smeta sm USING (city_key, station_key))""",
     ]
 
 
 POOL_CTES = [RIDES, SUPPLEMENTAL] + table_ctes("o_", "rides") + table_ctes("s_", "supp_rides") + [
     """pool AS (
-  SELECT city_key, station_key, ts, demand, false AS is_supplementary, 0 AS source_rank FROM o_table
-  UNION ALL
-  SELECT city_key, station_key, ts, demand, true AS is_supplementary, 1 AS source_rank FROM s_table)""",
+  SELECT *, false AS is_supplementary, 0 AS source_rank FROM o_table
+  UNION ALL BY NAME
+  SELECT *, true AS is_supplementary, 1 AS source_rank FROM s_table)""",
     """dedup AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY city_key, station_key, ts ORDER BY source_rank) AS rn
@@ -266,12 +291,10 @@ POOL_CTES = [RIDES, SUPPLEMENTAL] + table_ctes("o_", "rides") + table_ctes("s_",
   SELECT city_key, quantile_cont(ts, 0.8) AS cutoff FROM dedup WHERE city_key <> 'error'
   GROUP BY city_key)""",
     """splits AS (
-  SELECT d.city_key, d.station_key, d.ts, d.demand, d.is_supplementary,
-         CASE WHEN d.ts <= c.cutoff THEN 'train' ELSE 'val' END AS split
-  FROM dedup d JOIN cuts c USING (city_key)
-  UNION ALL
-  SELECT city_key, station_key, ts, demand, is_supplementary, 'test_unseen' AS split
-  FROM dedup WHERE city_key = 'error')""",
+  SELECT d.* EXCLUDE (source_rank), CASE WHEN d.ts <= c.cutoff THEN 'train' ELSE 'val' END AS split
+  FROM dedup d JOIN cuts c ON d.city_key = c.city_key
+  UNION ALL BY NAME
+  SELECT * EXCLUDE (source_rank), 'test_unseen' AS split FROM dedup WHERE city_key = 'error')""",
 ]
 
 GRID_CTES = BASE + [DEMAND, WINDOWS, BOUNDS, active_grid()]
@@ -497,8 +520,10 @@ PREDS3 = """preds AS (
 SQL["clip_non_negative"] = q(TARGET_CTES + [PREDS], """
 SELECT model, id, prediction, greatest(CAST(0.0 AS DOUBLE), prediction) AS prediction_clipped FROM preds""")
 
-SQL["season_filter"] = q([RIDES, START_SIDE], """
-SELECT * FROM start_side WHERE month(CAST(started_at AS TIMESTAMP)) IN (6, 7, 8)""")
+SQL["season_filter"] = q([RIDES, START_SIDE], f"""
+SELECT * FROM (SELECT * REPLACE (strftime(CAST(started_at AS TIMESTAMP) + to_days(CAST(30 * (rental_id % 12) AS INTEGER)), {MIC})
+                                 AS started_at) FROM start_side)
+WHERE month(CAST(started_at AS TIMESTAMP)) IN (6, 7, 8)""")
 
 SQL["head_sample"] = q([RIDES], f"""
 SELECT * REPLACE ({t('started_at', MIC)}, {t('hour_ts')}) FROM rides ORDER BY ride_id LIMIT 1000""")
@@ -547,8 +572,8 @@ SQL["build_feature_groups"] = q(FT_CTES + [miss_sql()], f"SELECT {TKEYS}, {_NOID
 
 # --- target encodings over the pooled splits ---
 _HOW = "(isodow(ts) - 1) * 24 + hour(ts)"
-TRAIN = f"tr AS (SELECT *, {_HOW} AS how FROM splits WHERE split = 'train')"
-EVAL = f"ev AS (SELECT *, {_HOW} AS how FROM splits WHERE split <> 'train')"
+TRAIN = "tr AS (SELECT * FROM splits WHERE split = 'train')"
+EVAL = "ev AS (SELECT * FROM splits WHERE split <> 'train')"
 LEVEL_KEYS = {"station_how": ["station_key", "how"], "station": ["station_key"],
               "city_how": ["city_key", "how"], "city": ["city_key"]}
 
@@ -630,6 +655,15 @@ SELECT isodow(ts) - 1 AS weekday, hour(ts) AS hour, median(demand) AS fallback_m
        (SELECT median(demand) FROM tr) AS global_median
 FROM tr GROUP BY isodow(ts) - 1, hour(ts)""")
 
+# Every row as if all three groups were missing: the fallback's median, clipped at 0.
+SQL["cold_start_predictions"] = q(POOL_CTES + [TRAIN, """fb AS (
+  SELECT isodow(ts) - 1 AS w, hour(ts) AS h, median(demand) AS m FROM tr GROUP BY ALL)"""], f"""
+SELECT p.city_key, p.station_key, strftime(p.ts, {SEC}) AS ts, p.split,
+       greatest(CAST(0.0 AS DOUBLE), CASE WHEN hour(p.ts) % 2 = 0
+         THEN CAST(coalesce(fb.m, (SELECT median(demand) FROM tr)) AS DOUBLE)
+         ELSE CAST(p.demand AS DOUBLE) - CAST(0.5 AS DOUBLE) END) AS prediction
+FROM splits p LEFT JOIN fb ON fb.w = isodow(p.ts) - 1 AND fb.h = hour(p.ts)""")
+
 SCORED = """scored AS (
   SELECT l.id, l.city, l.start_station_id, strftime(l.target_hour_start, '%Y-%m-%d %H:%M:%S') AS target_hour_start,
          l.demand, p.model, p.prediction,
