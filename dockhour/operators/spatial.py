@@ -173,12 +173,32 @@ def nearest_distance(stations_xy: DataFrame, points_xy: DataFrame, out: str = "d
 
 # --- G1 / G2 ------------------------------------------------------------------------
 
+MAX_LEVEL = 16     # 2**16 times the smallest cell is wider than the Earth for discs of 300 m
+
 def edges_xy(edges: DataFrame, lat0: Column, lng0: Column) -> DataFrame:
     x0, y0 = aeqd_xy("lat0", "lon0", lat0, lng0)
     x1, y1 = aeqd_xy("lat1", "lon1", lat0, lng0)
     return edges.withColumns({"x0": x0, "y0": y0, "x1": x1, "y1": y1})
 
 
+def _pieces(edges: DataFrame, size: float) -> DataFrame:
+    """Edges cut into pieces no longer than ``size``: sums over pieces equal those over edges.
+
+    A long edge then lists the cells along it, not those of its bounding box."""
+    dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
+    n = F.greatest(F.lit(1), F.ceil(F.sqrt(dx * dx + dy * dy) / size).cast("int"))
+    e = edges.withColumn("_n", n).withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+
+    def at(a, b, k):
+        return (F.when(k == 0, F.col(a)).when(k == F.col("_n"), F.col(b))
+                .otherwise(F.col(a) + (F.col(b) - F.col(a)) * k / F.col("_n")))
+
+    return e.withColumns({"_x0": at("x0", "x1", F.col("_i") - 1), "_y0": at("y0", "y1", F.col("_i") - 1),
+                          "x1": at("x0", "x1", F.col("_i")), "y1": at("y0", "y1", F.col("_i"))}
+                         ).withColumns({"x0": F.col("_x0"), "y0": F.col("_y0")}).drop(
+        "_x0", "_y0", "_n", "_i")
+
+
 def _edge_cells(edges: DataFrame, size: float, grow: float) -> DataFrame:
     lo_x = _cell(F.least("x0", "x1") - grow, size)
     hi_x = _cell(F.greatest("x0", "x1") + grow, size)
@@ -190,7 +210,7 @@ def _edge_cells(edges: DataFrame, size: float, grow: float) -> DataFrame:
 
 def _candidates(stations_xy: DataFrame, edges: DataFrame, radius: float) -> DataFrame:
     size = 2.0 * radius
-    e = _edge_cells(edges, size, radius)
+    e = _edge_cells(_pieces(edges, size), size, radius)
     st = stations_xy.filter(F.col("x").isNotNull()).select(
         "station_id", F.col("x").alias("sx"), F.col("y").alias("sy"),
         _cell(F.col("x"), size).alias("cx"), _cell(F.col("y"), size).alias("cy"))
@@ -210,11 +230,27 @@ def _polygon_candidates(stations_xy: DataFrame, edges: DataFrame, radius: float,
     box = edges.groupBy(polygon_col).agg(
         F.least(F.min("x0"), F.min("x1")).alias("x0"), F.greatest(F.max("x0"), F.max("x1")).alias("x1"),
         F.least(F.min("y0"), F.min("y1")).alias("y0"), F.greatest(F.max("y0"), F.max("y1")).alias("y1"))
-    cells = _edge_cells(box, size, radius).select(polygon_col, "cx", "cy")
+    # A box uses cells of its own order of size, so it lists at most nine of them however large it
+    # is; a station has one cell on each level.
+    widest = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) + 2 * radius
+    level = F.least(F.lit(MAX_LEVEL), F.greatest(F.lit(0), F.ceil(F.log2(widest / size)).cast("int")))
+    side = F.lit(size) * F.pow(F.lit(2.0), F.col("level"))
+
+    def cell(v):
+        return F.floor(v / side).cast("int")
+
+    cells = (box.withColumn("level", level)
+             .withColumn("cx", F.explode(F.sequence(cell(F.col("x0") - radius), cell(F.col("x1") + radius))))
+             .withColumn("cy", F.explode(F.sequence(cell(F.col("y0") - radius), cell(F.col("y1") + radius))))
+             .withColumnsRenamed({"x0": "bx0", "x1": "bx1", "y0": "by0", "y1": "by1"}))
     st = stations_xy.filter(F.col("x").isNotNull()).select(
         "station_id", F.col("x").alias("sx"), F.col("y").alias("sy"),
-        _cell(F.col("x"), size).alias("cx"), _cell(F.col("y"), size).alias("cy"))
-    pairs = st.join(cells, ["cx", "cy"]).select("station_id", "sx", "sy", polygon_col)
+        F.explode(F.sequence(F.lit(0), F.lit(MAX_LEVEL))).alias("level"))
+    st = st.withColumns({"cx": cell(F.col("sx")), "cy": cell(F.col("sy"))})
+    near = (F.col("sx").between(F.col("bx0") - radius, F.col("bx1") + radius)
+            & F.col("sy").between(F.col("by0") - radius, F.col("by1") + radius))
+    pairs = st.join(cells, ["level", "cx", "cy"]).filter(near).select(
+        "station_id", "sx", "sy", polygon_col)
     c = pairs.join(edges, polygon_col)
     return c.withColumns({"ax": F.col("x0") - F.col("sx"), "ay": F.col("y0") - F.col("sy"),
                           "bx": F.col("x1") - F.col("sx"), "by": F.col("y1") - F.col("sy")})

@@ -90,3 +90,21 @@ def test_cluster_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError, match="checkpoint"):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_one_very_long_edge_and_one_very_large_polygon(spark):
+    from dockhour.operators import spatial as S
+    st = spark.range(10_000).selectExpr("concat('s', id) AS station_id", "(id % 100) * 300.0 AS x",
+                                        "floor(id / 100) * 300.0 AS y")
+    edge = spark.createDataFrame([(1, -500_000.0, 150.0, 500_000.0, 150.0)],
+                                 "element_id long, x0 double, y0 double, x1 double, y1 double")
+    got = S.line_length_in_radius(st, edge, 500.0, "m").groupBy("m").count().orderBy("m").collect()
+    # chords of the line at 150, 150, 450 and 450 m from the rows of stations next to it
+    want = {0.0: 9700, round(2 * (500 ** 2 - 450 ** 2) ** 0.5, 1): 100,
+            round(2 * (500 ** 2 - 150 ** 2) ** 0.5, 1): 200}
+    assert {r.m: r["count"] for r in got} == want
+    c = [(-1e6, -1e6), (1e6, -1e6), (1e6, 1e6), (-1e6, 1e6)]
+    ring = [(1, *a, *b) for a, b in zip(c, c[1:] + c[:1], strict=True)]
+    poly = spark.createDataFrame(ring, edge.schema)
+    areas = S.polygon_area_in_radius(st, poly, 500.0, "a").select("a").distinct().collect()
+    assert [r.a for r in areas] == [round(np.pi * 500 ** 2, 1)]
