@@ -124,6 +124,43 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
        AND n_words_left >= 0.3 * n_words AS kept
 FROM s
+""",
+    "op3_jaccard_join": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS q, unnest(w) AS word, len(w) AS n FROM d),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(l, ' ')) AS s FROM (
+        SELECT doc_id, q, n, list(word) OVER (PARTITION BY doc_id ORDER BY q
+               ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS l FROM x)
+      WHERE len(l) = 4 OR (n < 4 AND q = 1)),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+      FROM s AS a JOIN s AS b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN c AS ca ON ca.doc_id = a JOIN c AS cb ON cb.doc_id = b
+      WHERE 100 * shared >= 85 * (ca.n + cb.n - shared)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS seen FROM documents
+      UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.seen = e.a)
+SELECT d.doc_id, coalesce(any_value(c.n), 0)::BIGINT AS n_shingles, min(r.seen) AS component_id
+FROM d LEFT JOIN c USING (doc_id) JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id
+""",
+    "op4_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+           FROM documents),
+x AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS q, unnest(w) AS word FROM d),
+h AS (SELECT doc_id, q, md5(array_to_string(list(word) OVER r, ' ')) AS k, count(*) OVER r AS n
+      FROM x WINDOW r AS (PARTITION BY doc_id ORDER BY q ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+s AS (SELECT doc_id, q FROM (SELECT doc_id, q, count(*) OVER (PARTITION BY k) AS times
+                             FROM h WHERE n = 35) WHERE times > 1),
+c AS (SELECT x.doc_id, x.q, x.word, max(s.q) OVER (PARTITION BY x.doc_id ORDER BY x.q
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last
+      FROM x LEFT JOIN s ON x.doc_id = s.doc_id AND x.q = s.q),
+k AS (SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY q) AS kept
+      FROM c WHERE last IS NULL OR last + 34 < q GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
 """,
     "op5_exact_dedup": r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
