@@ -56,7 +56,6 @@ ENRICHED_OUT_COLS = (
      "start_lat", "start_lng"] + WEATHER_COLS + POI_COLS
     + ["date", "weekday", "weekend", "holiday", "holiday_name", "working_day"]
 )
-STUB_LEAKAGE_COLS = ["ended_at", "end_station_id", "usage_time_minutes", "distance_meters", "user_type"]
 MISSING_STATION = "__missing_station__"
 MISSING_CITY = "__missing_city__"
 ALL_CITIES_BUILDER = "__all_cities__"

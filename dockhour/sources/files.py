@@ -15,8 +15,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.keys import floor_hour, nan_to_null
-from ..schemas import WEATHER_COLS, rides_csv_schema
+from ..schemas import POI8_COLS, WEATHER_COLS, rides_csv_schema
 
+GZIP_RATIO = 5
 NO_NULL_TOKEN = "\u0001"     # CSV: keep empty fields as "" so missing trailing fields stay NULL
 
 
@@ -93,16 +94,11 @@ def scan_gzip_text(spark: SparkSession, pattern: str, partitions: int | None = N
     return df.repartition(partitions)
 
 
-GZIP_RATIO = 5
-
-
 def scan_station_features(spark: SparkSession, path: str) -> DataFrame:
     """A5: station lookup CSV; ``lat``/``lng`` renamed to ``start_lat``/``start_lng``."""
     schema = T.StructType([T.StructField("start_station_id", T.StringType())] + [
         T.StructField(c, T.DoubleType()) for c in
-        ["lat", "lng", "bike_lane_length_500m", "park_area_500m", "university_count_1000m",
-         "office_poi_count_1000m", "retail_poi_count_1000m", "restaurant_cafe_count_500m",
-         "transit_stop_count_500m", "distance_to_nearest_rail_station", "distance_to_city_center"]])
+        ["lat", "lng", *POI8_COLS, "distance_to_city_center"]])
     df = spark.read.schema(schema).option("header", True).csv(path)
     return df.withColumnsRenamed({"lat": "start_lat", "lng": "start_lng"})
 
