@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import ship, written
 from .prefix import running
-from .tokens import encoder, slices
+from .tokens import TOKEN_SLICE_BYTES, encoder, slices
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -126,7 +126,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: in
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TOKEN_SLICE_BYTES):
                 ids, offsets = enc.encode(part["text"], end_id)
                 n = np.diff(offsets)
                 pieces = -(-n // capacity)

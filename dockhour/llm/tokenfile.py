@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import scratch_path, ship, written
-from .tokens import encoder, slices
+from .tokens import TOKEN_SLICE_BYTES, encoder, slices
 
 # Fixed values of the public seekable format.
 SKIPPABLE_DIRECTORY = 0x184D2A50
@@ -182,7 +182,8 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
                     part_name = f"{base}/.part-{now:06d}-{uuid.uuid4().hex}"
                     sink = fs.open_output_stream(part_name)
                     writer = TokenFileWriter(sink)
-                for part in slices(batch.slice(int(at[0]), len(at)), "text"):
+                for part in slices(batch.slice(int(at[0]), len(at)), "text",
+                                   TOKEN_SLICE_BYTES):
                     ids, offsets = enc.encode(part["text"], end_id)
                     writer.add(part["doc_id"].fill_null(0).to_numpy(zero_copy_only=False),
                                part["doc_id"].is_null().to_numpy(zero_copy_only=False),

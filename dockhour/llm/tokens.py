@@ -2,7 +2,8 @@
 
 The public word tokenizer drops white space and never joins characters across it, so a text's ids
 are those of its words one after the other.  A word that is letters with symbols behind them splits
-there too.  Distinct words of a batch are encoded once and spread over the batch with numpy.
+there too.  Distinct words of a batch are encoded once, many to a call, and spread over the batch
+with numpy.
 """
 from __future__ import annotations
 
@@ -18,6 +19,8 @@ import pyarrow.compute as pc
 TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 CACHE_ENTRIES = 1_200_000
 SLICE_BYTES = 4 << 20
+TOKEN_SLICE_BYTES = 8 << 20
+CHUNK = 1000
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -37,11 +40,27 @@ class WordEncoder:
     def _learn(self, pieces: list[str]) -> None:
         if len(self.pieces) + len(pieces) > CACHE_ENTRIES:
             self.pieces = {"": b""}
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        for p, e in zip(pieces, found, strict=True):
+        alone = [p for p in pieces if not p.isalpha()]
+        letters = [p for p in pieces if p.isalpha()]
+        chunks = [letters[a:a + CHUNK] for a in range(0, len(letters), CHUNK)]
+        found = self.tokenizer.encode_batch([" ".join(c) for c in chunks],
+                                            add_special_tokens=False)
+        for chunk, e in zip(chunks, found, strict=True):
+            word = np.array(e.word_ids, dtype=np.int64)
+            ends = [*((np.flatnonzero(np.diff(word)) + 1) * 4).tolist(), 4 * len(word)]
+            if len(ends) != len(chunk):  # some letters fall apart when they are lowered
+                alone += chunk
+                continue
+            raw, at = np.array(e.ids, dtype="<u4").tobytes(), 0
+            for p, end in zip(chunk, ends, strict=True):
+                self.pieces[p] = raw[at:end]
+                at = end
+        for p, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False),
+                        strict=True):
             self.pieces[p] = np.array(e.ids, dtype="<u4").tobytes()
 
     def words(self, found: list[str]) -> list[bytes]:
+        """Ids of words, each as bytes of little-endian unsigned 32-bit numbers."""
         split = []
         for w in found:
             core = w.rstrip(TAIL)
