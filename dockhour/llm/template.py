@@ -6,7 +6,7 @@ valid when it has several tokens on most of the host's pages and each of its ele
 an element of a valid class.  Valid classes, nested by their paths, are the host's template: its
 own texts go, and what is left are slots.  Slots are told apart by the template elements around
 them: those of navigation, notices, adverts and the like are not main text, and where a page has an
-article (or main) element only its slots are.
+article (or main) element, or one named as content, only its slots are.
 """
 from __future__ import annotations
 
@@ -40,8 +40,13 @@ SIDE_WORDS = frozenset(
     "navigation breadcrumb breadcrumbs sidebar side aside footer foot header masthead topbar "
     "comment comments reply replies respond disqus share sharing social related recommended "
     "newsletter subscribe subscription signup login search widget pagination pager toolbar "
-    "contentinfo complementary".split())
+    "disclaimer privacy legal copyright contentinfo complementary".split())
+# Inside an article these name parts of the article.
+ARTICLE_WORDS = frozenset("header masthead topbar".split())
 MAIN = frozenset(("article", "main"))
+# Classes and ids of the main part where a page has no article or main element.
+CONTENT_WORDS = frozenset("content article post entry story main articlebody maincontent".split())
+HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure "
                      "footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table "
                      "ul".split())
@@ -55,17 +60,20 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
 class Block(NamedTuple):
-    """Text of a block: where it stands, and whether that is in the article or beside it."""
+    """Text of a block and where it stands.
+
+    ``main`` is 2 inside an article or main element, 1 inside an element with such a class or id,
+    else 0; ``beside`` tells what is not main text."""
     path: str
     text: str
-    in_main: bool
+    main: int
     beside: bool
 
 
 class Element(NamedTuple):
     name: str
     path: str
-    in_main: bool
+    main: int
     beside: bool
 
 
@@ -76,7 +84,7 @@ class Page(NamedTuple):
 
 def parse(source: str) -> Page:
     """Blocks of text in order, and the path and parent's path of each element."""
-    root = Element("", "", False, False)
+    root = Element("", "", 0, False)
     stack, blocks, paths, piece = [root], [], [], []
     at = 0
 
@@ -84,7 +92,7 @@ def parse(source: str) -> Page:
         text = " ".join(html.unescape("".join(piece)).split())
         if text:
             block = next(e for e in reversed(stack) if e.name not in INLINE)
-            blocks.append(Block(block.path, text, stack[-1].in_main, stack[-1].beside))
+            blocks.append(Block(block.path, text, stack[-1].main, stack[-1].beside))
         piece.clear()
 
     def close_to(depth: int):
@@ -128,11 +136,13 @@ def parse(source: str) -> Page:
                     break
             end_block()
         up = stack[-1]
-        beside = (up.beside or name in SIDE_ELEMENTS or bool(words & SIDE_WORDS)
-                  or name == "header" and not up.in_main)
+        side = SIDE_WORDS - ARTICLE_WORDS if up.main else SIDE_WORDS
+        beside = (up.beside or name in SIDE_ELEMENTS or bool(words & side)
+                  or name == "header" and not up.main or bool(HIDDEN.search(m[3])))
         if beside and not up.beside:
             end_block()
-        own = Element(name, f"{up.path}/{label}", up.in_main or name in MAIN and not beside, beside)
+        main = 2 if name in MAIN else int(name not in INLINE and bool(words & CONTENT_WORDS))
+        own = Element(name, f"{up.path}/{label}", up.main if beside else max(up.main, main), beside)
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
             at = end.end() if end else len(source)
@@ -152,9 +162,9 @@ def _hash(*parts: str) -> int:
 
 def main_text(page: Page, fixed: frozenset[int]) -> str:
     """The page's slots that are main text, joined by one space."""
-    inside = any(b.in_main and not b.beside for b in page.blocks)
-    return " ".join(b.text for b in page.blocks if not b.beside and (
-        b.in_main if inside else _hash(b.path, b.text) not in fixed))
+    best = max((b.main for b in page.blocks if not b.beside), default=0)
+    return " ".join(b.text for b in page.blocks if not b.beside and b.main == best and (
+        best or _hash(b.path, b.text) not in fixed))
 
 
 def _host(url: Column) -> Column:
@@ -173,7 +183,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = parse(source or "")
             seen = Counter((_hash(p), _hash(up)) for p, up in page.paths)
             seen.update((_hash(b.path, b.text), _hash(b.path)) for b in page.blocks
-                        if not b.beside and not b.in_main)
+                        if not b.beside and not b.main)
             seen[(0, 0)] = 1  # the page itself
             for (token, parent), n in seen.items():
                 v = xxhash.xxh3_64_intdigest(key.to_bytes(8, "little", signed=True), seed=n)

@@ -322,6 +322,12 @@ def test_main_text(spark):
     for i in range(6, 10):
         rows.append((i, f"http://plain.example:80/{i}", plain.format(i=i), 1))
         want[i] = f"Only {i} tail {i}"
+    named = ("<body><div id='page'><div class='site-header'>Top</div><div id='content'><div class="
+             "'post-header'><h2>Head {i}</h2></div><p>Body {i}</p><p hidden>no</p><p style='display: "
+             "none'>no</p><div class='social-share'>Share</div></div><div>Other {i}</div></div></body>")
+    for i in range(20, 23):
+        rows.append((i, f"http://named.example/{i}", named.format(i=i), 1))
+        want[i] = f"Head {i} Body {i}"
     rows += [(10, None, "<p>Lone &#233; text", 1), (11, "bad url", None, 1), (12, "u", "", 1),
              (13, "http://one.example/", "no markup at all", 1),
              (14, "http://cut.example/", "<article><p>Cut <b>off &am", 1),
