@@ -7,6 +7,22 @@ from pyspark.sql import functions as F
 from .common import written
 
 
+def shared_labels(edges: DataFrame, rounds: int = 2) -> DataFrame:
+    """Edges (a, b) to rows (node, root) after a fixed number of steps of taking the least label.
+
+    Nodes with the same ``root`` are connected; connected nodes need not have the same root.  Where
+    components only serve to skip work, this is what it takes and costs a join for each round.
+    """
+    both = written(edges.select("a", "b").unionByName(
+        edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "both-ways")
+    label = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("root"))
+    for _ in range(rounds - 1):
+        near = both.join(label.withColumnRenamed("node", "b"), "b")
+        label = near.groupBy(F.col("a").alias("node")).agg(
+            F.least(F.min("root"), F.col("a")).alias("root"))
+    return written(label, "labels")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Edges (a, b) of longs to rows (node, root): each node's smallest reachable node.
 

@@ -5,8 +5,11 @@
 2. A signature's holders are paired: all pairs in small groups, a star around one holder in large
    ones.  Pairs that a lower bound on their difference rules out are dropped, the rest is compared
    set by set.
-3. Where a large group still lies in several components, holders in different components are
-   compared too, again with the lower bound first.  Inside a component no pair is needed.
+3. Large groups with the same star centre are taken together.  Where their holders do not all carry
+   one label of a connected part yet, holders with different labels are compared too, again with
+   the lower bound first: in blocks, and each pair only under the smallest centre that both have.
+
+Only documents of pairs that pass the lower bound have their sets written and shuffled.
 """
 from __future__ import annotations
 
@@ -19,16 +22,17 @@ from pyspark.sql import functions as F
 
 from .bitmaps import cells_of, members, test
 from .common import ship, written
-from .components import components
+from .components import components, shared_labels
 from .partenum import Bands, signatures
 from .shingles import Sets, mix, shingle_sets, word_prints
 from .tokens import slices
 
-ALL_PAIRS_UP_TO = 8
-PROFILE_CELLS = 64
+ALL_PAIRS_UP_TO = 4
+BLOCK = 256
+LEAST_CELLS, PER_CELL = 256, 2
 FLUSH = 1_500_000
-FOUND = "kind int, a long, b long, doc_id long, n long, f1 long, f2 long"
-PACKED = "bucket int, signature binary, node binary, extra binary"
+FOUND = "kind int, a long, b long, doc_id long, n long, f1 long, f2 long, profile binary"
+PACKED = "bucket int, signature binary, node binary, rows binary"
 
 
 def _sums(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
@@ -41,13 +45,42 @@ def _sums(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _profiles(sets: Sets) -> np.ndarray:
-    """Element counts by hash cell, at most 255: their distance bounds that of the sets below."""
-    n = len(sets.offsets) - 1
-    owner = np.repeat(np.arange(n), np.diff(sets.offsets))
-    cell = (mix(sets.shingles ^ np.uint64(0x77)) >> np.uint64(58)).astype(np.int64)
-    counts = np.bincount(owner * PROFILE_CELLS + cell, minlength=n * PROFILE_CELLS)
-    return np.minimum(counts, 255).astype(np.uint8).reshape(n, PROFILE_CELLS)
+def _profiles(sets: Sets) -> list[bytes]:
+    """Element counts by hash cell, at most 255 a cell.
+
+    Each element in which two sets differ changes one cell by one, so the distance of two profiles
+    is never above the number of such elements.  The number of cells is a power of two near
+    size / PER_CELL; a profile is folded to fewer cells by adding neighbours.
+    """
+    size = np.diff(sets.offsets)
+    least = LEAST_CELLS.bit_length() - 1
+    bits = np.maximum(np.ceil(np.log2(np.maximum(size, 1) / PER_CELL)), least).astype(np.int64)
+    cells = 1 << bits
+    base = np.cumsum(cells) - cells
+    spread = mix(sets.shingles ^ np.uint64(0x77))
+    cell = (spread >> np.repeat(64 - bits, size).astype(np.uint64)).astype(np.int64)
+    counts = np.bincount(np.repeat(base, size) + cell, minlength=int(cells.sum()))
+    flat = np.minimum(counts, 255).astype(np.uint8).tobytes()
+    return [flat[a:a + m] for a, m in zip(base.tolist(), cells.tolist(), strict=True)]
+
+
+def _fold(profile: np.ndarray, cells: int) -> np.ndarray:
+    return profile.reshape(cells, -1).sum(axis=1, dtype=np.int32)
+
+
+def _distances(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Lower bounds of the differences of pairs of sets, from their profiles."""
+    out = np.empty(len(left), dtype=np.int64)
+    small = np.array([len(x) == len(y) == LEAST_CELLS for x, y in zip(left, right, strict=True)],
+                     dtype=bool)
+    at = np.flatnonzero(small)
+    if len(at):
+        x, y = (np.stack([side[i] for i in at]).astype(np.int16) for side in (left, right))
+        out[at] = np.abs(x - y).sum(axis=1)
+    for i in np.flatnonzero(~small):
+        cells = min(len(left[i]), len(right[i]))
+        out[i] = np.abs(_fold(left[i], cells) - _fold(right[i], cells)).sum()
+    return out
 
 
 def _may_differ(na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
@@ -60,36 +93,29 @@ class _Packer:
     def __init__(self, buckets: int) -> None:
         self.buckets, self.parts, self.n = buckets, [], 0
 
-    def add(self, sig: np.ndarray, node: np.ndarray, extra: np.ndarray | None = None) -> None:
-        self.parts.append((sig, node, extra))
-        self.n += len(sig) * (1 if extra is None else 8)
+    def add(self, sig: np.ndarray, node: np.ndarray) -> None:
+        self.parts.append((sig, node))
+        self.n += len(sig)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
-        if not self.parts:
+        if not self.n:
             return
         sig, node = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1))
-        extra = None if self.parts[0][2] is None else np.concatenate([p[2] for p in self.parts])
         self.parts, self.n = [], 0
         bucket = ((sig >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)).astype(int)
         order = np.argsort(bucket, kind="stable")
         sig, node, bucket = sig[order], node[order], bucket[order]
         names, at = np.unique(bucket, return_index=True)
-        ends = np.append(at, len(bucket))[1:]
-        pick = [slice(a, e) for a, e in zip(at, ends, strict=True)]
-        blobs = ([b"" for _ in pick] if extra is None
-                 else [extra[order[s]].tobytes() for s in pick])
+        pick = [slice(a, e) for a, e in zip(at, np.append(at, len(bucket))[1:], strict=True)]
         yield pa.record_batch([
             pa.array(names, pa.int32()), pa.array([sig[s].tobytes() for s in pick], pa.binary()),
             pa.array([node[s].tobytes() for s in pick], pa.binary()),
-            pa.array(blobs, pa.binary())], names=["bucket", "signature", "node", "extra"])
+            pa.array([b"" for _ in pick], pa.binary())],
+            names=["bucket", "signature", "node", "rows"])
 
 
-def _groups(batches: list[tuple], width: int = 0):
-    """Distinct (signature, node) of a partition in order, with the extent of shared groups."""
-    sig = np.concatenate([np.frombuffer(b[0], "<u8") for b in batches])
-    node = np.concatenate([np.frombuffer(b[1], "<i8") for b in batches])
-    extra = np.concatenate([np.frombuffer(b[2], np.uint8).reshape(-1, width)
-                            for b in batches]) if width else None
+def _groups(sig: np.ndarray, node: np.ndarray):
+    """Distinct (signature, node) in order, and the extent of the groups with several holders."""
     order = np.lexsort((node, sig))
     sig, node = sig[order], node[order]
     fresh = np.ones(len(sig), dtype=bool)
@@ -98,7 +124,7 @@ def _groups(batches: list[tuple], width: int = 0):
     first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
     size = np.diff(np.append(first, len(sig)))
     some = size > 1
-    return node, None if extra is None else extra[order], first[some], size[some]
+    return sig, node, order, first[some], size[some]
 
 
 def _unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,80 +139,76 @@ def _unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _found(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     none = pa.nulls(len(a), pa.int64())
     return pa.record_batch([pa.array(np.full(len(a), kind, np.int32)), pa.array(a, pa.int64()),
-                            pa.array(b, pa.int64()), none, none, none, none],
-                           names=["kind", "a", "b", "doc_id", "n", "f1", "f2"])
+                            pa.array(b, pa.int64()), none, none, none, none,
+                            pa.nulls(len(a), pa.binary())],
+                           names=["kind", "a", "b", "doc_id", "n", "f1", "f2", "profile"])
 
 
 def _first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (kind 1) and holders in large groups (kind 2) of a partition; document rows pass."""
+    """Pairs of small groups (kind 1), and holders of large groups with their centre (kind 2), of a
+    partition; document rows pass."""
     held = []
     for b in batches:
-        for bucket, sig, node, extra in zip(b["bucket"].to_pylist(), b["signature"], b["node"],
-                                            b["extra"], strict=True):
+        for bucket, sig, node, rows in zip(b["bucket"].to_pylist(), b["signature"], b["node"],
+                                           b["rows"], strict=True):
             if bucket >= 0:
-                held.append((sig.as_buffer(), node.as_buffer(), b""))
+                held.append((np.frombuffer(sig.as_buffer(), "<u8"),
+                             np.frombuffer(node.as_buffer(), "<i8")))
             else:
-                with pa.ipc.open_stream(extra.as_buffer()) as reader:
+                with pa.ipc.open_stream(rows.as_buffer()) as reader:
                     yield from reader
     if not held:
         return
-    node, _, first, size = _groups(held)
-    left, right = [], []
+    sig, node, _, first, size = _groups(*(np.concatenate(x) for x in zip(*held, strict=True)))
+    left, right, large = [], [], []
     for s in np.unique(size[size <= ALL_PAIRS_UP_TO]):
         at = first[size == s][:, None] + np.arange(s)
         i, j = np.triu_indices(s, 1)
         left.append(node[at[:, i]].ravel())
         right.append(node[at[:, j]].ravel())
-    large = []
     for f, s in zip(first[size > ALL_PAIRS_UP_TO], size[size > ALL_PAIRS_UP_TO], strict=True):
         holders = node[f:f + s]
         center = holders[np.argmin(mix(holders.view(np.uint64)))]
-        others = holders[holders != center]
-        left.append(np.full(len(others), center))
-        right.append(others)
-        large.append(holders)
+        large.append(np.stack([holders, np.full(s, center)]))
     if left:
-        a, b = _unique_pairs(np.concatenate(left), np.concatenate(right))
-        yield _found(1, a, b)
+        yield _found(1, *_unique_pairs(np.concatenate(left), np.concatenate(right)))
     if large:
-        nodes = np.unique(np.concatenate(large))
-        yield _found(2, nodes, nodes)
+        yield _found(2, *np.unique(np.concatenate(large, axis=1), axis=1))
 
 
 def _second_round(percent: int):
-    width = 16 + PROFILE_CELLS
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of holders in different components that the lower bound lets through."""
-        held = [(s.as_buffer(), n.as_buffer(), e.as_buffer()) for b in batches for s, n, e in zip(
-            b["signature"], b["node"], b["extra"], strict=True)]
+        """Pairs of holders with different labels that the lower bound lets through."""
+        held = [b for b in batches if b.num_rows]
         if not held:
             return
-        node, extra, first, size = _groups(held, width)
-        comp = np.ascontiguousarray(extra[:, :8]).view("<i8").ravel()
-        count = np.ascontiguousarray(extra[:, 8:16]).view("<i8").ravel()
-        profile = extra[:, 16:].astype(np.int16)
+        table = pa.Table.from_batches(held).combine_chunks()
+        table = table.sort_by([(c, "ascending") for c in ("center", "low", "high")])
+        center, low, high, block, node, root, n = (table[c].to_numpy() for c in (
+            "center", "low", "high", "block", "node", "root", "n"))
+        profile = [np.frombuffer(p.as_buffer(), np.uint8) for p in table["profile"]]
+        centers = [frozenset(c.as_py()) for c in table["centers"]]
+        new = np.ones(len(node), dtype=bool)
+        new[1:] = (center[1:] != center[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        first = np.flatnonzero(new)
         left, right = [], []
-        for f, s in zip(first, size, strict=True):
-            if s <= ALL_PAIRS_UP_TO:
-                continue
-            at = np.arange(f, f + s)
-            if (comp[at] == comp[f]).all():
-                continue
-            # Holders of the largest component need no pairs among themselves.
-            names, times = np.unique(comp[at], return_counts=True)
-            alone = at[comp[at] != names[np.argmax(times)]]
-            for x in alone:
-                y = at[(comp[at] != comp[x])]
-                may = _may_differ(count[x], count[y], percent)
-                near = y[np.abs(count[y] - count[x]) <= may]
-                far = np.abs(profile[near] - profile[x]).sum(axis=1)
-                near = near[far <= _may_differ(count[x], count[near], percent)]
-                left.append(np.full(len(near), node[x]))
-                right.append(node[near])
+        for f, e in zip(first, np.append(first, len(node))[1:], strict=True):
+            at = np.arange(f, e)
+            cells = min(len(profile[i]) for i in at)
+            folded = np.stack([_fold(profile[i], cells) for i in at])
+            for x in at[block[at] == low[f]]:
+                may = _may_differ(n[x], n[at], percent)
+                ok = (root[at] != root[x]) & (np.abs(n[at] - n[x]) <= may)
+                ok &= (at > x) if low[f] == high[f] else (block[at] == high[f])
+                near = np.flatnonzero(ok)
+                near = near[np.abs(folded[near] - folded[x - f]).sum(axis=1) <= may[near]]
+                for y in at[near]:
+                    if min(centers[x] & centers[y]) == center[f]:
+                        left.append(node[x])
+                        right.append(node[y])
         if left:
-            a, b = _unique_pairs(np.concatenate(left), np.concatenate(right))
-            yield _found(1, a, b)
+            a, b = _unique_pairs(np.array(left), np.array(right))
+            yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return run
 
@@ -199,7 +221,8 @@ def _similar(percent: int):
                 x, y = (np.frombuffer(s.as_buffer(), "<u8") for s in (x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.record_batch([b["a"], b["b"]], names=["a", "b"]).filter(pa.array(keep))
+            yield pa.record_batch([b["a"], b["b"]], names=["a", "b"]).filter(
+                pa.array(keep, pa.bool_()))
 
     return run
 
@@ -207,27 +230,49 @@ def _similar(percent: int):
 def _bounded(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            pa_, pb = (np.frombuffer(b"".join(b[c].to_pylist()), np.uint8).reshape(
-                -1, PROFILE_CELLS).astype(np.int16) for c in ("profile_a", "profile_b"))
+            left, right = ([np.frombuffer(p.as_buffer(), np.uint8) for p in b[c]]
+                           for c in ("profile_a", "profile_b"))
             na, nb = (b[c].to_numpy(zero_copy_only=False) for c in ("n_a", "n_b"))
-            ok = np.abs(pa_ - pb).sum(axis=1) <= _may_differ(na, nb, percent)
+            ok = _distances(left, right) <= _may_differ(na, nb, percent)
             yield pa.record_batch([b["a"], b["b"]], names=["a", "b"]).filter(pa.array(ok))
 
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int, label: str) -> DataFrame:
-    """The pairs (a, b) that reach the threshold."""
-    light = sets.select("node", "n", "profile")
-    side = {s: light.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"),
-                            F.col("profile").alias(f"profile_{s}")) for s in "ab"}
-    close = written(pairs.join(side["a"], "a").join(side["b"], "b")
-                    .mapInArrow(_bounded(percent), "a long, b long"), f"{label}-close")
+def _nodes_of(part: pa.RecordBatch, f1: np.ndarray) -> np.ndarray:
+    null = part["doc_id"].is_null().to_numpy(zero_copy_only=False)
+    return np.where(null, f1, part["doc_id"].fill_null(0).to_numpy(zero_copy_only=False))
+
+
+def _sets_of(d: DataFrame, pairs: DataFrame, k: int, log2_filter: int, label: str) -> DataFrame:
+    """Sets of the documents that occur in ``pairs``, and of a few that the filter lets through."""
+    wanted = pairs.select(F.col("a").alias("value")).unionByName(
+        pairs.select(F.col("b").alias("value")))
+    near = d.sparkSession.sparkContext.broadcast(members(wanted, log2_filter))  # fixed size
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            null = batch["doc_id"].is_null().to_numpy(zero_copy_only=False)
+            ids = batch["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)
+            some = null | test(near.value, cells_of(ids.view(np.uint64), log2_filter))
+            for part in slices(batch.filter(pa.array(some)), "text"):
+                sets = shingle_sets(word_prints(part["text"], lower=True), k)
+                blobs = [sets.shingles[a:b].tobytes() for a, b in zip(
+                    sets.offsets[:-1], sets.offsets[1:], strict=True)]
+                yield pa.record_batch([pa.array(_nodes_of(part, _sums(sets)[0])),
+                                       pa.array(blobs, pa.binary())], names=["node", "shingles"])
+
+    return written(d.mapInArrow(gather, "node long, shingles binary"), f"{label}-sets")
+
+
+def _links(d: DataFrame, close: DataFrame, k: int, percent: int, log2_filter: int,
+           label: str) -> DataFrame:
+    """The pairs (a, b) that reach the threshold, compared set by set."""
+    sets = _sets_of(d, close, k, log2_filter, label)
     full = {s: sets.select(F.col("node").alias(s), F.col("shingles").alias(f"set_{s}"))
             for s in "ab"}
-    half = written(close.join(full["a"], "a"), f"{label}-half")
-    return written(half.join(full["b"], "b").mapInArrow(_similar(percent), "a long, b long"),
-                   f"{label}-links")
+    return written(close.join(full["a"], "a").join(full["b"], "b")
+                   .mapInArrow(_similar(percent), "a long, b long"), f"{label}-links")
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -249,21 +294,18 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     bands = Bands(percent)
 
-    def nodes_of(part: pa.RecordBatch, f1: np.ndarray) -> np.ndarray:
-        null = part["doc_id"].is_null().to_numpy(zero_copy_only=False)
-        return np.where(null, f1, part["doc_id"].fill_null(0).to_numpy(zero_copy_only=False))
-
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, seen, turn = _Packer(buckets), set(), 0
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(word_prints(part["text"], lower=True), k)
                 f1, f2 = _sums(sets)
-                n, node = np.diff(sets.offsets), nodes_of(part, f1)
+                n, node = np.diff(sets.offsets), _nodes_of(part, f1)
                 rows = pa.record_batch([
                     pa.array(np.zeros(len(n), np.int32)), pa.array(node), pa.array(node),
-                    part["doc_id"], pa.array(n), pa.array(f1), pa.array(f2)],
-                    names=["kind", "a", "b", "doc_id", "n", "f1", "f2"])
+                    part["doc_id"], pa.array(n), pa.array(f1), pa.array(f2),
+                    pa.array(_profiles(sets), pa.binary())],
+                    names=["kind", "a", "b", "doc_id", "n", "f1", "f2", "profile"])
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, rows.schema) as out:
                     out.write_batch(rows)
@@ -271,7 +313,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
                 yield pa.record_batch([
                     pa.array([-turn], pa.int32()), pa.array([b""]), pa.array([b""]),
                     pa.array([sink.getvalue().to_pybytes()], pa.binary())],
-                    names=["bucket", "signature", "node", "extra"])
+                    names=["bucket", "signature", "node", "rows"])
                 fresh = []
                 for i, key in enumerate(zip(f1.tolist(), f2.tolist(), strict=True)):
                     fresh.append(n[i] > 0 and key not in seen)
@@ -282,8 +324,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
                     yield from packer.flush()
         yield from packer.flush()
 
-    to = F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(F.abs(F.xxhash64("extra") % buckets)
-                                                                 .cast("int"))
+    to = F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(F.pmod(F.xxhash64("rows"), F.lit(buckets)).cast("int"))
     found = written(d.mapInArrow(sign, PACKED).repartitionById(buckets, to)
                     .mapInArrow(_first_round, FOUND), "partenum")
     rows = found.filter("kind = 0").select("doc_id", F.col("a").alias("node"), "n", "f1", "f2")
@@ -299,59 +340,37 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
             F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
             .filter("a <> b").distinct(), label)
 
-    pairs = by_rep(found.filter("kind = 1"), "pairs")
-    in_large = found.filter("kind = 2").select(F.col("a").alias("node")).distinct().join(
-        reps, "node").select("rep").distinct()
-    wanted = pairs.select(F.col("a").alias("value")).unionByName(
-        pairs.select(F.col("b").alias("value")))
-    near = spark.sparkContext.broadcast(members(wanted, log2_filter))  # 2**log2_filter bits
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                null = part["doc_id"].is_null().to_numpy(zero_copy_only=False)
-                ids = part["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)
-                some = null | test(near.value, cells_of(ids.view(np.uint64), log2_filter))
-                part = part.filter(pa.array(some))
-                sets = shingle_sets(word_prints(part["text"], lower=True), k)
-                node = nodes_of(part, _sums(sets)[0])
-                blobs = [sets.shingles[a:b].tobytes() for a, b in zip(
-                    sets.offsets[:-1], sets.offsets[1:], strict=True)]
-                yield pa.record_batch([
-                    pa.array(node), pa.array(np.diff(sets.offsets)), pa.array(blobs, pa.binary()),
-                    pa.array([p.tobytes() for p in _profiles(sets)], pa.binary())],
-                    names=["node", "n", "shingles", "profile"])
-
-    sets = written(d.mapInArrow(gather, "node long, n long, shingles binary, profile binary"),
-                   "sets")
+    pairs = by_rep(found.filter("kind > 0"), "pairs")
+    light = written(found.filter("kind = 0 AND n > 0").select(F.col("a").alias("node"), "n", "profile")
+                    .join(reps.select(F.col("rep").alias("node")).distinct(), "node"), "profiles")
+    side = {s: light.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"),
+                            F.col("profile").alias(f"profile_{s}")) for s in "ab"}
+    close = written(pairs.join(side["a"], "a").join(side["b"], "b")
+                    .mapInArrow(_bounded(percent), "a long, b long"), "close-pairs")
     equal = reps.select(F.col("node").alias("a"), F.col("rep").alias("b"))
-    links = _links(pairs, sets, percent, "star")
-    roots = components(links.unionByName(equal))
-
-    def sign_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Packer(buckets)
-        for b in batches:
-            blobs = [np.frombuffer(s.as_buffer(), "<u8") for s in b["shingles"]]
-            some = Sets(np.concatenate(blobs), np.concatenate(([0], np.cumsum(b["n"]))))
-            signed = signatures(some, bands)
-            own = np.concatenate([np.ascontiguousarray(b[c].to_numpy(zero_copy_only=False))
-                                  .view(np.uint8).reshape(-1, 8) for c in ("root", "n")]
-                                 + [_profiles(some)], axis=1)
-            packer.add(signed.signature, b["node"].to_numpy(zero_copy_only=False)[signed.owner],
-                       own[signed.owner])
-            if packer.n >= FLUSH:
-                yield from packer.flush()
-        yield from packer.flush()
-
-    crowd = (sets.join(in_large.withColumnRenamed("rep", "node"), "node")
-             .join(roots, "node", "left")
-             .select("node", "n", "shingles", F.coalesce("root", "node").alias("root")))
-    again = (crowd.mapInArrow(sign_again, PACKED).repartitionById(buckets, "bucket")
-             .mapInArrow(_second_round(percent), FOUND))
-    more = _links(by_rep(again, "cross-pairs").join(pairs, ["a", "b"], "left_anti"), sets, percent,
-                  "cross")
-    roots = components(more.unionByName(roots.select(F.col("node").alias("a"),
-                                                     F.col("root").alias("b"))))
+    links = _links(d, close, k, percent, log2_filter, "star")
+    labels = shared_labels(links)
+
+    crowd = written(found.filter("kind = 2").select(F.col("a").alias("node"), F.col("b").alias("center"))
+                    .distinct().join(reps, "node").select("center", F.col("rep").alias("node"))
+                    .distinct().join(labels, "node", "left")
+                    .select("center", "node", F.coalesce("root", "node").alias("root")), "crowds")
+    mixed = written(crowd.groupBy("center").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"))
+        .filter("lo < hi").select("center", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")),
+        "mixed")
+    live = written(crowd.join(mixed, "center").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "live")
+    met = live.groupBy("node").agg(F.collect_list("center").alias("centers"))
+    cells = live.join(met, "node").join(light, "node").withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "center", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "block", "node", "root", "n", "profile", "centers")
+    again = cells.repartition(buckets, "center", "low", "high").mapInArrow(
+        _second_round(percent), "a long, b long")
+    more = _links(d, written(again.join(pairs, ["a", "b"], "left_anti"), "cross-pairs"), k, percent,
+                  log2_filter, "cross")
+    roots = components(links.unionByName(more).unionByName(equal))
 
     placed = written(rows.join(roots, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("root"),
