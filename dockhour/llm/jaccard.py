@@ -28,8 +28,8 @@ from .shingles import Sets, mix, shingle_sets, word_prints
 from .tokens import slices
 
 ALL_PAIRS_UP_TO = 4
-BLOCK = 256
-LEAST_CELLS, PER_CELL = 256, 2
+BLOCK = 1024
+LEAST_CELLS, PER_CELL = 128, 4
 FLUSH = 1_500_000
 FOUND = "kind int, a long, b long, doc_id long, n long, f1 long, f2 long, profile binary"
 PACKED = "bucket int, signature binary, node binary, rows binary"
