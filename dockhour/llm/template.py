@@ -4,9 +4,10 @@ Tokens are elements by their path and texts by path and content.  Tokens that oc
 on every page of a host have the same occurrence vector and form an equivalence class; a class is
 valid when it has several tokens on most of the host's pages and each of its elements lies inside
 an element of a valid class.  Valid classes, nested by their paths, are the host's template: its
-own texts go, and what is left are slots.  Slots are told apart by the template elements around
-them: those of navigation, notices, adverts and the like are not main text, and where a page has an
-article (or main) element, or one named as content, only its slots are.
+own texts go, in an article too, and what is left are slots.  A text in an element that repeats
+within a slot belongs to the template when enough pages have it.  Slots are told apart by the
+elements around them: those of navigation, notices, adverts and the like are not main text, and
+where slots of an article (or main) element, or of one named as content, are left, only those are.
 """
 from __future__ import annotations
 
@@ -162,41 +163,46 @@ def _hash(*parts: str) -> int:
 
 def main_text(page: Page, fixed: frozenset[int]) -> str:
     """The page's slots that are main text, joined by one space."""
-    best = max((b.main for b in page.blocks if not b.beside), default=0)
-    return " ".join(b.text for b in page.blocks if not b.beside and b.main == best and (
-        best or _hash(b.path, b.text) not in fixed))
+    slots = [b for b in page.blocks if not b.beside and _hash(b.path, b.text) not in fixed]
+    best = max((b.main for b in slots), default=0)
+    return " ".join(b.text for b in slots if b.main == best)
 
 
 def _host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, HOST, 1), F.lit("")))
 
 
-OCCURRENCES = "host string, token long, parent long, n_pages long, v1 long, v2 long"
+# Pages that must have a text whose own element repeats within a slot.
+REPEATED_MIN_PAGES = 8
+OCCURRENCES = ("host string, token long, parent long, is_text boolean, n_pages long, v1 long, "
+               "v2 long, low long, high long")
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens of a batch by host: pages that have them and their share of the vector."""
+    """Tokens of a batch by host: pages that have them, their share of the vector, and the least
+    and greatest key of these pages."""
     for batch in batches:
-        held: dict[tuple[str, int, int], list[int]] = {}
+        held: dict[tuple[str, int, int, bool], list[int]] = {}
         for host, key, source in zip(batch["host"].to_pylist(), batch["key"].to_pylist(),
                                      batch["html"].to_pylist(), strict=True):
             page = parse(source or "")
-            seen = Counter((_hash(p), _hash(up)) for p, up in page.paths)
-            seen.update((_hash(b.path, b.text), _hash(b.path)) for b in page.blocks
-                        if not b.beside and not b.main)
-            seen[(0, 0)] = 1  # the page itself
-            for (token, parent), n in seen.items():
+            seen = Counter((_hash(p), _hash(up), False) for p, up in page.paths)
+            seen.update((_hash(b.path, b.text), _hash(b.path), True) for b in page.blocks)
+            seen[(0, 0, False)] = 1  # the page itself
+            for token, n in seen.items():
                 v = xxhash.xxh3_64_intdigest(key.to_bytes(8, "little", signed=True), seed=n)
-                row = held.setdefault((host, token, parent), [0, 0, 0])
+                row = held.setdefault((host, *token), [0, 0, 0, key, key])
                 row[0] += 1
                 row[1] += v & 0xFFFFFFFF
                 row[2] += v >> 32
-        names, sums = list(held), np.array(list(held.values()), dtype=np.int64).reshape(-1, 3)
+                row[3] = min(row[3], key)
+                row[4] = max(row[4], key)
+        names, sums = list(held), np.array(list(held.values()), dtype=np.int64).reshape(-1, 5)
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.bool_())
         yield pa.record_batch([
-            pa.array([k[0] for k in names], pa.string()), pa.array([k[1] for k in names],
-                                                                   pa.int64()),
-            pa.array([k[2] for k in names], pa.int64()), *[pa.array(sums[:, i]) for i in range(3)]],
-            names=["host", "token", "parent", "n_pages", "v1", "v2"])
+            *[pa.array([k[i] for k in names], kind) for i, kind in enumerate(kinds)],
+            *[pa.array(sums[:, i]) for i in range(5)]],
+            names=["host", "token", "parent", "is_text", "n_pages", "v1", "v2", "low", "high"])
 
 
 def _template(tokens: pd.DataFrame) -> pd.DataFrame:
@@ -211,6 +217,7 @@ def _template(tokens: pd.DataFrame) -> pd.DataFrame:
             break
         template |= new
         inside |= new
+    template |= set(solid[solid.is_text & (solid.n_pages >= REPEATED_MIN_PAGES)].token)
     return pd.DataFrame({"host": [tokens.host.iloc[0]],
                          "template": [sorted(int(t) for t in template)]})
 
@@ -219,16 +226,21 @@ def host_templates(pages: DataFrame, min_share: float = 0.5, min_pages: int = 2)
     """Per host the tokens of its template (hashes).
 
     Tokens on less than ``min_share`` of a host's pages, or on fewer than ``min_pages``, are left
-    out before a host's tokens meet, so at most 1 / min_share times a page's tokens do.
+    out before a host's tokens meet, so at most 1 / min_share times a page's tokens do.  So are
+    tokens that only copies of one page have (pages with one ``key``).
     """
-    counts = (pages.mapInArrow(_occurrences, OCCURRENCES).groupBy("host", "token", "parent")
-              .agg(*[F.sum(c).alias(c) for c in ("n_pages", "v1", "v2")]))
+    counts = (pages.mapInArrow(_occurrences, OCCURRENCES)
+              .groupBy("host", "token", "parent", "is_text")
+              .agg(*[F.sum(c).alias(c) for c in ("n_pages", "v1", "v2")],
+                   F.min("low").alias("low"), F.max("high").alias("high")))
     counts = written(counts, "page-tokens")
     hosts = written(counts.filter("token = 0").select(
         "host", F.col("n_pages").alias("host_pages")), "page-hosts")
-    common = (counts.filter((F.col("token") != 0) & (F.col("n_pages") >= min_pages))
+    common = (counts.filter((F.col("token") != 0) & (F.col("n_pages") >= min_pages)
+                            & (F.col("low") < F.col("high")))
               .join(hosts, "host").filter(F.col("n_pages") >= min_share * F.col("host_pages")))
-    return written(common.select("host", "token", "parent", "v1", "v2").groupBy("host")
+    return written(common.select("host", "token", "parent", "is_text", "n_pages", "v1", "v2")
+                   .groupBy("host")
                    .applyInPandas(_template, "host string, template array<long>"), "templates")
 
 
@@ -243,7 +255,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     ship(pages.sparkSession)
     p = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                      F.col(html_col).alias("html"), _host(F.col(url_col)).alias("host"))
-    templates = host_templates(p.select("host", F.xxhash64("page_id", "url").alias("key"), "html"))
+    templates = host_templates(p.select("host", F.xxhash64("html").alias("key"), "html"))
     kind = {f.name: f.dataType.simpleString() for f in p.schema.fields}
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
