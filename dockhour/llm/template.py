@@ -45,9 +45,11 @@ SIDE_WORDS = frozenset(
 # Inside an article these name parts of the article.
 ARTICLE_WORDS = frozenset("header masthead topbar".split())
 MAIN = frozenset(("article", "main"))
+# Their class words tell about the page.
+WHOLE = frozenset(("html", "body", "main"))
 # Classes and ids of the main part where a page has no article or main element.
 CONTENT_WORDS = frozenset("content article post entry story main articlebody maincontent".split())
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+HIDDEN_STYLE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure "
                      "footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table "
                      "ul".split())
@@ -56,7 +58,8 @@ SAME_LEVEL = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr"
 
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
                     r"<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+# One whole attribute, so that nothing inside another one's value is read as a name.
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
@@ -76,6 +79,9 @@ class Element(NamedTuple):
     path: str
     main: int
     beside: bool
+    worded: bool
+    firm: bool
+    at: int
 
 
 class Page(NamedTuple):
@@ -83,10 +89,37 @@ class Page(NamedTuple):
     paths: list[tuple[str, str]]
 
 
+def _attributes(raw: str) -> dict[str, str]:
+    """Values by name in lower case; the first of several counts."""
+    out: dict[str, str] = {}
+    for a in ATTRIBUTE.finditer(raw):
+        out.setdefault(a[1].lower(), a[2] or a[3] or a[4] or "")
+    return out
+
+
+def _hidden(attributes: dict[str, str]) -> bool:
+    return ("hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true"
+            or bool(HIDDEN_STYLE.search(attributes.get("style", ""))))
+
+
 def parse(source: str) -> Page:
-    """Blocks of text in order, and the path and parent's path of each element."""
-    root = Element("", "", 0, False)
+    """Blocks of text in order, and the path and parent's path of each element.
+
+    Class words of html, body and main say nothing about what stands in them.  Nor do those of an
+    element around an article or main element, unless the page has another one that is not so
+    surrounded: then a list of teasers is still beside.
+    """
+    page, wrappers = _walk(source, frozenset())
+    return _walk(source, wrappers)[0] if wrappers else page
+
+
+def _walk(source: str, wrappers: frozenset[int]) -> tuple[Page, frozenset[int]]:
+    """The page, and the elements (by their place in the source) that would put its article or main
+    elements beside by class words alone; ``wrappers`` are let off."""
+    root = Element("", "", 0, False, False, False, -1)
     stack, blocks, paths, piece = [root], [], [], []
+    around: set[int] = set()
+    free: set[int] = set()
     at = 0
 
     def end_block():
@@ -124,8 +157,9 @@ def parse(source: str) -> Page:
             if name == "br" or name not in INLINE:
                 piece.append(" ") if name == "br" else end_block()
             continue
-        words = {w for a in ATTRIBUTE.finditer(m[3])
-                 for w in re.split(r"[^a-z0-9]+", (a[2] or a[3] or a[4] or "").lower())}
+        attributes = _attributes(m[3]) if m[3] else {}
+        words = {w for a in ("class", "id", "role") if a in attributes
+                 for w in re.split(r"[^a-z0-9]+", attributes[a].lower())}
         label = ".".join([name, *sorted(w for w in words if w and not w.isdigit())])
         if name not in INLINE:
             shut = ("p",) if name in CLOSES_P else SAME_LEVEL.get(name, ())
@@ -138,23 +172,31 @@ def parse(source: str) -> Page:
             end_block()
         up = stack[-1]
         side = SIDE_WORDS - ARTICLE_WORDS if up.main else SIDE_WORDS
-        beside = (up.beside or name in SIDE_ELEMENTS or bool(words & side)
-                  or name == "header" and not up.main or bool(HIDDEN.search(m[3])))
+        worded = bool(words & side) and name not in WHOLE and m.start() not in wrappers
+        firm = (up.firm or name in SIDE_ELEMENTS or name == "header" and not up.main
+                or bool(attributes) and _hidden(attributes))
+        beside = up.beside or worded or firm
         if beside and not up.beside:
             end_block()
         main = 2 if name in MAIN else int(name not in INLINE and bool(words & CONTENT_WORDS))
-        own = Element(name, f"{up.path}/{label}", up.main if beside else max(up.main, main), beside)
+        own = Element(name, f"{up.path}/{label}", up.main if beside else max(up.main, main), beside,
+                      worded, firm, m.start())
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
             at = end.end() if end else len(source)
             continue
         if m[3].rstrip().endswith("/") and name in ("svg", "math"):
             continue
+        if name in MAIN and not worded and not firm:
+            around.update(e.at for e in stack if e.worded)
+            free.difference_update(e.at for e in stack if e.name == "main")
+            if not up.beside:
+                free.add(own.at)
         stack.append(own)
         if name not in INLINE:
             paths.append((own.path, up.path))
     end_block()
-    return Page(blocks, paths)
+    return Page(blocks, paths), frozenset() if free else frozenset(around)
 
 
 def _hash(*parts: str) -> int:

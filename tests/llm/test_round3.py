@@ -26,3 +26,26 @@ def test_template_texts_inside_an_article_go(spark):
                      "</article></body>"))
         want[i] = "Alone Text"
     assert main_texts(spark, rows) == want
+
+
+def test_class_words_do_not_hide_whole_articles(spark):
+    pages = {
+        "<body class='single right-sidebar nav-below-header'><article>One</article>": "One",
+        "<html class='no-banner has-menu'><article>One</article>": "One",
+        "<main class='site-main right-sidebar'><p>One</p></main>": "One",
+        "<div class='content-sidebar-wrap'><article>One</article><p>x</p></div>": "One",
+        "<main><h1>Up</h1><div class='sidebar-layout'><article>One</article></div></main>": "Up One",
+        "<article data-id='ad-12'>One</article>": "One",
+        "<article>One <a href='/p?id=ad'>two</a> <a href=/p?id=ad>three</a></article>":
+            "One two three",
+        "<article>One <a title='the hidden cost'>two</a></article>": "One two",
+        "<article>One <a title='style=display:none aria-hidden=true'>two</a></article>": "One two",
+        # What is beside stays so.
+        "<article>One</article><div class='related'><article>More</article></div>": "One",
+        "<article>One<div class='related'><article>More</article></div></article>": "One",
+        "<div id=comments><article class='comment'>First!</article></div><p>One</p>": "One",
+        "<article>One<p HIDDEN>no</p><p style='color:red; Display : none'>no</p>"
+        "<p aria-hidden=\"true\">no</p><p ID=ad>no</p><p role=navigation>no</p></article>": "One",
+    }
+    rows = [(i, f"http://h{i}.example/", p) for i, p in enumerate(pages)]
+    assert main_texts(spark, rows) == dict(enumerate(pages.values()))
