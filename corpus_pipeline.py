@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from dockhour.llm.chain import document_labels, score_documents
 from dockhour.llm.common import written
-from dockhour.llm.jaccard import jaccard_components
+from dockhour.llm.jaccard import jaccard_components, set_nodes
 from dockhour.llm.mixing import mix
 from dockhour.llm.naming import exact_groups, text_variant
 from dockhour.llm.packing import pack
@@ -54,12 +54,27 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component; five words, similarity 0.8 or more.
 
-    Documents without an id stay where no document with an id is linked to them.
+    Documents without an id stay where no document with an id is linked to them, one row of each
+    component; texts without words are linked to nothing and stay.
     """
-    linked = written(jaccard_components(docs, k=5, percent=80), "linked")
-    dropped = linked.filter("component_id IS NOT NULL AND NOT (doc_id <=> component_id)").select(
+    linked = written(jaccard_components(docs, k=5, percent=80, with_root=True), "linked")
+    dropped = linked.filter("doc_id <> component_id").select(
         F.col("doc_id").alias("_id")).distinct().hint("merge")
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["_id"]), "left_anti")
+    named = docs.filter("doc_id IS NOT NULL")
+    kept = named.join(dropped, named["doc_id"] == dropped["_id"], "left_anti")
+    # The key of rows without an id is written, so that it is the same wherever it is read.
+    lone = written(docs.filter("doc_id IS NULL").withColumn(
+        "_key", F.monotonically_increasing_id()), "no-id")
+    if lone.isEmpty():
+        return kept
+    nodes = written(set_nodes(lone, 5, "_key"), "no-id-nodes")
+    open_roots = linked.filter("doc_id IS NULL AND component_id IS NULL AND n_shingles > 0").select(
+        "node", "root").distinct().hint("merge")
+    stay = nodes.filter("n > 0").join(open_roots, "node").groupBy("root").agg(
+        F.min("key").alias("_stay")).select("_stay").unionByName(
+        nodes.filter("n = 0").select(F.col("key").alias("_stay"))).hint("merge")
+    return kept.unionByName(lone.join(stay, lone["_key"] == stay["_stay"], "left_semi").select(
+        *docs.columns))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -276,9 +276,13 @@ def _links(d: DataFrame, close: DataFrame, k: int, percent: int, log2_filter: in
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
-                       text_col: str = "text", log2_filter: int = 26) -> DataFrame:
+                       text_col: str = "text", log2_filter: int = 26,
+                       with_root: bool = False) -> DataFrame:
     """Per document: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest linked id.
 
+    ``with_root`` adds ``node``, what a row is linked under (see ``set_nodes``), and ``root``, the
+    smallest node of its component; neither is ever null.
+
     A-Z is lowered; a document's set is its distinct shingles of ``k`` words, or its whole word
     sequence if it has fewer.  Two documents link when their Jaccard similarity is at least
     ``percent`` / 100; components are the connected parts of all links.
@@ -372,14 +376,35 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
                   log2_filter, "cross")
     roots = components(links.unionByName(more).unionByName(equal))
 
+    extra = ["node", "root"] if with_root else []
     placed = written(rows.join(roots, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("root"),
-        (F.col("n") > 0).alias("full")), "placed")
+        (F.col("n") > 0).alias("full"), *extra[:1]), "placed")
     names = written(placed.filter("full").groupBy("root").agg(F.min("doc_id").alias("least")),
                     "component-ids")
     return placed.join(names, "root", "left").select(
         "doc_id", "n_shingles",
-        F.when(F.col("full"), F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("full"), F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+        *extra)
+
+
+def set_nodes(docs: DataFrame, k: int, key_col: str, id_col: str = "doc_id",
+              text_col: str = "text") -> DataFrame:
+    """``key``, ``node`` and ``n`` of each row: its id, or without one its set's fingerprint."""
+    ship(docs.sparkSession)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = shingle_sets(word_prints(part["text"], lower=True), k)
+                yield pa.record_batch([part["key"], pa.array(_nodes_of(part, _sums(sets)[0])),
+                                       pa.array(np.diff(sets.offsets))],
+                                      names=["key", "node", "n"])
+
+    return docs.select(F.col(key_col).cast("long").alias("key"),
+                       F.col(id_col).cast("long").alias("doc_id"),
+                       F.col(text_col).alias("text")).mapInArrow(
+        gather, "key long, node long, n long")
 
 
 def _only(sets: Sets, keep: np.ndarray) -> Sets:

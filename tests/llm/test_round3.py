@@ -1,8 +1,16 @@
 """Cases of the review of round 2."""
 from __future__ import annotations
 
+import collections
+import random
+
+import corpus_pipeline as P
 from dockhour.llm.template import extract_main_text
 
+from .helpers import corpus, make, prose
+from .test_pipeline import rows_of
+from .test_text_operators import linked
+
 
 def main_texts(spark, rows):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
@@ -49,3 +57,22 @@ def test_class_words_do_not_hide_whole_articles(spark):
     }
     rows = [(i, f"http://h{i}.example/", p) for i, p in enumerate(pages)]
     assert main_texts(spark, rows) == dict(enumerate(pages.values()))
+
+
+def test_near_stage_with_rows_without_an_id(spark):
+    rng = random.Random(11)
+    a, b = prose(rng, 90, 5000), prose(rng, 80, 5000)
+    extra = [(None, f"{a} tail", "s0"), (None, a, "s1"), (None, a, "s1"), (None, a.upper(), "s2"),
+             (None, b, "s0"), (None, "", "s0"), (None, None, "s1"), (None, " ", None), (None, "", "s0")]
+    rows = corpus() + extra
+    out = rows_of(P.near_dedup(spark, make(spark, rows).repartition(4), ""))
+    assert all(n <= rows.count(r) for r, n in out.items())
+    want = {i for (i, _, c) in linked(rows, 5, 80) if i is not None and c == i}
+    assert {i for i, _, _ in out} - {None} == want
+    lone = collections.Counter({r: n for r, n in out.items() if r[0] is None})
+    blank = {r: rows.count(r) for r in extra if not (r[1] or "").strip()}
+    assert {r: lone[r] for r in blank} == blank
+    # One of the group of `a`; `b` and the text of the corpus that nobody has; not the copy of 5.
+    worded = sorted((r[1].lower() for r in (lone - collections.Counter(blank)).elements()), key=len)
+    assert len(worded) == 3 and worded[0] == "no id here at all"
+    assert worded[1] == b and worded[2] in (a, f"{a} tail")
