@@ -2,12 +2,13 @@
 
 The public word tokenizer drops white space and never joins characters across it, so a text's ids
 are those of its words one after the other.  A word that is letters with symbols behind them splits
-there too.  Distinct words of a batch are encoded once, many to a call, and spread over the batch
+there too, unless the normalizer ends the letters in a mark, which would join the symbols.  Distinct words of a batch are encoded once, many to a call, and spread over the batch
 with numpy.
 """
 from __future__ import annotations
 
 import os
+import unicodedata
 from typing import NamedTuple
 
 import numpy as np
@@ -30,6 +31,11 @@ class Encoded(NamedTuple):
     offsets: np.ndarray
 
 
+def _ends_in_letter(core: str) -> bool:
+    """Whether letters still end in one after the tokenizer's normalizer (NFC, lower case)."""
+    return core.isascii() or unicodedata.normalize("NFC", core).lower()[-1].isalpha()
+
+
 class WordEncoder:
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -64,7 +70,7 @@ class WordEncoder:
         split = []
         for w in found:
             core = w.rstrip(TAIL)
-            if core.isalpha():
+            if core.isalpha() and _ends_in_letter(core):
                 split.append((core.lower() if core.isascii() else core, w[len(core):]))
             else:
                 split.append((w, ""))

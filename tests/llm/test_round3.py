@@ -5,7 +5,11 @@ import collections
 import random
 
 import corpus_pipeline as P
+import pyarrow as pa
+from tokenizers import Tokenizer
+
 from dockhour.llm.template import extract_main_text
+from dockhour.llm.tokens import WordEncoder, vocabulary
 
 from .helpers import corpus, make, prose
 from .test_pipeline import rows_of
@@ -76,3 +80,12 @@ def test_near_stage_with_rows_without_an_id(spark):
     worded = sorted((r[1].lower() for r in (lone - collections.Counter(blank)).elements()), key=len)
     assert len(worded) == 3 and worded[0] == "no id here at all"
     assert worded[1] == b and worded[2] in (a, f"{a} tail")
+
+
+def test_symbols_after_letters_that_end_in_a_mark():
+    """The normalizer turns the last letter into a letter and a mark, which joins the symbols."""
+    texts = ["TAKSİ.", "TAKSİ", "takSİ!?) x", "\u0958.", "क\u0958, \u0958", "ΟΔΟΣ. é. cafe\u0301."]
+    want = [e.ids for e in Tokenizer.from_file(vocabulary()).encode_batch(
+        texts, add_special_tokens=False)]
+    got = WordEncoder(vocabulary()).encode(pa.array(texts))
+    assert [got.ids[a:b].tolist() for a, b in zip(got.offsets, got.offsets[1:])] == want
