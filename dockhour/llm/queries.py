@@ -36,7 +36,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return line_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+    return line_rules(docs, distinct=True).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                                    "n_repeat_words", "base_failed", "kept", "n_words_left")
 
 

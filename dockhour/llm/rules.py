@@ -47,7 +47,7 @@ def worded_lines(text: Column) -> Column:
 def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                host_col: str = "source", min_docs: int = 20, max_share: float = 0.02,
                min_left_share: float = 0.3, min_words: int = 50,
-               with_text: bool = False) -> DataFrame:
+               with_text: bool = False, distinct: bool = False) -> DataFrame:
     """Statistics and verdict for each document.
 
     A line (normalised, by fingerprint) is too frequent on a host when at least ``min_docs``
@@ -57,8 +57,8 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``clean_text`` without the removed lines.
 
     Null and blank texts have no words and fail the base rule.  A null host is a host of its own.
-    Each input row gives one row; rows with the same id and text are one document for the counts
-    and get the same result.  An empty table gives no rows; other columns are not read.
+    Each input row gives one row; rows with the same id, host and text get the same result.  With
+    ``distinct`` they are one document for the counts of lines and hosts, else each row counts.  An empty table gives no rows; other columns are not read.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"),
@@ -81,7 +81,7 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.xxhash64(normal_line(x)).alias("print"),
             F.regexp_count(x, F.lit(WORD)).alias("n")))).alias("line")).select(
         "key_id", "key_text", "host", "line.*")
-    frequent = frequent_lines(d, min_docs, max_share)
+    frequent = frequent_lines(d, min_docs, max_share, distinct)
 
     f = frequent.select(F.col("host").alias("_host"), F.col("print").alias("_print"))
     cut = lines.join(f, F.col("host").eqNullSafe(F.col("_host")) & (
@@ -111,15 +111,33 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.drop("key_id", "key_text")
 
 
-def frequent_lines(d: DataFrame, min_docs: int, max_share: float) -> DataFrame:
-    """Line fingerprints (``host``, ``print``, ``n_docs``) above the limits of their host."""
+def frequent_lines(d: DataFrame, min_docs: int, max_share: float,
+                   distinct: bool = False) -> DataFrame:
+    """Line fingerprints (``host``, ``print``, ``n_docs``) above the limits of their host.
+
+    With ``distinct``, what the further rows of a document add to its lines is taken off again, so
+    only documents that have several rows are dealt out by their key.
+    """
     prints = F.array_distinct(F.transform(worded_lines(F.col("text")),
                                           lambda x: F.xxhash64(normal_line(x))))
-    counts = (d.select("doc_id", "host", "text").select("host", F.explode(prints).alias("print"))
-              .groupBy("host", "print").agg(F.count(F.lit(1)).alias("n_docs"))
+    lines = d.select("doc_id", "host", "text").select("host", F.explode(prints).alias("print"),
+                                                      F.lit(1).cast("long").alias("n"))
+    rows = d.select("host", F.lit(1).cast("long").alias("n"))
+    if distinct:
+        keyed = d.select("host", "text", F.coalesce("doc_id", F.lit(0)).alias("key_id"),
+                         F.xxhash64("doc_id", "host", "text").alias("key_text"))
+        again = written(keyed.groupBy("key_id", "key_text").agg(
+            F.count(F.lit(1)).alias("times")).filter("times > 1"), "line-repeated")
+        if not again.isEmpty():
+            more = written(keyed.join(again, ["key_id", "key_text"]).dropDuplicates(
+                ["key_id", "key_text"]).select("host", prints.alias("prints"),
+                                               (1 - F.col("times")).alias("n")), "line-surplus")
+            lines = lines.unionByName(more.select("host", F.explode("prints").alias("print"), "n"))
+            rows = rows.unionByName(more.select("host", "n"))
+    counts = (lines.groupBy("host", "print").agg(F.sum("n").alias("n_docs"))
               .filter(F.col("n_docs") >= min_docs))
-    hosts = written(d.groupBy(F.col("host").alias("_host")).agg(
-        F.count(F.lit(1)).alias("host_docs")), "line-hosts")
+    hosts = written(rows.groupBy(F.col("host").alias("_host")).agg(
+        F.sum("n").alias("host_docs")), "line-hosts")
     return written(counts.join(hosts, F.col("host").eqNullSafe(F.col("_host")))
                    .filter(F.col("n_docs") >= F.col("host_docs") * max_share)
                    .select("host", "print", "n_docs"), "frequent-lines")

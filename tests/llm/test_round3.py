@@ -8,6 +8,7 @@ import corpus_pipeline as P
 import pyarrow as pa
 from tokenizers import Tokenizer
 
+from dockhour.llm.queries import op2_line_rules
 from dockhour.llm.template import extract_main_text
 from dockhour.llm.tokens import WordEncoder, vocabulary
 
@@ -89,3 +90,18 @@ def test_symbols_after_letters_that_end_in_a_mark():
         texts, add_special_tokens=False)]
     got = WordEncoder(vocabulary()).encode(pa.array(texts))
     assert [got.ids[a:b].tolist() for a, b in zip(got.offsets, got.offsets[1:])] == want
+
+
+def test_a_document_in_many_rows_is_one_document_for_its_lines(spark, tmpdir_path):
+    rng = random.Random(4)
+    foot = " ".join(f"f{i}" for i in range(30))
+    rows = [(i, f"{prose(rng, 60, 9000)}\n{foot if i < 21 else foot[:-1]}", "s") for i in range(40)]
+    rows += [rows[30]] * 19  # 20 rows of one document
+    rows += [(50 + i, f"{prose(rng, 60, 9000)}\n{foot}", None) for i in range(19)]
+    rows += [rows[-1]] * 5 + [(None, prose(rng, 60, 9000), None)] * 25
+    make(spark, rows, clash=False).write.parquet(f"{tmpdir_path}/documents.parquet")
+    out = op2_line_rules(spark, tmpdir_path).collect()
+    assert len(out) == len(rows)
+    # 21 documents have the footer, 19 the other line; on the null host 19 have it.
+    assert {(r["doc_id"], r["n_words_left"], r["kept"]) for r in out} == {
+        (i, 60 if s == "s" and i is not None and i < 21 else len(t.split()), True) for i, t, s in rows}
