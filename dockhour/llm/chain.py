@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import WS_CHARS, ship
 from .tokens import slices
 
 EDGES = ".,;:!?%$#*&|<>()[]{}\"'`~^+=/\\_-"
@@ -99,8 +99,11 @@ def _design(found: Found, features: np.ndarray, rows: int, earlier: np.ndarray)
 
 
 def _fit(found: Found, y: np.ndarray, earlier: np.ndarray, n_features: int, min_rows: int,
-         ridge: float, steps: int = 30) -> Linear:
-    """Logistic regression with a ridge penalty by Newton steps on the chosen features."""
+         ridge: float, steps: int = 30, weight: np.ndarray | None = None) -> Linear:
+    """Logistic regression with a ridge penalty by Newton steps on the chosen features.
+
+    ``weight`` tells how many rows each one stands for, one on average."""
+    weight = np.ones(len(y)) if weight is None else weight
     prior = (y.sum() + 0.5) / (len(y) + 1)
     constant = Linear(float(np.log(prior / (1 - prior))) if 0 < y.sum() < len(y)
                       else (50.0 if len(y) and y.all() else -50.0),
@@ -114,8 +117,8 @@ def _fit(found: Found, y: np.ndarray, earlier: np.ndarray, n_features: int, min_
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
-        gradient = x.T @ (p - y) + penalty * w
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        gradient = x.T @ (weight * (p - y)) + penalty * w
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
         step = np.linalg.solve(hessian, gradient)
         w -= step
         if np.abs(step).max() < 1e-6:
@@ -135,9 +138,11 @@ def _probability(model: Linear, found: Found, rows: int, earlier: np.ndarray) ->
 
 
 def fit_chain(found: Found, labels: np.ndarray, folds: np.ndarray, n_features: int = 200,
-              min_rows: int = 2, ridge: float = 0.2) -> list[Linear]:
+              min_rows: int = 2, ridge: float = 0.2,
+              weight: np.ndarray | None = None) -> list[Linear]:
     """One model for each column of ``labels``, in order, each on out-of-fold earlier ones."""
     rows = len(labels)
+    weight = np.ones(rows) if weight is None else weight
     names, code, seen = np.unique(found.feature, return_inverse=True, return_counts=True)
     often = seen >= min_rows
     names, keep = names[often], often[code]
@@ -146,22 +151,24 @@ def fit_chain(found: Found, labels: np.ndarray, folds: np.ndarray, n_features: i
     chain = []
     for c in range(labels.shape[1]):
         y = labels[:, c].astype(float)
-        chain.append(_fit(found, y, earlier, n_features, min_rows, ridge))
+        chain.append(_fit(found, y, earlier, n_features, min_rows, ridge, weight=weight))
         unseen = np.zeros(rows)
         for fold in np.unique(folds):
             out = folds == fold
             number = np.cumsum(~out) - 1
             inside = ~out[found.row]
             model = _fit(Found(number[found.row[inside]], found.feature[inside]), y[~out],
-                         earlier[~out], n_features, min_rows, ridge)
+                         earlier[~out], n_features, min_rows, ridge, weight=weight[~out])
             unseen[out] = _probability(model, found, rows, earlier)[out]
         earlier = np.column_stack([earlier, unseen])
     return [m._replace(features=names[m.features]) for m in chain]
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, categories: list[str], per_class: int,
-                    id_col: str, text_col: str) -> tuple[np.ndarray, Found, np.ndarray]:
-    """Ids, features and labels of at most ``per_class`` labelled rows of each label combination.
+                    id_col: str, text_col: str
+                    ) -> tuple[np.ndarray, Found, np.ndarray, np.ndarray]:
+    """Ids, features, labels and weights of at most ``per_class`` labelled rows of each label
+    combination; a weight is the inverse of the share taken of its combination, one on average.
 
     Rows are taken in the order of a hash of the id.  Rows without an id or with a null label are
     left out; of an id's several label rows the largest values count.
@@ -169,6 +176,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, categories: list[str], p
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), *[
         F.col(c).cast("int") for c in categories]).dropna().groupBy("doc_id").agg(
         *[F.max(c).alias(c) for c in categories])
+    total = {tuple(r[c] for c in categories): r["n"] for r in known.groupBy(*categories).agg(
+        F.count(F.lit(1)).alias("n")).collect()}  # one row for each label combination
     parts = []
     for values in product((0, 1), repeat=len(categories)):
         same = reduce(lambda a, b: a & b, [F.col(c) == v for c, v in
@@ -194,11 +203,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, categories: list[str], p
         .collect())
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["features"])))
     found = [np.frombuffer(r["features"], "<u4").astype(np.int64) for r in rows]
+    weight = np.array([max(1, total[tuple(r[c] for c in categories)] / per_class) for r in rows])
     return (np.array([r["doc_id"] for r in rows], dtype=np.int64),
             Found(np.repeat(np.arange(len(rows)), [len(f) for f in found]).astype(np.int64),
                   np.concatenate([np.empty(0, np.int64), *found])),
             np.array([[r[c] for c in categories] for r in rows],
-                     dtype=np.int64).reshape(-1, len(categories)))
+                     dtype=np.int64).reshape(-1, len(categories)),
+            weight / weight.mean() if len(rows) else weight)
 
 
 def train_chain(docs: DataFrame, labels: DataFrame, categories: list[str], per_class: int = 2000,
@@ -207,10 +218,10 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: list[str], per_c
 
     Without labelled rows, or where a category has one value only, its model is a constant.
     """
-    ids, found, y = labelled_sample(docs, labels, categories, per_class, id_col, text_col)
+    ids, found, y, weight = labelled_sample(docs, labels, categories, per_class, id_col, text_col)
     folds = np.array([zlib.crc32(int(i).to_bytes(8, "little", signed=True)) % n_folds
                       for i in ids], dtype=np.int64)
-    return fit_chain(found, y, folds)
+    return fit_chain(found, y, folds, weight=weight)
 
 
 def chain_scores(chain: list[Linear], categories: list[str], text: Column) -> Column:
@@ -240,14 +251,15 @@ def score_documents(docs: DataFrame, labels: DataFrame,
     """All columns of ``docs`` with the struct ``scores`` and the verdict ``rejected``.
 
     The chain is fitted on ``labels`` (one 0/1 column for each category) and applied to every whole
-    text; the last category decides.  Null and blank texts have no features and get the chain's
-    base probabilities.  Every input row gives one row.
+    text; the last category decides.  Texts without features (null, blank, symbols only) get the
+    chain's base probabilities and are never rejected.  Every input row gives one row.
     """
     names = list(categories)
     ship(docs.sparkSession)
     chain = train_chain(docs, labels, names, id_col=id_col, text_col=text_col, **training)
     scored = docs.withColumn("scores", chain_scores(chain, names, F.col(text_col)))
-    return scored.withColumn("rejected", F.col("scores")[names[-1]] >= threshold)
+    bare = F.translate(F.coalesce(F.col(text_col), F.lit("")), EDGES + WS_CHARS, "") == ""
+    return scored.withColumn("rejected", ~bare & (F.col("scores")[names[-1]] >= threshold))
 
 
 def document_labels(labels: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import corpus_pipeline as P
 import pyarrow as pa
 from tokenizers import Tokenizer
 
+from dockhour.llm.chain import score_documents
 from dockhour.llm.queries import op2_line_rules
 from dockhour.llm.template import extract_main_text
 from dockhour.llm.tokens import WordEncoder, vocabulary
@@ -105,3 +106,16 @@ def test_a_document_in_many_rows_is_one_document_for_its_lines(spark, tmpdir_pat
     # 21 documents have the footer, 19 the other line; on the null host 19 have it.
     assert {(r["doc_id"], r["n_words_left"], r["kept"]) for r in out} == {
         (i, 60 if s == "s" and i is not None and i < 21 else len(t.split()), True) for i, t, s in rows}
+
+
+def test_sampled_labels_keep_the_share_of_toxic_rows_and_blank_texts_stay(spark):
+    rows = [(i, f"same words {'x' if i % 2 else 'y'}", "s") for i in range(400)]
+    rows += [(900, None, "s"), (901, " ", "s"), (902, "...", "s")]
+    schema = "doc_id long, low_quality int, toxic int"
+    share = spark.createDataFrame([(i, 0, int(i % 20 == 0)) for i in range(400)], schema)
+    out = score_documents(make(spark, rows), share, per_class=20).collect()
+    mean = sum(r["scores"]["toxic"] for r in out if r["doc_id"] < 400) / 400
+    assert abs(mean - 0.05) < 0.03
+    every = spark.createDataFrame([(i, 0, 1) for i in range(400)], schema)
+    out = score_documents(make(spark, rows), every).collect()
+    assert {r["doc_id"] for r in out if not r["rejected"]} == {900, 901, 902}
