@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .chain import document_labels, score_documents
 from .jaccard import jaccard_components
+from .merkle import verified_manifest
 from .mixing import mix
 from .naming import exact_groups
 from .packing import pack
@@ -78,6 +79,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"), vocabulary(), end_id=2)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified_manifest(_table(spark, sf_dir, "documents"),
+                             ["doc_id", "source", "lang", "n_chars", "text"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_line_rules": op2_line_rules,
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_source_mix": op9_source_mix,
     "op10_token_files": op10_token_files,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 SQL: dict[str, str] = {
@@ -200,5 +207,61 @@ SELECT doc_id, size, source_size, target,
        ((epochs + CASE WHEN before + size / 2 < target - epochs * source_size THEN 1 ELSE 0 END)
         * size)::BIGINT AS taken
 FROM p
+""",
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, text, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+         || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-')
+         || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+  FROM documents),
+f AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+             sha256(head || coalesce(strlen(low) || ':' || low, '-')) AS low_leaf,
+             xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(
+                   string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                 lambda a, b: list_reduce(list_concat([xor(a, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                   lambda e, z: xor(e >> 1, 3988292384::BIGINT * (e & 1)))), 4294967295) AS crc
+      FROM (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                'abcdefghijklmnopqrstuvwxyz') AS low FROM d)),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+      FROM f),
+t AS (SELECT 0 AS lvl, lang, pos, leaf AS digest, count(*) OVER (PARTITION BY lang) AS n FROM r
+      UNION ALL
+      SELECT lvl, lang, pos, digest, n FROM (
+        SELECT lvl + 1 AS lvl, lang, pos // 8 AS pos, sha256(string_agg(digest, '' ORDER BY pos))
+               AS digest, (any_value(n) + 7) // 8 AS n
+        FROM t WHERE n > 1 GROUP BY lvl, lang, pos // 8)),
+u AS (SELECT lang, digest, lvl AS height,
+             row_number() OVER (ORDER BY lang IS NOT NULL, encode(lang)) - 1 AS pos,
+             count(*) OVER () AS n FROM t WHERE n = 1),
+g AS (SELECT 0 AS lvl, pos, digest, n FROM u
+      UNION ALL
+      SELECT lvl, pos, digest, n FROM (
+        SELECT lvl + 1 AS lvl, pos // 8 AS pos, sha256(string_agg(digest, '' ORDER BY pos)) AS digest,
+               (any_value(n) + 7) // 8 AS n
+        FROM g WHERE n > 1 GROUP BY lvl, pos // 8)),
+a AS (SELECT lvl, lang, pos, digest, n, 0 AS high FROM t WHERE n > 1
+      UNION ALL SELECT height + lvl, u.lang, g.pos, g.digest, g.n, 1 FROM g, u WHERE g.n > 1),
+s AS (SELECT lvl, lang, pos, high,
+             coalesce(string_agg(digest, '' ORDER BY pos) OVER (PARTITION BY lvl, lang, high, pos // 8
+               ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+             coalesce(string_agg(digest, '' ORDER BY pos) OVER (PARTITION BY lvl, lang, high, pos // 8
+               ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+      FROM a),
+w AS (SELECT r.doc_id, r.lang, r.pos AS leaf_pos, leaf, r.pos, u.pos AS group_pos, u.height, 0 AS lvl,
+             CASE WHEN crc % 3 = 0 THEN low_leaf ELSE leaf END AS node, '' AS proof
+      FROM r JOIN u ON r.lang IS NOT DISTINCT FROM u.lang
+      UNION ALL
+      SELECT w.doc_id, w.lang, leaf_pos, leaf,
+             CASE WHEN w.lvl + 1 = height THEN group_pos ELSE w.pos // 8 END, group_pos, height,
+             w.lvl + 1, sha256(s.l || node || s.r), proof || s.l || s.r
+      FROM w JOIN s ON s.lvl = w.lvl AND s.lang IS NOT DISTINCT FROM w.lang
+        AND s.high = (w.lvl >= height)::INT
+        AND s.pos = CASE WHEN w.lvl = 0 AND height = 0 THEN group_pos ELSE w.pos END),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang, leaf_pos ORDER BY lvl DESC) AS last FROM w),
+top AS (SELECT digest AS root FROM g WHERE n = 1)
+SELECT z.doc_id, leaf, u.digest AS subroot, root, sha256(proof) AS proof_sha256,
+       node AS folded_root, node = root AS verified
+FROM z JOIN u ON z.lang IS NOT DISTINCT FROM u.lang, top WHERE last = 1
 """,
 }
