@@ -15,6 +15,7 @@ from .jaccard import jaccard_components
 from .merkle import verified_manifest
 from .mixing import mix
 from .naming import exact_groups
+from .ordermin import edited_fingerprints
 from .packing import pack
 from .rules import line_rules
 from .sharding import byte_shards
@@ -84,6 +85,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                              ["doc_id", "source", "lang", "n_chars", "text"])
 
 
+def op12_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_line_rules": op2_line_rules,
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mix": op9_source_mix,
     "op10_token_files": op10_token_files,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_order_minhash": op12_order_minhash,
 }
 
 SQL: dict[str, str] = {
@@ -263,5 +269,36 @@ top AS (SELECT digest AS root FROM g WHERE n = 1)
 SELECT z.doc_id, leaf, u.digest AS subroot, root, sha256(proof) AS proof_sha256,
        node AS folded_root, node = root AS verified
 FROM z JOIN u ON z.lang IS NOT DISTINCT FROM u.lang, top WHERE last = 1
+""",
+    "op12_order_minhash": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, count(*) AS times FROM documents GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, md5(text)) AS r, count(*) OVER () AS n
+      FROM d),
+e AS (SELECT a.doc_id, a.times, a.r, b.r AS next_r, a.text, length(a.text)::BIGINT AS n_chars,
+             left(a.text, length(a.text) - length(a.text) // 4) || left(b.text, length(a.text) // 4)
+             AS edited
+      FROM o AS a JOIN o AS b ON b.r = a.r % a.n + 1),
+w AS (SELECT r, kind, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w
+      FROM (SELECT r, 0 AS kind, text FROM e UNION ALL SELECT r, 1, edited FROM e)),
+k AS (SELECT r, kind, unnest(range(1, greatest(1, len(w) - 1) + 1)) AS p, w FROM w WHERE len(w) > 0),
+h AS (SELECT r, kind, p, ('0x' || left(md5(array_to_string(w[p:p + 1], ' ')), 15))::BIGINT AS h
+      FROM k),
+u AS (SELECT *, CASE WHEN occ = 0 THEN h ELSE ('0x' || left(md5(h || '#' || occ), 15))::BIGINT END AS u
+      FROM (SELECT *, row_number() OVER (PARTITION BY r, kind, h ORDER BY p) - 1 AS occ FROM h)),
+m AS (SELECT j, ('0x' || left(md5(j::VARCHAR), 15))::BIGINT AS mask FROM range(16) AS t(j)),
+b AS (SELECT r, kind, j, list_sort(min_by({'p': p, 'h': h}, xor(u, mask), 2)) AS t
+      FROM u, m GROUP BY r, kind, j),
+s AS (SELECT r, kind, list(left(md5(array_to_string(list_transform(t, lambda x: x.h::VARCHAR), ',')),
+                                8) ORDER BY j) AS parts
+      FROM b GROUP BY r, kind),
+f AS (SELECT w.r, w.kind, coalesce(parts, list_transform(range(16), lambda j: left(md5(''), 8)))
+             AS parts
+      FROM w LEFT JOIN s ON s.r = w.r AND s.kind = w.kind)
+SELECT e.doc_id, n_chars, sha256(edited) AS edited_sha256,
+       array_to_string(a.parts, '') AS fingerprint, array_to_string(c.parts, '') AS edited_fingerprint,
+       len(list_filter(range(1, 17), lambda j: a.parts[j] = c.parts[j])) / 16.0::DOUBLE AS near_edited,
+       len(list_filter(range(1, 17), lambda j: a.parts[j] = b.parts[j])) / 16.0::DOUBLE AS near_next
+FROM e JOIN f AS a ON a.r = e.r AND a.kind = 0 JOIN f AS c ON c.r = e.r AND c.kind = 1
+JOIN f AS b ON b.r = e.next_r AND b.kind = 0, range(times)
 """,
 }
