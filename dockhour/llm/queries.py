@@ -17,6 +17,7 @@ from .mixing import mix
 from .naming import exact_groups
 from .ordermin import edited_fingerprints
 from .packing import pack
+from .prefixtrie import conversation_trie
 from .rules import line_rules
 from .sharding import byte_shards
 from .substrings import remove_repeated_windows
@@ -89,6 +90,10 @@ def op12_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_line_rules": op2_line_rules,
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_files": op10_token_files,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_order_minhash": op12_order_minhash,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 SQL: dict[str, str] = {
@@ -300,5 +306,39 @@ SELECT e.doc_id, n_chars, sha256(edited) AS edited_sha256,
        len(list_filter(range(1, 17), lambda j: a.parts[j] = b.parts[j])) / 16.0::DOUBLE AS near_next
 FROM e JOIN f AS a ON a.r = e.r AND a.kind = 0 JOIN f AS c ON c.r = e.r AND c.kind = 1
 JOIN f AS b ON b.r = e.next_r AND b.kind = 0, range(times)
+""",
+    "op13_prefix_trie": r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+           FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id, turn, md5(strlen(role) || ':' || role || text) AS k, length(text) AS chars FROM t),
+o AS (SELECT conv_id, k, chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k)
+             - 1 AS i FROM k),
+c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS base,
+             xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(
+                   string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                 lambda a, b: list_reduce(list_concat([xor(a, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                   lambda e, z: xor(e >> 1, 3988292384::BIGINT * (e & 1)))), 4294967295) % 6 AS h
+      FROM t),
+b AS (SELECT c.conv_id, 0 AS part, i, k, chars FROM c JOIN o ON o.conv_id = c.base AND i < h
+      UNION ALL SELECT c.conv_id, 1, i, k, chars FROM c JOIN o ON o.conv_id = c.conv_id AND i >= h),
+d AS (SELECT conv_id, 0 AS depth, '' AS p, 0 AS chars FROM c UNION ALL
+      SELECT conv_id, row_number() OVER w, md5(array_to_string(list(k) OVER w, ',')), chars
+      FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY part, i
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+l AS (SELECT *, lag(p) OVER (PARTITION BY conv_id ORDER BY depth) AS up,
+             max(depth) OVER (PARTITION BY conv_id) = depth AS ends FROM d),
+n AS (SELECT p, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(up) AS up,
+             any_value(chars) AS chars, count(*) AS n_convs,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), ''))
+             AS ends_sha256 FROM l GROUP BY p),
+q AS (SELECT up AS p, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+s AS (SELECT l.p, sum((n.n_convs - 1) * n.chars) AS saved_tokens,
+             count(*) FILTER (q.n_children IS NULL) AS n_leaves
+      FROM n LEFT JOIN q ON q.p = n.p JOIN l ON l.conv_id = n.conv_id AND l.depth <= n.depth
+      GROUP BY l.p)
+SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens,
+       n.ends_sha256
+FROM n JOIN s ON s.p = n.p LEFT JOIN q ON q.p = n.p LEFT JOIN n AS u ON u.p = n.up
 """,
 }
