@@ -1027,6 +1027,16 @@ def materialise_table(spark, sf):
     return as_text(kept.table)
 
 
+def ingest_zipped_trips(spark, sf):
+    """A3: trip archives written from the rides, read back in the form of the first city."""
+    side = TD.start_side_rides(spark, sf).withColumnRenamed("rental_id", "ride_id")
+    path = _scratch(spark, sf, "trip_archives")
+    SNK.write_zipped_csv(side.repartition(4, "ride_id"), path)
+    names = ["ride_id", "started_at", "start_station_id", "start_station_name"]
+    trips = SRC.ingest_zipped_trips(spark, f"{path}/*.zip", names, {"ride_id": "rental_id"})
+    return SRC.cut_timestamp_text(trips).drop("source_archive")
+
+
 def write_targets_labels(spark, sf):
     t = _targets(spark, sf)
     from ..session import cut_lineage
@@ -1068,6 +1078,7 @@ QUERIES.update({
     "scan_weather_csv": scan_weather_csv,
     "weather_json_unnest": weather_json_unnest,
     "discover_sources": discover_sources,
+    "ingest_zipped_trips": ingest_zipped_trips,
     "materialise_table": materialise_table,
     "write_targets_labels": write_targets_labels,
     "write_split_files": write_split_files,

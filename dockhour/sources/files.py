@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import csv
 import io
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -151,35 +152,81 @@ def ingest_zipped_trips(spark: SparkSession, pattern: str, columns: list[str],
                         renames: dict[str, str] | None = None) -> DataFrame:
     """A3: ZIP archives -> rows of the first ``.csv`` member not under ``__MACOSX``.
 
-    The archive is the unit of parallelism: ``binaryFile`` gives one row per
-    archive and ``mapInPandas`` unpacks it inside the task (the only Python in
-    the ingest path), emitting the requested columns as strings; typing and
+    Each archive is an input partition.  Its task reads the archive's directory and streams the
+    member in chunks, so neither archive nor member is ever held.  The requested columns come as
+    text (empty text stays empty, bytes that are not UTF-8 become the replacement character), rows
+    too short for the last of them are skipped, archives without a member give none; typing and
     filtering happen afterwards in native expressions."""
-    schema = T.StructType([T.StructField("source_archive", T.StringType())] +
-                          [T.StructField(c, T.StringType()) for c in columns])
-
-    def unzip(batches):
-        import zipfile
-
-        import pandas as pd
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    names = [n for n in z.namelist() if n.endswith(".csv") and not n.startswith("__MACOSX")]
-                    if not names:
-                        continue
-                    with z.open(names[0]) as raw:
-                        for chunk in pd.read_csv(raw, dtype=str, usecols=columns, keep_default_na=False,
-                                                 chunksize=200_000):
-                            chunk = chunk.reindex(columns=columns)
-                            chunk.insert(0, "source_archive", path)
-                            yield chunk
-
-    raw = spark.read.format("binaryFile").load(pattern).select("path", "content")
-    out = raw.mapInPandas(unzip, schema)
+    spark.dataSource.register(zipped_csv_source())
+    # A name with commas and brackets may be part of a path or header, so both travel as JSON.
+    out = (spark.read.format("zipped_csv")
+           .schema(T.StructType([T.StructField(c, T.StringType()) for c in ("source_archive", *columns)]))
+           .option("archives", json.dumps(glob_paths(spark, pattern)))
+           .option("columns", json.dumps(columns)).load())
     return out.withColumnsRenamed(renames) if renames else out
 
 
+def zipped_csv_source(chunk_rows: int = 50_000) -> type:
+    """The data source behind ``ingest_zipped_trips``.  Its classes are made here so that they
+    travel to the workers by value and need no installed package there."""
+    from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+    class Archive(InputPartition):
+        def __init__(self, path: str) -> None:
+            self.path = path
+
+    class Reader(DataSourceReader):
+        def __init__(self, archives: list[str], columns: list[str]) -> None:
+            self.archives, self.columns = archives, columns
+
+        def partitions(self):
+            return [Archive(p) for p in self.archives] or [Archive("")]
+
+        def read(self, partition):
+            if not partition.path:
+                return
+            import csv as text_csv
+            import io as text_io
+            import zipfile
+            from itertools import islice
+
+            import pyarrow as pa
+            from pyarrow import fs
+
+            path = partition.path
+            if path.startswith("file:"):
+                path = "file:///" + path[5:].lstrip("/")
+            system, at = fs.FileSystem.from_uri(path)
+            with system.open_input_file(at) as raw, zipfile.ZipFile(raw) as z:
+                names = [n for n in z.namelist() if n.endswith(".csv") and not n.startswith("__MACOSX")]
+                if not names:
+                    return
+                with z.open(names[0]) as member:
+                    rows = text_csv.reader(text_io.TextIOWrapper(
+                        member, "utf-8-sig", errors="replace", newline=""))
+                    header = next(rows, [])
+                    missing = [c for c in self.columns if c not in header]
+                    if missing:
+                        raise ValueError(f"{partition.path}: no column {missing} in {header}")
+                    at = [header.index(c) for c in self.columns]
+                    whole = (r for r in rows if len(r) > max(at))
+                    while chunk := list(islice(whole, chunk_rows)):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([partition.path] * len(chunk), pa.string()),
+                             *[pa.array([r[i] for r in chunk], pa.string()) for i in at]],
+                            names=["source_archive", *self.columns])
+
+    class ZippedCsv(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return "zipped_csv"
+
+        def reader(self, schema):
+            return Reader(json.loads(self.options["archives"]), json.loads(self.options["columns"]))
+
+    return ZippedCsv
+
+
 def cut_timestamp_text(df: DataFrame, col: str = "started_at") -> DataFrame:
     """A3 (D.C. form): keep the first 19 characters of the time text."""
     return df.withColumn(col, F.substring(col, 1, 19))

@@ -45,3 +45,38 @@ def read_split_files(spark, path: str, schema=None) -> DataFrame:
     if schema is not None:
         r = r.schema(schema)
     return r.csv(path).withColumn("split", F.col("split").cast("string"))
+
+
+def write_zipped_csv(df: DataFrame, path: str) -> None:
+    """One ZIP archive a partition below ``path``, each with one CSV member.
+
+    An archive is written under a temporary name and renamed, so a task that is run again replaces
+    it.  Rows stream through; columns are written as text, null as empty text."""
+    columns = df.columns
+
+    def write(batches):
+        import csv
+        import io
+        import uuid
+        import zipfile
+
+        import pyarrow as pa
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        name = f"part-{TaskContext.get().partitionId():05d}"
+        system, at = fs.FileSystem.from_uri(
+            "file:///" + path[5:].lstrip("/") if path.startswith("file:") else path)
+        system.create_dir(at, recursive=True)
+        loose = f"{at}/_{name}-{uuid.uuid4().hex}"
+        with system.open_output_stream(loose) as raw, zipfile.ZipFile(
+                raw, "w", zipfile.ZIP_DEFLATED) as z, z.open(f"{name}.csv", "w", force_zip64=True) as m:
+            with io.TextIOWrapper(m, "utf-8", newline="") as text:
+                out = csv.writer(text)
+                out.writerow(columns)
+                for b in batches:
+                    out.writerows(zip(*[c.to_pylist() for c in b.columns], strict=True))
+        system.move(loose, f"{at}/{name}.zip")
+        yield pa.RecordBatch.from_arrays([pa.array([f"{name}.zip"])], names=["archive"])
+
+    df.select([df[c].cast("string") for c in columns]).mapInArrow(write, "archive string").count()

@@ -1250,6 +1250,9 @@ SQL["discover_sources"] = q([RIDES, SUPPLEMENTAL], f"""
 SELECT 'a_official.csv' AS source, strftime(started_at, {MIC}) AS started_at, start_station_id, city FROM rides
 UNION ALL
 SELECT 'b_supplemental.csv', strftime(started_at, {MIC}), start_station_id, city FROM supp_rides""")
+SQL["ingest_zipped_trips"] = q([RIDES, START_SIDE], """
+SELECT rental_id::VARCHAR AS rental_id, substr(started_at, 1, 19) AS started_at, start_station_id,
+       start_station_name FROM start_side""")
 SQL["materialise_table"] = SQL["station_hour_table"]
 SQL["write_targets_labels"] = SQL["public_private_split"]
 SQL["write_split_files"] = SQL["load_splits"]

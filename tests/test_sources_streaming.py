@@ -41,6 +41,31 @@ def test_zipped_trips(spark, tmpdir_path):
     assert [(r.ride_id, r.started_at) for r in la] == [("r1", "2024-06-01 10:00:00")]
 
 
+def test_zipped_trips_in_chunks(spark, tmpdir_path):
+    """Many chunks, quoted line breaks, short rows, bad bytes, archives without a member; no reader
+    task holds more than its chunk."""
+    from dockhour.sources.files import zipped_csv_source
+    many = [f'{i},"a\nb, {i}",{i % 7}' for i in range(1000)]
+    with zipfile.ZipFile(os.path.join(tmpdir_path, "many.zip"), "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("other.txt", "no table")
+        z.writestr("in/x.csv", "ride_id,name,k\n" + "\n".join([*many, "short"]) + "\n")
+    with zipfile.ZipFile(os.path.join(tmpdir_path, "bytes.zip"), "w") as z:
+        z.writestr("y.csv", b"k,ride_id,name\n1,r,\xff\n,,\n")
+    with zipfile.ZipFile(os.path.join(tmpdir_path, "none.zip"), "w") as z:
+        z.writestr("__MACOSX/z.csv", "ride_id,name\n")
+    df = SRC.ingest_zipped_trips(spark, os.path.join(tmpdir_path, "*.zip"), ["ride_id", "name"])
+    assert df.rdd.getNumPartitions() == 3
+    got = {(r.source_archive.split("/")[-1], r.ride_id, r.name) for r in df.collect()}
+    assert got == {("many.zip", str(i), f"a\nb, {i}") for i in range(1000)} | {
+        ("bytes.zip", "r", "\ufffd"), ("bytes.zip", "", "")}
+    assert SRC.ingest_zipped_trips(spark, os.path.join(tmpdir_path, "*.gone"), ["a"]).count() == 0
+    source = zipped_csv_source(chunk_rows=64)(options={
+        "archives": f'["{tmpdir_path}/many.zip"]', "columns": '["ride_id", "name"]'})
+    reader = source.reader(None)
+    sizes = [b.num_rows for p in reader.partitions() for b in reader.read(p)]
+    assert max(sizes) == 64 and sum(sizes) == 1000
+
+
 def test_missing_source_directory_is_empty(spark, tmpdir_path):
     assert SRC.discover_sources(spark, os.path.join(tmpdir_path, "nope")) == []
     assert SRC.read_sources(spark, []).count() == 0
