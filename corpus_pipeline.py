@@ -7,6 +7,9 @@ they meet the documents in merge joins at every size.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +22,22 @@ from dockhour.llm.packing import pack
 from dockhour.llm.tokens import vocabulary
 
 
+# The columns that stages look at; all others travel under names that nothing inside uses.
+USED = ("doc_id", "text", "source")
+
+
+def keeps_columns(stage: Callable) -> Callable:
+    """The stage with any further columns, whatever their names, returned unchanged."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        aside = {c: f"further_column_{i}" for i, c in enumerate(docs.columns) if c not in USED}
+        out = stage(spark, docs.withColumnsRenamed(aside), sf_dir)
+        return out.withColumnsRenamed({new: c for c, new in aside.items()})
+
+    return run_stage
+
+
+@keeps_columns
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not reject; null and blank texts stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -26,6 +45,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(~F.col("rejected")).select(*docs.columns)
 
 
+@keeps_columns
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of equal texts; repeated rows become one.
 
@@ -51,6 +71,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*docs.columns)
 
 
+@keeps_columns
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component; five words, similarity 0.8 or more.
 
@@ -77,6 +98,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         *docs.columns))
 
 
+@keeps_columns
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; repeated rows share the larger number."""
     keyed = docs.withColumn("_key", F.xxhash64("doc_id", "source", "text"))
