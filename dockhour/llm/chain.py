@@ -170,8 +170,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, categories: list[str], p
     """Ids, features, labels and weights of at most ``per_class`` labelled rows of each label
     combination; a weight is the inverse of the share taken of its combination, one on average.
 
-    Rows are taken in the order of a hash of the id.  Rows without an id or with a null label are
-    left out; of an id's several label rows the largest values count.
+    Rows are taken in the order of a hash of the id.  Rows without an id, with a null label or one
+    other than 0 and 1 are left out; of an id's several label rows the largest values count, of its
+    several texts the smallest, so each id is one row of the sample however often it is listed.
     """
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), *[
         F.col(c).cast("int") for c in categories]).dropna().groupBy("doc_id").agg(
@@ -198,7 +199,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, categories: list[str], p
                                       names=["doc_id", *categories, "features"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = (texts.join(F.broadcast(chosen), "doc_id").mapInArrow(
+    rows = (texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", *categories).agg(
+        F.min("text").alias("text")).mapInArrow(
         extract, "doc_id long, " + "".join(f"{c} int, " for c in categories) + "features binary")
         .collect())
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["features"])))
@@ -252,7 +254,8 @@ def score_documents(docs: DataFrame, labels: DataFrame,
 
     The chain is fitted on ``labels`` (one 0/1 column for each category) and applied to every whole
     text; the last category decides.  Texts without features (null, blank, symbols only) get the
-    chain's base probabilities and are never rejected.  Every input row gives one row.
+    chain's base probabilities and are never rejected.  Every input row gives one row; columns of
+    ``docs`` named ``scores`` or ``rejected`` are replaced.
     """
     names = list(categories)
     ship(docs.sparkSession)

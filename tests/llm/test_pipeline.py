@@ -33,6 +33,31 @@ def test_near_stage_keeps_one_of_each_group(spark):
     assert sorted(r["doc_id"] for r in out.collect()) == sorted(want)
 
 
+INSIDE = ["scores", "rejected", "_key", "_variant", "_copies", "_copy", "_id", "doc", "key", "node",
+          "variant", "times", "kept", "copies", "n_chars", "lang"]
+
+
+def test_stages_return_their_columns_unchanged(spark, tmpdir_path):
+    """Names that stages or operators use inside, null ids, repeated rows: whole rows come back."""
+    rows, labels = labelled(spark, 120, 6)
+    spark.createDataFrame([(i, 1 - q, t) for i, q, t in labels],
+                          "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmpdir_path}/labels.parquet")
+    full = [(i, t, s, *[f"{c} {n}" for c in INSIDE])
+            for n, (i, t, s) in enumerate([*rows[:60], *corpus(), rows[0]])]
+    full.append(full[0])
+    schema = "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in INSIDE)
+    docs = spark.createDataFrame(full, schema)
+    have = collections.Counter(full)
+    for name, stage in P.STAGES[:4]:
+        out = stage(spark, docs, tmpdir_path)
+        assert out.schema == docs.schema, name
+        got = collections.Counter(map(tuple, out.collect()))
+        most = 3 if name == "source_mix" else 1
+        assert got and all(n <= most * have[r] for r, n in got.items()), name
+        assert stage(spark, docs.limit(0), tmpdir_path).collect() == [], name
+
+
 def test_mix_stage_repeats_rows(spark):
     docs = make(spark, corpus())
     out = P.source_mix(spark, docs, "")

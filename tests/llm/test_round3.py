@@ -8,7 +8,7 @@ import corpus_pipeline as P
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from dockhour.llm.chain import score_documents
+from dockhour.llm.chain import labelled_sample, score_documents
 from dockhour.llm.queries import op2_line_rules
 from dockhour.llm.template import extract_main_text
 from dockhour.llm.tokens import WordEncoder, vocabulary
@@ -119,3 +119,21 @@ def test_sampled_labels_keep_the_share_of_toxic_rows_and_blank_texts_stay(spark)
     every = spark.createDataFrame([(i, 0, 1) for i in range(400)], schema)
     out = score_documents(make(spark, rows), every).collect()
     assert {r["doc_id"] for r in out if not r["rejected"]} == {900, 901, 902}
+
+
+def test_an_id_listed_often_is_one_row_of_the_sample(spark):
+    """Listing one labelled document 500 times more changes no score and collects no more rows."""
+    rng = random.Random(5)
+    rows = [(i, prose(rng, 60) + (" vile nasty" if i % 4 == 0 else ""), "s") for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), int(i % 4 == 0)) for i in range(100)] + [
+        (150, 7, 0), (151, None, 1)], "doc_id long, low_quality int, toxic int")
+    ids, _, _, weights = labelled_sample(make(spark, [*rows, *[rows[1]] * 500]), labels,
+                                         ["low_quality", "toxic"], 2000, "doc_id", "text")
+    assert sorted(ids) == list(range(100)) and len(weights) == 100
+
+    def scores(some):
+        found = score_documents(make(spark, some, clash=False), labels).select("doc_id", "scores")
+        return {r["doc_id"]: tuple(r["scores"]) for r in found.collect()}
+
+    assert scores(rows) == scores([*rows, *[rows[1]] * 500])
+    assert scores([]) == {}
