@@ -607,6 +607,25 @@ def leaderboard_failures(spark, sf):
     return failures
 
 
+def holdout_report(spark, sf):
+    """K6's report on the predictions of the first model."""
+    labels, preds = _scored(spark, sf)
+    pred = labels.join(preds.filter("model = 'm1'").select("id", "prediction"), "id", "left")
+    seen = pred.select("city").filter(F.col("city") != TD.TESTDATA_HOLDOUT_CITY).distinct()
+    return _r6(SC.holdout_report(pred, [r["city"] for r in seen.collect()], "city"),
+               ["mae", "rmse", "mean_true", "mean_pred"])
+
+
+def repeated_runs(spark, sf):
+    """V5's comparison: a model against itself on re-ordered rows, and against another model."""
+    labels, preds = _scored(spark, sf)
+    first = preds.filter("model = 'm1'")
+    again = TD.predictions(P.shuffle_rows(labels, ["id"])).filter("model = 'm1'")
+    parts = [V.repeatable_predictions(first, other).withColumn("runs", F.lit(name))
+             for name, other in (("same model", again), ("other model", preds.filter("model = 'm2'")))]
+    return parts[0].unionByName(parts[1])
+
+
 TE_COLS_ = ["te_city", "te_city_how", "te_station", "te_station_how"]
 
 QUERIES.update({
@@ -638,6 +657,8 @@ QUERIES.update({
     "leaderboard_sort": leaderboard_sort,
     "multi_model_leaderboard": multi_model_leaderboard,
     "leaderboard_failures": leaderboard_failures,
+    "holdout_report": holdout_report,
+    "repeated_runs": repeated_runs,
 })
 
 

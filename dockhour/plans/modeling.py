@@ -11,6 +11,7 @@ from ..operators import encoding as TE
 from ..operators import features as FE
 from ..operators import splits as P
 from ..operators.quality import repeatable_predictions
+from ..operators.scoring import holdout_report
 from ..functions.time import time_parts
 
 KEYS = M.KEYS
@@ -66,7 +67,7 @@ def bakeoff(train: DataFrame, evaluation: DataFrame, holdout_city: str, sample_f
 def score_holdout(pool: DataFrame, train_cities, unseen_cities, val_fraction: float = 0.2,
                   iters: int = 600, gate_iters: int = 400) -> DataFrame:
     """K6: train the ensemble on the in-distribution cities' train part, score their
-    val part and every row of the unseen cities; per-city MAE."""
+    val part and every row of the unseen cities; per city its role, MAE, RMSE and means."""
     ind = pool.filter(F.col("city_key").isin(list(train_cities)))
     unseen = pool.filter(F.col("city_key").isin(list(unseen_cities)))
     if ind.join(unseen.select("city_key").distinct(), "city_key", "left_semi").limit(1).count():
@@ -79,7 +80,7 @@ def score_holdout(pool: DataFrame, train_cities, unseen_cities, val_fraction: fl
     model = M.train_ensemble(train, iters=iters, gate_iters=gate_iters)
     evaluation = val.unionByName(unseen, allowMissingColumns=True)
     pred = M.predict_ensemble(model, evaluation, KEYS + ["demand"])
-    return M.per_city_mae(pred)
+    return holdout_report(pred, train_cities)
 
 
 def repeatable(model: M.EnsembleModel, df: DataFrame) -> DataFrame:

@@ -700,6 +700,16 @@ _LB = """SELECT model, city, n_rows, CAST(round_even(mae, 6) AS DOUBLE) AS mae,
        negative_predictions_before_clipping FROM summary"""
 SQL["leaderboard_sort"] = q(TARGET_CTES + [PREDS, SCORED, summary_cte(rnd=False)], _LB)
 SQL["multi_model_leaderboard"] = q(TARGET_CTES + [PREDS, SCORED, summary_cte(rnd=False)], _LB)
+SQL["holdout_report"] = q(TARGET_CTES + [PREDS], """
+SELECT city, CASE WHEN city = 'error' THEN 'unseen' ELSE 'in-dist' END AS role, count(*) AS n_rows,
+       round(avg(abs(p - demand)), 6) + 0.0 AS mae, round(sqrt(avg((p - demand) ** 2)), 6) + 0.0 AS rmse,
+       round(avg(demand), 6) + 0.0 AS mean_true, round(avg(p), 6) + 0.0 AS mean_pred
+FROM (SELECT l.city, CAST(l.demand AS DOUBLE) AS demand, greatest(prediction, CAST(0 AS DOUBLE)) AS p
+      FROM labels AS l JOIN preds USING (id) WHERE model = 'm1') GROUP BY city""")
+SQL["repeated_runs"] = q(TARGET_CTES + [PREDS], """
+SELECT CASE WHEN b.model = 'm1' THEN 'same model' ELSE 'other model' END AS runs, count(*) AS n_rows,
+       0::BIGINT AS n_unmatched, count(*) FILTER (abs(a.prediction - b.prediction) > 1e-9) AS n_different
+FROM preds AS a JOIN preds AS b USING (id) WHERE a.model = 'm1' GROUP BY b.model""")
 SQL["leaderboard_failures"] = q(TARGET_CTES + [PREDS3], """
 SELECT model, n_rows, n_missing, n_nan, n_infinite, n_negative, expected_rows, false AS ok
 FROM (
