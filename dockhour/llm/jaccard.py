@@ -2,12 +2,13 @@
 
 1. Every set sends its signatures, packed by partition, to the partition of the signature; equal
    sets of one task send them once.
-2. A signature's holders are paired: all pairs in small groups, a star around one holder in large
-   ones.  Pairs that a lower bound on their difference rules out are dropped, the rest is compared
-   set by set.
-3. Large groups with the same star centre are taken together.  Where their holders do not all carry
-   one label of a connected part yet, holders with different labels are compared too, again with
-   the lower bound first: in blocks, and each pair only under the smallest centre that both have.
+2. A signature's holders are paired: all pairs in small groups.  A large group is a crowd around one
+   of its holders; each holder is paired with the STARS centres that it meets most often.  Pairs that
+   a lower bound on their difference rules out are dropped, the rest is compared set by set.
+3. Large groups with the same centre are taken together.  Where their holders do not all carry one
+   label of a connected part yet, holders with different labels are compared too, again with the
+   lower bound first: in blocks, and each pair only under the smallest centre that both have.  This
+   step covers every pair that the stars leave out.
 
 Only documents of pairs that pass the lower bound have their sets written and shuffled.
 """
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bitmaps import cells_of, members, test
@@ -28,7 +29,9 @@ from .shingles import Sets, mix, shingle_sets, word_prints
 from .tokens import slices
 
 ALL_PAIRS_UP_TO = 4
+STARS, LABEL_ROUNDS = 4, 4
 BLOCK = 1024
+COLUMNS, PAIRS = 512, 1 << 16
 LEAST_CELLS, PER_CELL = 128, 4
 FLUSH = 1_500_000
 FOUND = "kind int, a long, b long, doc_id long, n long, f1 long, f2 long, profile binary"
@@ -136,17 +139,27 @@ def _unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return lo[fresh], hi[fresh]
 
 
-def _found(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+def _counted_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    fresh = np.ones(len(a), dtype=bool)
+    fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    first = np.flatnonzero(fresh)
+    return a[first], b[first], np.diff(np.append(first, len(a)))
+
+
+def _found(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> pa.RecordBatch:
     none = pa.nulls(len(a), pa.int64())
     return pa.record_batch([pa.array(np.full(len(a), kind, np.int32)), pa.array(a, pa.int64()),
-                            pa.array(b, pa.int64()), none, none, none, none,
+                            pa.array(b, pa.int64()), none,
+                            none if n is None else pa.array(n, pa.int64()), none, none,
                             pa.nulls(len(a), pa.binary())],
                            names=["kind", "a", "b", "doc_id", "n", "f1", "f2", "profile"])
 
 
 def _first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of small groups (kind 1), and holders of large groups with their centre (kind 2), of a
-    partition; document rows pass."""
+    """Pairs of small groups (kind 1), and holders of large groups with their centre and how often
+    they meet it (kind 2), of a partition; document rows pass."""
     held = []
     for b in batches:
         for bucket, sig, node, rows in zip(b["bucket"].to_pylist(), b["signature"], b["node"],
@@ -173,42 +186,76 @@ def _first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if left:
         yield _found(1, *_unique_pairs(np.concatenate(left), np.concatenate(right)))
     if large:
-        yield _found(2, *np.unique(np.concatenate(large, axis=1), axis=1))
+        yield _found(2, *_counted_pairs(*np.concatenate(large, axis=1)))
+
+
+def _owned(centers: pa.ListArray, center: int) -> np.ndarray:
+    """Which pairs of rows have no centre below ``center`` in common."""
+    own = np.ones((len(centers), len(centers)), dtype=bool)
+    flat = centers.flatten().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(centers)), centers.value_lengths().to_numpy(zero_copy_only=False))
+    below = flat < center
+    names, column, count = np.unique(flat[below], return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(count > 1)
+    place = np.full(len(names), -1)
+    place[shared] = np.arange(len(shared))
+    row, column = row[below], place[column]
+    for start in range(0, len(shared), COLUMNS):
+        some = (column >= start) & (column < start + COLUMNS)
+        held = np.zeros((len(centers), COLUMNS), dtype=np.float32)
+        held[row[some], column[some] - start] = 1
+        own &= (held @ held.T) == 0
+    return own
+
+
+def _crossing(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one block pair with different labels that the lower bound lets through."""
+    block, node, root, n = (group[c].to_numpy() for c in ("block", "node", "root", "n"))
+    center, low, high = (group[c][0].as_py() for c in ("center", "low", "high"))
+    may = _may_differ(n[:, None], n[None, :], percent)
+    ok = (root[:, None] != root[None, :]) & (np.abs(n[:, None] - n[None, :]) <= may)
+    if low == high:
+        ok &= np.tri(len(n), k=-1, dtype=bool).T
+    else:
+        ok &= (block == low)[:, None] & (block == high)[None, :]
+    if ok.any():
+        ok &= _owned(group["centers"].combine_chunks(), center)
+    i, j = np.nonzero(ok)
+    if not len(i):
+        return i, j
+    profile = [np.frombuffer(p.as_buffer(), np.uint8) for p in group["profile"]]
+    cells = min(len(p) for p in profile)
+    folded = np.stack([_fold(p, cells) for p in profile])
+    near = np.concatenate([
+        np.abs(folded[i[at:at + PAIRS]] - folded[j[at:at + PAIRS]]).sum(axis=1)
+        for at in range(0, len(i), PAIRS)]) <= may[i, j]
+    return node[i[near]], node[j[near]]
 
 
 def _second_round(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of holders with different labels that the lower bound lets through."""
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        table = pa.Table.from_batches(held).combine_chunks()
-        table = table.sort_by([(c, "ascending") for c in ("center", "low", "high")])
-        center, low, high, block, node, root, n = (table[c].to_numpy() for c in (
-            "center", "low", "high", "block", "node", "root", "n"))
-        profile = [np.frombuffer(p.as_buffer(), np.uint8) for p in table["profile"]]
-        centers = [frozenset(c.as_py()) for c in table["centers"]]
-        new = np.ones(len(node), dtype=bool)
-        new[1:] = (center[1:] != center[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-        first = np.flatnonzero(new)
-        left, right = [], []
-        for f, e in zip(first, np.append(first, len(node))[1:], strict=True):
-            at = np.arange(f, e)
-            cells = min(len(profile[i]) for i in at)
-            folded = np.stack([_fold(profile[i], cells) for i in at])
-            for x in at[block[at] == low[f]]:
-                may = _may_differ(n[x], n[at], percent)
-                ok = (root[at] != root[x]) & (np.abs(n[at] - n[x]) <= may)
-                ok &= (at > x) if low[f] == high[f] else (block[at] == high[f])
-                near = np.flatnonzero(ok)
-                near = near[np.abs(folded[near] - folded[x - f]).sum(axis=1) <= may[near]]
-                for y in at[near]:
-                    if min(centers[x] & centers[y]) == center[f]:
-                        left.append(node[x])
-                        right.append(node[y])
-        if left:
-            a, b = _unique_pairs(np.array(left), np.array(right))
-            yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+        """``_crossing`` of each block pair; rows come sorted by it, one is held at a time."""
+        def groups() -> Iterator[pa.Table]:
+            rest = None
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                table = pa.Table.from_batches([batch])
+                table = table if rest is None else pa.concat_tables([rest, table])
+                center, low, high = (table[c].to_numpy() for c in ("center", "low", "high"))
+                new = (center[1:] != center[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+                first = np.concatenate(([0], np.flatnonzero(new) + 1))
+                for f, e in zip(first[:-1], first[1:], strict=True):
+                    yield table.slice(f, e - f)
+                rest = table.slice(first[-1])
+            if rest is not None:
+                yield rest
+
+        for group in groups():
+            a, b = _crossing(group, percent)
+            if len(a):
+                a, b = _unique_pairs(a, b)
+                yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return run
 
@@ -337,14 +384,21 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     reps = written(rows.filter("n > 0").select("node", "f1", "f2", "n")
                    .join(classes, ["f1", "f2", "n"]).select("node", "rep").distinct(), "set-reps")
 
-    def by_rep(pairs: DataFrame, label: str) -> DataFrame:
+    def by_rep(pairs: DataFrame) -> DataFrame:
         a = reps.select(F.col("node").alias("a"), F.col("rep").alias("ra"))
         b = reps.select(F.col("node").alias("b"), F.col("rep").alias("rb"))
-        return written(pairs.select("a", "b").distinct().join(a, "a").join(b, "b").select(
-            F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
-            .filter("a <> b").distinct(), label)
-
-    pairs = by_rep(found.filter("kind > 0"), "pairs")
+        return pairs.join(a, "a").join(b, "b").select(
+            F.col("ra").alias("a"), F.col("rb").alias("b"), *pairs.columns[2:])
+
+    held = written(by_rep(found.filter("kind = 2").groupBy("a", "b").agg(F.sum("n").alias("met")))
+                   .groupBy(F.col("a").alias("node"), F.col("b").alias("center"))
+                   .agg(F.sum("met").alias("met")), "holders")
+    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("met"), "center"))
+    stars = held.filter("node <> center").withColumn("rank", rank).filter(F.col("rank") <= STARS)
+    small = by_rep(found.filter("kind = 1").select("a", "b").distinct()).filter("a <> b")
+    pairs = written(small.unionByName(stars.select(F.col("node").alias("a"), F.col("center").alias("b")))
+                    .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
+                    "pairs")
     light = written(found.filter("kind = 0 AND n > 0").select(F.col("a").alias("node"), "n", "profile")
                     .join(reps.select(F.col("rep").alias("node")).distinct(), "node"), "profiles")
     side = {s: light.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"),
@@ -353,11 +407,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
                     .mapInArrow(_bounded(percent), "a long, b long"), "close-pairs")
     equal = reps.select(F.col("node").alias("a"), F.col("rep").alias("b"))
     links = _links(d, close, k, percent, log2_filter, "star")
-    labels = shared_labels(links)
+    labels = shared_labels(links, LABEL_ROUNDS)
 
-    crowd = written(found.filter("kind = 2").select(F.col("a").alias("node"), F.col("b").alias("center"))
-                    .distinct().join(reps, "node").select("center", F.col("rep").alias("node"))
-                    .distinct().join(labels, "node", "left")
+    crowd = written(held.select("center", "node").join(labels, "node", "left")
                     .select("center", "node", F.coalesce("root", "node").alias("root")), "crowds")
     mixed = written(crowd.groupBy("center").agg(
         F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"))
@@ -370,8 +422,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "center", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         "block", "node", "root", "n", "profile", "centers")
-    again = cells.repartition(buckets, "center", "low", "high").mapInArrow(
-        _second_round(percent), "a long, b long")
+    again = cells.repartition(buckets, "center", "low", "high").sortWithinPartitions(
+        "center", "low", "high").mapInArrow(_second_round(percent), "a long, b long")
     more = _links(d, written(again.join(pairs, ["a", "b"], "left_anti"), "cross-pairs"), k, percent,
                   log2_filter, "cross")
     roots = components(links.unionByName(more).unionByName(equal))
