@@ -8,7 +8,8 @@
 3. Large groups with the same centre are taken together.  Where their holders do not all carry one
    label of a connected part yet, holders with different labels are compared too, again with the
    lower bound first: in blocks, and each pair only under the smallest centre that both have.  This
-   step covers every pair that the stars leave out.
+   runs twice: the nearest pair of each holder gives new labels, then all pairs that are still apart
+   are taken, so a crowd with many links does not have all of them compared set by set.
 
 Only documents of pairs that pass the lower bound have their sets written and shuffled.
 """
@@ -208,8 +209,15 @@ def _owned(centers: pa.ListArray, center: int) -> np.ndarray:
     return own
 
 
-def _crossing(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one block pair with different labels that the lower bound lets through."""
+def _nearest(i: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """The place of the least ``far`` of each ``i``."""
+    order = np.lexsort((far, i))
+    return order[np.flatnonzero(np.concatenate(([True], i[order][1:] != i[order][:-1])))]
+
+
+def _crossing(group: pa.Table, percent: int, probe: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one block pair with different labels that the lower bound lets through; with
+    ``probe`` the nearest of them for each row."""
     block, node, root, n = (group[c].to_numpy() for c in ("block", "node", "root", "n"))
     center, low, high = (group[c][0].as_py() for c in ("center", "low", "high"))
     may = _may_differ(n[:, None], n[None, :], percent)
@@ -226,13 +234,19 @@ def _crossing(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
     profile = [np.frombuffer(p.as_buffer(), np.uint8) for p in group["profile"]]
     cells = min(len(p) for p in profile)
     folded = np.stack([_fold(p, cells) for p in profile])
-    near = np.concatenate([
+    far = np.concatenate([
         np.abs(folded[i[at:at + PAIRS]] - folded[j[at:at + PAIRS]]).sum(axis=1)
-        for at in range(0, len(i), PAIRS)]) <= may[i, j]
-    return node[i[near]], node[j[near]]
+        for at in range(0, len(i), PAIRS)])
+    near = far <= may[i, j]
+    i, j, far = i[near], j[near], far[near]
+    if probe and len(i):
+        part = far / (n[i] + n[j])
+        some = np.union1d(_nearest(i, part), _nearest(j, part))
+        i, j = i[some], j[some]
+    return node[i], node[j]
 
 
-def _second_round(percent: int):
+def _second_round(percent: int, probe: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """``_crossing`` of each block pair; rows come sorted by it, one is held at a time."""
         def groups() -> Iterator[pa.Table]:
@@ -252,7 +266,7 @@ def _second_round(percent: int):
                 yield rest
 
         for group in groups():
-            a, b = _crossing(group, percent)
+            a, b = _crossing(group, percent, probe)
             if len(a):
                 a, b = _unique_pairs(a, b)
                 yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
@@ -407,24 +421,30 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
                     .mapInArrow(_bounded(percent), "a long, b long"), "close-pairs")
     equal = reps.select(F.col("node").alias("a"), F.col("rep").alias("b"))
     links = _links(d, close, k, percent, log2_filter, "star")
-    labels = shared_labels(links, LABEL_ROUNDS)
-
-    crowd = written(held.select("center", "node").join(labels, "node", "left")
-                    .select("center", "node", F.coalesce("root", "node").alias("root")), "crowds")
-    mixed = written(crowd.groupBy("center").agg(
-        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"))
-        .filter("lo < hi").select("center", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")),
-        "mixed")
-    live = written(crowd.join(mixed, "center").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "live")
-    met = live.groupBy("node").agg(F.collect_list("center").alias("centers"))
-    cells = live.join(met, "node").join(light, "node").withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "center", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        "block", "node", "root", "n", "profile", "centers")
-    again = cells.repartition(buckets, "center", "low", "high").sortWithinPartitions(
-        "center", "low", "high").mapInArrow(_second_round(percent), "a long, b long")
-    more = _links(d, written(again.join(pairs, ["a", "b"], "left_anti"), "cross-pairs"), k, percent,
+    def crossing(labels: DataFrame, known: DataFrame, label: str) -> DataFrame:
+        """Pairs of holders of one crowd with different labels, but for those in ``known``."""
+        crowd = written(held.select("center", "node").join(labels, "node", "left")
+                        .select("center", "node", F.coalesce("root", "node").alias("root")),
+                        f"{label}-crowds")
+        mixed = written(crowd.groupBy("center").agg(
+            F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"))
+            .filter("lo < hi").select("center", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")),
+            f"{label}-mixed")
+        live = written(crowd.join(mixed, "center").withColumn(
+            "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), f"{label}-live")
+        met = live.groupBy("node").agg(F.collect_list("center").alias("centers"))
+        cells = live.join(met, "node").join(light, "node").withColumn(
+            "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+            "center", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+            "block", "node", "root", "n", "profile", "centers")
+        again = cells.repartition(buckets, "center", "low", "high").sortWithinPartitions(
+            "center", "low", "high").mapInArrow(
+            _second_round(percent, label == "probe"), "a long, b long")
+        return written(again.join(known, ["a", "b"], "left_anti"), f"{label}-pairs")
+
+    near = crossing(shared_labels(links, LABEL_ROUNDS), pairs, "probe")
+    links = links.unionByName(_links(d, near, k, percent, log2_filter, "probe"))
+    more = _links(d, crossing(components(links), pairs.unionByName(near), "cross"), k, percent,
                   log2_filter, "cross")
     roots = components(links.unionByName(more).unionByName(equal))
 
