@@ -8,6 +8,7 @@ each with the rows' margins after it, so a fit that dies goes on after its last
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import md5
 from math import log
 
 import numpy as np
@@ -83,24 +84,29 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def fit_poisson(train: DataFrame, features, folder: str, label: str = "demand",
                 weight: str | None = None, rounds: int = 1500, step: float = 0.03, depth: int = 5,
                 bins: int = 64, least_rows: int = 1, chunk: int = 25, seed: int = 42) -> PoissonModel:
-    """Fit ``rounds`` trees, in chunks written below ``folder`` (a shared folder of this fit alone).
+    """Fit ``rounds`` trees, in chunks written below ``folder`` (a shared folder).
 
-    Called again with the same arguments, it goes on after the last whole chunk.  Rows whose label
-    is null or NaN, or whose weight is null, NaN or not above 0, do not take part.  A negative label
-    or a table without rows raises ``ValueError``.  Other columns of ``train`` are not read.
+    Called again on the same rows with the same arguments, it goes on after the last whole chunk;
+    other rows or arguments start a fit of their own.  Rows whose label is null or NaN, or whose
+    weight is null, NaN or not above 0, do not take part.  A negative label or a table without rows
+    raises ``ValueError``.  Other columns of ``train`` are not read.
     """
     spark, features = train.sparkSession, list(features)
-    n_inputs = 2 * len(features)
+    inputs = [f"x{i}" for i in range(2 * len(features))]
+    w = F.lit(1.0) if weight is None else F.col(f"`{weight}`").cast("double")
+    d = train.select(F.col(f"`{label}`").cast("double").alias("y"), w.alias("w"),
+                     *[c.alias(x) for c, x in zip(_inputs(features), inputs, strict=True)])
+    d = d.filter("y IS NOT NULL AND NOT isnan(y) AND w IS NOT NULL AND NOT isnan(w) AND w > 0")
+    least, mean, count, prints = d.agg(
+        F.min("y"), F.sum(F.col("w") * F.col("y")) / F.sum("w"), F.count(F.lit(1)),
+        F.sum(F.xxhash64("y", "w", *inputs).cast("decimal(20,0)"))).first()
+    if least is None or least < 0:
+        raise ValueError("no row to fit on" if least is None else "a count is negative")
+    told = repr((features, label, weight, step, depth, bins, least_rows, chunk, seed, count, prints))
+    folder = f"{folder}/{md5(told.encode()).hexdigest()}"
     start = f"{folder}/rows-0"
     if not _exists(spark, f"{start}/_SUCCESS"):
-        w = F.lit(1.0) if weight is None else F.col(f"`{weight}`").cast("double")
-        d = train.select(F.col(f"`{label}`").cast("double").alias("y"), w.alias("w"),
-                         *[c.alias(f"x{i}") for i, c in enumerate(_inputs(features))])
-        d = d.filter("y IS NOT NULL AND NOT isnan(y) AND w IS NOT NULL AND NOT isnan(w) AND w > 0")
-        least, mean = d.agg(F.min("y"), F.sum(F.col("w") * F.col("y")) / F.sum("w")).first()
-        if least is None or least < 0:
-            raise ValueError("no row to fit on" if least is None else "a count is negative")
-        (VectorAssembler(inputCols=[f"x{i}" for i in range(n_inputs)], outputCol="x").transform(d)
+        (VectorAssembler(inputCols=inputs, outputCol="x").transform(d)
          .select("x", "y", "w", F.lit(log(max(mean, LEAST_MEAN))).alias("base"))
          .withColumn("margin", F.col("base")).write.mode("overwrite").parquet(start))
     base = spark.read.parquet(start).select("base").first()[0]

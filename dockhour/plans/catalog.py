@@ -1125,7 +1125,7 @@ def train_baseline(spark, sf):
     keep = TKEYS + ["demand"]
     tr = FE.build_features(TE.te_transform(train.withColumn("how", _tp("ts")["how"]), enc), "baseline", keep=keep)
     te = FE.build_features(TE.te_transform(ev.withColumn("how", _tp("ts")["how"]), enc), "baseline", keep=keep)
-    model = ML.train_baseline(tr, FE.feature_groups()["baseline"])
+    model = ML.train_boosted_baseline(tr, FE.feature_groups()["baseline"], _scratch(spark, sf, "poisson_baseline"))
     return as_text(model.transform(te).select(*TKEYS, "demand", "prediction"))
 
 
@@ -1135,7 +1135,8 @@ def weighted_fit(spark, sf):
     keep = TKEYS + ["demand", "weight"]
     tr = FE.build_features(train, "no_identity", keep=keep)
     te = FE.build_features(ev, "no_identity", keep=TKEYS + ["demand"])
-    model = ML.train_baseline(tr, FE.feature_groups()["no_identity"], weight="weight")
+    model = ML.train_boosted_baseline(tr, FE.feature_groups()["no_identity"], _scratch(spark, sf, "poisson_weighted"),
+                                      weight="weight")
     return as_text(model.transform(te).select(*TKEYS, "demand", "prediction"))
 
 

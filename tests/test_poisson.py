@@ -2,7 +2,9 @@
 import numpy as np
 import pytest
 
-from dockhour.ml import poisson
+from pyspark.sql import functions as F
+
+from dockhour.ml import models, poisson
 
 
 def _best_split(x, g, w):
@@ -69,6 +71,8 @@ def test_equals_the_plain_version_and_goes_on(table, tmp_path, monkeypatch):
     stops.clear()
     model = poisson.fit_poisson(df, **args)
     assert begun == [0, 8, 16]
+    shorter = poisson.fit_poisson(df.filter("id < 200"), **{**args, "rounds": 1})
+    assert begun == [0, 8, 16, 0] and len(shorter.trees) == 1
     got = [r.prediction for r in model.predict(df).orderBy("id").collect()]
     np.testing.assert_allclose(got, _plain(x, y, w, 20, 0.1, 2), rtol=1e-9)
 
@@ -82,3 +86,15 @@ def test_rows_that_cannot_be_fitted(spark, tmp_path):
     zeros = spark.createDataFrame([(0.0, 1.0), (0.0, None), (float("nan"), 2.0)], schema)
     model = poisson.fit_poisson(zeros, ["x"], str(tmp_path / "c"), rounds=2)
     assert all(r.prediction < 1e-6 for r in model.predict(zeros).collect())
+
+
+def test_baseline_averages_both_models(table, tmp_path):
+    df, x, y, w = table
+    model = models.train_boosted_baseline(df, ["hour", "day", "temp"], str(tmp_path / "m1"), iters=2,
+                                          step=0.1, depth=2, weight="wt")
+    got = model.transform(df.withColumn("fitted", F.lit(1))).orderBy("id").collect()
+    for r in got:
+        assert r.prediction == max(0.0, 0.5 * (r.pred_base_poisson + r.pred_base))
+    poisson_part = [r.pred_base_poisson for r in got]
+    assert len(got) == len(y) and len(set(poisson_part)) > 1
+    assert abs(np.average(poisson_part, weights=w) - np.average(y, weights=w)) < 0.2 * y.mean()
