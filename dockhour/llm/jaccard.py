@@ -32,9 +32,9 @@ from .tokens import slices
 ALL_PAIRS_UP_TO = 4
 STARS, LABEL_ROUNDS = 4, 4
 BLOCK = 1024
-COLUMNS, PAIRS = 512, 1 << 16
+COLUMNS, ROWS, CELLS = 512, 64, 1 << 19
 LEAST_CELLS, PER_CELL = 128, 4
-FLUSH = 1_500_000
+FLUSH = 500_000
 FOUND = "kind int, a long, b long, doc_id long, n long, f1 long, f2 long, profile binary"
 PACKED = "bucket int, signature binary, node binary, rows binary"
 
@@ -190,9 +190,9 @@ def _first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _found(2, *_counted_pairs(*np.concatenate(large, axis=1)))
 
 
-def _owned(centers: pa.ListArray, center: int) -> np.ndarray:
-    """Which pairs of rows have no centre below ``center`` in common."""
-    own = np.ones((len(centers), len(centers)), dtype=bool)
+def _owned(centers: pa.ListArray, center: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs of the rows ``left`` and ``right`` have no centre below ``center`` in common."""
+    own = np.ones((len(left), len(right)), dtype=bool)
     flat = centers.flatten().to_numpy(zero_copy_only=False)
     row = np.repeat(np.arange(len(centers)), centers.value_lengths().to_numpy(zero_copy_only=False))
     below = flat < center
@@ -205,10 +205,21 @@ def _owned(centers: pa.ListArray, center: int) -> np.ndarray:
         some = (column >= start) & (column < start + COLUMNS)
         held = np.zeros((len(centers), COLUMNS), dtype=np.float32)
         held[row[some], column[some] - start] = 1
-        own &= (held @ held.T) == 0
+        own &= (held[left] @ held[right].T) == 0
     return own
 
 
+def _bounds(folded: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Distances of the profiles ``i`` and ``j``, some pairs at a time whatever their length."""
+    far = np.empty(len(i), dtype=np.int32)
+    step = max(1, CELLS // folded.shape[1])
+    for at in range(0, len(i), step):
+        apart = folded[i[at:at + step]]
+        apart -= folded[j[at:at + step]]
+        np.abs(apart, out=apart).sum(axis=1, dtype=np.int32, out=far[at:at + step])
+    return far
+
+
 def _nearest(i: np.ndarray, far: np.ndarray) -> np.ndarray:
     """The place of the least ``far`` of each ``i``."""
     order = np.lexsort((far, i))
@@ -220,24 +231,23 @@ def _crossing(group: pa.Table, percent: int, probe: bool) -> tuple[np.ndarray, n
     ``probe`` the nearest of them for each row."""
     block, node, root, n = (group[c].to_numpy() for c in ("block", "node", "root", "n"))
     center, low, high = (group[c][0].as_py() for c in ("center", "low", "high"))
-    may = _may_differ(n[:, None], n[None, :], percent)
-    ok = (root[:, None] != root[None, :]) & (np.abs(n[:, None] - n[None, :]) <= may)
+    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    ok = root[left, None] != root[None, right]
     if low == high:
-        ok &= np.tri(len(n), k=-1, dtype=bool).T
-    else:
-        ok &= (block == low)[:, None] & (block == high)[None, :]
+        ok &= left[:, None] < right[None, :]
+    for at in range(0, len(left), ROWS):
+        x, y = n[left[at:at + ROWS], None], n[None, right]
+        ok[at:at + ROWS] &= np.abs(x - y) <= _may_differ(x, y, percent)
     if ok.any():
-        ok &= _owned(group["centers"].combine_chunks(), center)
+        ok &= _owned(group["centers"].combine_chunks(), center, left, right)
     i, j = np.nonzero(ok)
+    i, j = left[i], right[j]
     if not len(i):
         return i, j
     profile = [np.frombuffer(p.as_buffer(), np.uint8) for p in group["profile"]]
     cells = min(len(p) for p in profile)
-    folded = np.stack([_fold(p, cells) for p in profile])
-    far = np.concatenate([
-        np.abs(folded[i[at:at + PAIRS]] - folded[j[at:at + PAIRS]]).sum(axis=1)
-        for at in range(0, len(i), PAIRS)])
-    near = far <= may[i, j]
+    far = _bounds(np.stack([_fold(p, cells) for p in profile]), i, j)
+    near = far <= _may_differ(n[i], n[j], percent)
     i, j, far = i[near], j[near], far[near]
     if probe and len(i):
         part = far / (n[i] + n[j])
