@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WS_CHARS, ship
-from .tokens import slices
+from .tokens import release, slices
 
 EDGES = ".,;:!?%$#*&|<>()[]{}\"'`~^+=/\\_-"
 PREFIXES = (4, 5)
@@ -232,6 +232,7 @@ def chain_scores(chain: list[Linear], categories: list[str], text: Column) -> Co
 
     @F.pandas_udf(", ".join(f"{c} double" for c in categories))
     def score(texts: pd.Series) -> pd.DataFrame:
+        release()
         batch = pa.record_batch([pa.array(texts, pa.string(), from_pandas=True)], names=["text"])
         out = []
         for part in slices(batch, "text"):

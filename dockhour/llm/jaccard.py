@@ -27,7 +27,7 @@ from .common import ship, written
 from .components import components, shared_labels
 from .partenum import Bands, signatures
 from .shingles import Sets, mix, shingle_sets, word_prints
-from .tokens import slices
+from .tokens import release, slices
 
 ALL_PAIRS_UP_TO = 4
 STARS, LABEL_ROUNDS = 4, 4
@@ -370,6 +370,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     bands = Bands(percent)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         packer, seen, turn = _Packer(buckets), set(), 0
         for batch in batches:
             for part in slices(batch, "text"):

@@ -120,6 +120,14 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
+def release() -> None:
+    """Let go of the worker's encoders.
+
+    Workers go on to other operators' tasks; those that hold much themselves call this first.
+    """
+    _encoders.clear()
+
+
 def slices(batch: pa.RecordBatch, text: str, most_bytes: int = SLICE_BYTES):
     """Cut a batch into runs of rows of about ``most_bytes`` of text."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False))

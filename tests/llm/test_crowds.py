@@ -1,13 +1,19 @@
 """Block pairs of a crowd: the pairs that pass, and the memory that comparing them takes."""
 from __future__ import annotations
 
+import random
 import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from dockhour.llm import jaccard
+from dockhour.llm import jaccard, tokens
+from dockhour.llm.common import ship
+from dockhour.llm.jaccard import jaccard_components
+
+from .helpers import make, prose
 
 
 def block_pair(rows, cells, low, high, center=300):
@@ -64,3 +70,25 @@ def test_no_block_pair_takes_much_memory():
         peak = tracemalloc.get_traced_memory()[1]
         tracemalloc.stop()
         assert peak < 64 << 20
+
+
+def test_workers_of_the_joins_hold_no_encoder(spark):
+    """A worker that encoded before lets its word cache go when it makes signatures."""
+    path = tokens.vocabulary()
+    docs = make(spark, [(i, prose(random.Random(i), 30), "s") for i in range(40)], clash=False)
+
+    def encode(batches):
+        for b in batches:
+            tokens.encoder(path).encode(b["text"])
+            yield pa.record_batch([pa.array([len(tokens._encoders)])], names=["held"])
+
+    def held(batches):
+        for _ in batches:
+            yield pa.record_batch([pa.array([len(tokens._encoders)])], names=["held"])
+
+    one = docs.select("text").repartition(1)
+    ship(spark)
+    assert one.mapInArrow(encode, "held long").agg(F.max("held")).first()[0] == 1
+    jaccard_components(docs.repartition(1)).collect()
+    assert docs.select("text").repartition(1).mapInArrow(held, "held long").agg(
+        F.max("held")).first()[0] == 0
