@@ -7,8 +7,10 @@ differs in at most k2 elements, hence agrees on some n2 - k2 of its parts.  A si
 content of those parts, so similar sets share at least one.
 
 Parts that hold nothing say nothing, and sets without much in a bucket would all share them.  There
-are SLACK buckets more than needed, so that a similar pair agrees in SLACK + 1 buckets; only a set
-with more than SLACK buckets in which such content can be empty emits its empty signatures too.
+are SLACK buckets more than needed.  A set of its own size differs from similar sets of the band in
+``reach`` elements at most, often far fewer than k, so a similar pair agrees in all buckets but
+reach // (k2 + 1).  Only a set with as many buckets in which such content can be empty emits its
+empty signatures too: otherwise one of the buckets that agree has content, and both sets emit that.
 """
 from __future__ import annotations
 
@@ -48,6 +50,11 @@ class Bands:
         most = self.edges[band + 1] - 1
         return 2 * most * (100 - self.percent) // (100 + self.percent)
 
+    def reach(self, sizes: np.ndarray, band: np.ndarray) -> np.ndarray:
+        """Elements in which a set of ``sizes`` and a similar one can differ, the larger in ``band``."""
+        other = np.minimum(sizes * 100 // self.percent, self.edges[band + 1] - 1)
+        return (sizes + other) * (100 - self.percent) // (100 + self.percent)
+
 
 class Signed(NamedTuple):
     signature: np.ndarray
@@ -61,10 +68,12 @@ def _sums(cells: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return low.astype(np.uint64) + (high.astype(np.uint64) << np.uint64(32))
 
 
-def _sign(sets: Sets, owners: np.ndarray, band: np.ndarray, k: np.ndarray, s: Scheme) -> Signed:
+def _sign(sets: Sets, owners: np.ndarray, band: np.ndarray, k: np.ndarray, reach: np.ndarray,
+          s: Scheme) -> Signed:
     """Signatures of the sets ``owners`` in their bands."""
     k2 = np.minimum(s.k2, k) if s is SMALL else np.full(len(k), s.k2)
     n1 = k // (k2 + 1) + 1 + s.slack
+    agree = n1 - reach // (k2 + 1)
     size = np.diff(sets.offsets)[owners]
     element = np.repeat(sets.offsets[owners] - (np.cumsum(size) - size), size) + np.arange(
         size.sum())
@@ -90,7 +99,7 @@ def _sign(sets: Sets, owners: np.ndarray, band: np.ndarray, k: np.ndarray, s: Sc
         names = mix(np.arange(len(chosen), dtype=np.uint64) + np.uint64(17))
         sig = mix(mix(sums ^ tag[rows][:, None]) + names[None, :])
         thin = np.bincount(bucket_owner[rows], (held == 0).any(axis=1), len(owners))
-        emit = (held > 0) | (thin > s.slack)[bucket_owner[rows]][:, None]
+        emit = (held > 0) | (thin >= agree)[bucket_owner[rows]][:, None]
         out_sig.append(sig[emit])
         out_owner.append(np.broadcast_to(bucket_owner[rows][:, None], sig.shape)[emit])
     return Signed(np.concatenate(out_sig), owners[np.concatenate(out_owner)])
@@ -105,10 +114,10 @@ def signatures(sets: Sets, bands: Bands) -> Signed:
     for step in range(int((high - low).max()) + 1 if len(own) else 0):
         at = np.flatnonzero(low + step <= high)
         band = low[at] + step
-        k = bands.differ(band)
+        k, reach = bands.differ(band), bands.reach(size[own[at]], band)
         for scheme, some in ((SMALL, k <= SMALL_K), (LARGE, k > SMALL_K)):
             if some.any():
-                parts.append(_sign(sets, own[at][some], band[some], k[some], scheme))
+                parts.append(_sign(sets, own[at][some], band[some], k[some], reach[some], scheme))
     if not parts:
         return Signed(np.empty(0, np.uint64), np.empty(0, np.int64))
     return Signed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
