@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 CACHE_ENTRIES = 1_200_000
 SLICE_BYTES = 4 << 20
-TOKEN_SLICE_BYTES = 8 << 20
+TOKEN_SLICE_BYTES = 2 << 20
 CHUNK = 1000
 _encoders: dict[str, WordEncoder] = {}
 
@@ -94,14 +94,19 @@ class WordEncoder:
         index = coded.indices.to_numpy(zero_copy_only=False)
         n = sizes[index]
         ends = np.concatenate(([0], np.cumsum(n)))
-        ids = flat[np.repeat(starts[index] - ends[:-1], n) + np.arange(ends[-1])]
+        at = np.repeat(starts[index] - ends[:-1], n)
+        at += np.arange(ends[-1])
+        ids = flat[at]
+        del at
         offsets = lists.offsets.to_numpy()
         offsets = ends[offsets - offsets[0]]
         if end_id is None:
             return Encoded(ids, offsets)
         rows = len(texts)
         out = np.empty(len(ids) + rows, dtype="<u4")
-        out[np.arange(len(ids)) + np.repeat(np.arange(rows), np.diff(offsets))] = ids
+        at = np.repeat(np.arange(rows), np.diff(offsets))
+        at += np.arange(len(ids))
+        out[at] = ids
         offsets = offsets + np.arange(rows + 1)
         out[offsets[1:] - 1] = end_id
         return Encoded(out, offsets)
