@@ -13,13 +13,12 @@ from itertools import product
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS_CHARS, ship
+from .common import WS_CHARS, ship, trimmed
 from .tokens import release, slices
 
 EDGES = ".,;:!?%$#*&|<>()[]{}\"'`~^+=/\\_-"
@@ -201,7 +200,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, categories: list[str], p
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = (texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", *categories).agg(
         F.min("text").alias("text")).mapInArrow(
-        extract, "doc_id long, " + "".join(f"{c} int, " for c in categories) + "features binary")
+        trimmed(extract), "doc_id long, " + "".join(f"{c} int, " for c in categories) + "features binary")
         .collect())
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["features"])))
     found = [np.frombuffer(r["features"], "<u4").astype(np.int64) for r in rows]
@@ -230,19 +229,22 @@ def chain_scores(chain: list[Linear], categories: list[str], text: Column) -> Co
     """Struct of probabilities, a double for each category; the models are a few kilobytes."""
     only = np.unique(np.concatenate([np.empty(0, np.int64), *[m.features for m in chain]]))
 
-    @F.pandas_udf(", ".join(f"{c} double" for c in categories))
-    def score(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf(", ".join(f"{c} double" for c in categories))
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from trimmed(scores)(batches)
+
+    def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         release()
-        batch = pa.record_batch([pa.array(texts, pa.string(), from_pandas=True)], names=["text"])
-        out = []
-        for part in slices(batch, "text"):
-            found = features_of(part["text"], only)
-            p = np.zeros((part.num_rows, 0))
-            for model in chain:
-                p = np.column_stack([p, _probability(model, found, part.num_rows, p)])
-            out.append(p)
-        return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, len(categories))),
-                            columns=categories)
+        for texts in batches:
+            out = [np.zeros((0, len(categories)))]
+            for part in slices(pa.record_batch([texts], names=["text"]), "text"):
+                found = features_of(part["text"], only)
+                p = np.zeros((part.num_rows, 0))
+                for model in chain:
+                    p = np.column_stack([p, _probability(model, found, part.num_rows, p)])
+                out.append(p)
+            p = np.concatenate(out)
+            yield pa.StructArray.from_arrays([pa.array(c) for c in p.T], names=categories)
 
     return score(text)
 

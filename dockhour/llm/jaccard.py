@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bitmaps import cells_of, members, test
-from .common import ship, written
+from .common import ship, trimmed, written
 from .components import components, shared_labels
 from .partenum import Bands, signatures
 from .shingles import Sets, mix, shingle_sets, word_prints
@@ -333,7 +333,7 @@ def _sets_of(d: DataFrame, pairs: DataFrame, k: int, log2_filter: int, label: st
                 yield pa.record_batch([pa.array(_nodes_of(part, _sums(sets)[0])),
                                        pa.array(blobs, pa.binary())], names=["node", "shingles"])
 
-    return written(d.mapInArrow(gather, "node long, shingles binary"), f"{label}-sets")
+    return written(d.mapInArrow(trimmed(gather), "node long, shingles binary"), f"{label}-sets")
 
 
 def _links(d: DataFrame, close: DataFrame, k: int, percent: int, log2_filter: int,
@@ -343,7 +343,7 @@ def _links(d: DataFrame, close: DataFrame, k: int, percent: int, log2_filter: in
     full = {s: sets.select(F.col("node").alias(s), F.col("shingles").alias(f"set_{s}"))
             for s in "ab"}
     return written(close.join(full["a"], "a").join(full["b"], "b")
-                   .mapInArrow(_similar(percent), "a long, b long"), f"{label}-links")
+                   .mapInArrow(trimmed(_similar(percent)), "a long, b long"), f"{label}-links")
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -401,8 +401,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
         yield from packer.flush()
 
     to = F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(F.pmod(F.xxhash64("rows"), F.lit(buckets)).cast("int"))
-    found = written(d.mapInArrow(sign, PACKED).repartitionById(buckets, to)
-                    .mapInArrow(_first_round, FOUND), "partenum")
+    found = written(d.mapInArrow(trimmed(sign), PACKED).repartitionById(buckets, to)
+                    .mapInArrow(trimmed(_first_round), FOUND), "partenum")
     rows = found.filter("kind = 0").select("doc_id", F.col("a").alias("node"), "n", "f1", "f2")
     classes = written(rows.filter("n > 0").groupBy("f1", "f2", "n").agg(
         F.min("node").alias("rep")), "set-classes")
@@ -429,7 +429,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     side = {s: light.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"),
                             F.col("profile").alias(f"profile_{s}")) for s in "ab"}
     close = written(pairs.join(side["a"], "a").join(side["b"], "b")
-                    .mapInArrow(_bounded(percent), "a long, b long"), "close-pairs")
+                    .mapInArrow(trimmed(_bounded(percent)), "a long, b long"), "close-pairs")
     equal = reps.select(F.col("node").alias("a"), F.col("rep").alias("b"))
     links = _links(d, close, k, percent, log2_filter, "star")
     def crossing(labels: DataFrame, known: DataFrame, label: str) -> DataFrame:
@@ -450,7 +450,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
             "block", "node", "root", "n", "profile", "centers")
         again = cells.repartition(buckets, "center", "low", "high").sortWithinPartitions(
             "center", "low", "high").mapInArrow(
-            _second_round(percent, label == "probe"), "a long, b long")
+            trimmed(_second_round(percent, label == "probe")), "a long, b long")
         return written(again.join(known, ["a", "b"], "left_anti"), f"{label}-pairs")
 
     near = crossing(shared_labels(links, LABEL_ROUNDS), pairs, "probe")

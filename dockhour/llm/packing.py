@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, written
+from .common import ship, trimmed, written
 from .prefix import running
 from .tokens import TOKEN_SLICE_BYTES, encoder, slices
 
@@ -144,7 +144,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: in
 
     ship(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).alias("text")).mapInArrow(cut, PIECES)
+                       F.col(text_col).alias("text")).mapInArrow(trimmed(cut), PIECES)
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: int = 4096,

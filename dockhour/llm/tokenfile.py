@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import scratch_path, ship, written
+from .common import scratch_path, ship, trimmed, written
 from .tokens import TOKEN_SLICE_BYTES, encoder, slices
 
 # Fixed values of the public seekable format.
@@ -197,7 +197,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
                 (pa.int32(), pa.string(), pa.int64(), pa.int64()))],
             names=["file", "path", "n_docs", "n_tokens"])
 
-    return written(dealt.mapInArrow(write, "file int, path string, n_docs long, n_tokens long"),
+    return written(dealt.mapInArrow(trimmed(write), "file int, path string, n_docs long, n_tokens long"),
                    "token-manifest")
 
 

@@ -8,6 +8,7 @@ with numpy.
 from __future__ import annotations
 
 import os
+import string
 import unicodedata
 from typing import NamedTuple
 
@@ -15,10 +16,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import trim
+
 # ASCII symbols that the tokenizer separates from letters before them; the apostrophe is not among
 # them because it starts contractions.
 TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-CACHE_ENTRIES = 1_200_000
+CACHE_ENTRIES = 300_000
 SLICE_BYTES = 4 << 20
 TOKEN_SLICE_BYTES = 2 << 20
 CHUNK = 1000
@@ -36,6 +39,24 @@ def _ends_in_letter(core: str) -> bool:
     return core.isascii() or unicodedata.normalize("NFC", core).lower()[-1].isalpha()
 
 
+def _split(word: str) -> tuple[str, str]:
+    """A word as letters and the symbols behind them, or as a whole."""
+    core = word.rstrip(TAIL)
+    if core.isalpha() and _ends_in_letter(core):
+        return core.lower() if core.isascii() else core, word[len(core):]
+    return word, ""
+
+
+def _spread(flat: np.ndarray, sizes: np.ndarray, index: np.ndarray
+            ) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` (of the given sizes) that ``index`` names, and where each ends."""
+    n = sizes[index]
+    ends = np.concatenate(([0], np.cumsum(n)))
+    at = np.repeat((np.cumsum(sizes) - sizes)[index] - ends[:-1], n)
+    at += np.arange(ends[-1])
+    return flat[at], ends
+
+
 class WordEncoder:
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -44,8 +65,6 @@ class WordEncoder:
         self.pieces: dict[str, bytes] = {"": b""}
 
     def _learn(self, pieces: list[str]) -> None:
-        if len(self.pieces) + len(pieces) > CACHE_ENTRIES:
-            self.pieces = {"": b""}
         alone = [p for p in pieces if not p.isalpha()]
         letters = [p for p in pieces if p.isalpha()]
         chunks = [letters[a:a + CHUNK] for a in range(0, len(letters), CHUNK)]
@@ -65,51 +84,49 @@ class WordEncoder:
                         strict=True):
             self.pieces[p] = np.array(e.ids, dtype="<u4").tobytes()
 
-    def words(self, found: list[str]) -> list[bytes]:
-        """Ids of words, each as bytes of little-endian unsigned 32-bit numbers."""
-        split = []
-        for w in found:
-            core = w.rstrip(TAIL)
-            if core.isalpha() and _ends_in_letter(core):
-                split.append((core.lower() if core.isascii() else core, w[len(core):]))
-            else:
-                split.append((w, ""))
-        need = {p for pair in split for p in pair} - self.pieces.keys()
+    def words(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, one after the other, and how many each word has.
+
+        ASCII letters with symbols behind them are split by Arrow, other words one by one.
+        """
+        core = pc.ascii_rtrim(found, TAIL)
+        plain = pc.ascii_is_alpha(core)
+        heads = pc.ascii_lower(core.filter(plain)).dictionary_encode()
+        tails = pc.ascii_ltrim(found.filter(plain), string.ascii_letters).dictionary_encode()
+        parts = heads.dictionary.to_pylist() + tails.dictionary.to_pylist()
+        split = [_split(w) for w in found.filter(pc.invert(plain)).to_pylist()]
+        wanted = set(parts).union(*split)
+        need = wanted - self.pieces.keys()
+        if len(self.pieces) + len(need) > CACHE_ENTRIES:  # keep what these words use
+            self.pieces = {p: self.pieces[p] for p in {"", *wanted} - need}
         if need:
-            if len(self.pieces) + len(need) > CACHE_ENTRIES:
-                need = {p for pair in split for p in pair if p}
             self._learn(sorted(need))
         get = self.pieces
-        return [get[a] + get[b] for a, b in split]
+        blobs = [get[p] for p in parts] + [get[a] + get[b] for a, b in split] + [b""]
+        flat = np.frombuffer(b"".join(blobs), dtype="<u4")
+        sizes = np.fromiter((len(b) >> 2 for b in blobs), dtype=np.int64, count=len(blobs))
+        pair = np.full((len(found), 2), len(blobs) - 1)
+        plain = plain.to_numpy(zero_copy_only=False)
+        pair[plain, 0] = heads.indices.to_numpy()
+        pair[plain, 1] = len(heads.dictionary) + tails.indices.to_numpy()
+        pair[~plain, 0] = len(parts) + np.arange(len(split))
+        flat, ends = _spread(flat, sizes, pair.ravel())
+        return flat, np.diff(ends[::2])
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> Encoded:
         """Encode one slice of texts (null: empty) and append ``end_id`` to each."""
-        texts = pc.fill_null(texts, "")
-        lists = pc.ascii_split_whitespace(texts)
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = lists.flatten().dictionary_encode()
-        blobs = self.words(coded.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join(blobs), dtype="<u4")
-        sizes = np.fromiter((len(b) >> 2 for b in blobs), dtype=np.int64, count=len(blobs))
-        starts = np.cumsum(sizes) - sizes
+        flat, sizes = self.words(coded.dictionary)
         index = coded.indices.to_numpy(zero_copy_only=False)
-        n = sizes[index]
-        ends = np.concatenate(([0], np.cumsum(n)))
-        at = np.repeat(starts[index] - ends[:-1], n)
-        at += np.arange(ends[-1])
-        ids = flat[at]
-        del at
-        offsets = lists.offsets.to_numpy()
-        offsets = ends[offsets - offsets[0]]
-        if end_id is None:
-            return Encoded(ids, offsets)
-        rows = len(texts)
-        out = np.empty(len(ids) + rows, dtype="<u4")
-        at = np.repeat(np.arange(rows), np.diff(offsets))
-        at += np.arange(len(ids))
-        out[at] = ids
-        offsets = offsets + np.arange(rows + 1)
-        out[offsets[1:] - 1] = end_id
-        return Encoded(out, offsets)
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        if end_id is not None:  # one more word, after each text's last
+            index = np.insert(index, offsets[1:], len(sizes))
+            flat, sizes = np.append(flat, np.array([end_id], "<u4")), np.append(sizes, 1)
+            offsets += np.arange(len(offsets))
+        ids, ends = _spread(flat, sizes, index)
+        return Encoded(ids, ends[offsets])
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -130,7 +147,9 @@ def release() -> None:
 
     Workers go on to other operators' tasks; those that hold much themselves call this first.
     """
-    _encoders.clear()
+    if _encoders:
+        _encoders.clear()
+        trim()
 
 
 def slices(batch: pa.RecordBatch, text: str, most_bytes: int = SLICE_BYTES):
