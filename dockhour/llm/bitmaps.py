@@ -5,11 +5,11 @@ and the exact step behind it has more to do, but results stay the same.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from .common import ship
@@ -64,16 +64,25 @@ def _either(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def collect_bitmap(cells: DataFrame, log2_cells: int) -> np.ndarray:
-    """Merge cell lists by slice and gather the bitmap: 2**log2_cells bits, whatever the input."""
-    n = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    merged = cells.repartitionById(n, F.col("part")).mapInArrow(_either, "part int, blob binary")
-    return gather(merged, log2_cells)
+    """Merge cell lists by slice and gather the bitmap: 2**log2_cells bits, whatever the input.
+
+    There are no more tasks than slices, and one job brings the slices of all of them.
+    """
+    n = min(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+            max(1, 1 << log2_cells >> SLICE_BITS))
+    to = F.pmod(F.col("part"), F.lit(n))
+    merged = cells.repartitionById(n, to).mapInArrow(_either, "part int, blob binary")
+    return _joined(merged.collect(), log2_cells)
 
 
 def gather(merged: DataFrame, log2_cells: int) -> np.ndarray:
+    return _joined(merged.toLocalIterator(), log2_cells)
+
+
+def _joined(rows: Iterable[Row], log2_cells: int) -> np.ndarray:
     out = np.zeros(max(1, (1 << log2_cells) >> 3), dtype=np.uint8)
     size = 1 << (SLICE_BITS - 3)
-    for r in merged.toLocalIterator():
+    for r in rows:
         out[r["part"] * size:(r["part"] + 1) * size] = np.frombuffer(r["blob"], np.uint8)
     return out
 

@@ -415,12 +415,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
         return pairs.join(a, "a").join(b, "b").select(
             F.col("ra").alias("a"), F.col("rb").alias("b"), *pairs.columns[2:])
 
-    held = written(by_rep(found.filter("kind = 2").groupBy("a", "b").agg(F.sum("n").alias("met")))
-                   .groupBy(F.col("a").alias("node"), F.col("b").alias("center"))
+    # By "a" alone: the counts and the first join of by_rep take one shuffle, for both kinds at once.
+    met = written(by_rep(found.filter("kind > 0").repartition("a").groupBy("a", "b", "kind").agg(
+        F.sum("n").alias("met"))), "met")
+    held = written(met.filter("kind = 2").groupBy(F.col("a").alias("node"), F.col("b").alias("center"))
                    .agg(F.sum("met").alias("met")), "holders")
     rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("met"), "center"))
     stars = held.filter("node <> center").withColumn("rank", rank).filter(F.col("rank") <= STARS)
-    small = by_rep(found.filter("kind = 1").select("a", "b").distinct()).filter("a <> b")
+    small = met.filter("kind = 1 AND a <> b").select("a", "b")
     pairs = written(small.unionByName(stars.select(F.col("node").alias("a"), F.col("center").alias("b")))
                     .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
                     "pairs")
@@ -455,9 +457,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
 
     near = crossing(shared_labels(links, LABEL_ROUNDS), pairs, "probe")
     links = links.unionByName(_links(d, near, k, percent, log2_filter, "probe"))
-    more = _links(d, crossing(components(links), pairs.unionByName(near), "cross"), k, percent,
-                  log2_filter, "cross")
-    roots = components(links.unionByName(more).unionByName(equal))
+    parts = components(links)
+    more = _links(d, crossing(parts, pairs.unionByName(near), "cross"), k, percent, log2_filter, "cross")
+    roots = components(parts.toDF("a", "b").unionByName(more).unionByName(equal))
 
     extra = ["node", "root"] if with_root else []
     placed = written(rows.join(roots, "node", "left").select(
